@@ -6,6 +6,9 @@ import importlib
 
 #: query name -> (module, function); modules are imported when their query is built.
 _QUERIES = {
+    "op4_exact_dedup": ("exactdup", "op4_exact_dedup"),
+    "op6_mix_sources": ("mixing", "op6_mix_sources"),
+    "op7_quality_rules": ("quality", "op7_quality_rules"),
     "op10_token_counts": ("tokens", "op10_token_counts"),
 }
 
@@ -19,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_exact_dedup": _load("exactdup", "ORACLE_OP4")}
