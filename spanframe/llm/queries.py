@@ -6,6 +6,7 @@ import importlib
 
 #: query name -> (module, function); modules are imported when their query is built.
 _QUERIES = {
+    "op1_best_fit_packing": ("packing", "op1_best_fit_packing"),
     "op4_exact_dedup": ("exactdup", "op4_exact_dedup"),
     "op6_mix_sources": ("mixing", "op6_mix_sources"),
     "op7_quality_rules": ("quality", "op7_quality_rules"),
