@@ -7,6 +7,7 @@ import importlib
 #: query name -> (module, function); modules are imported when their query is built.
 _QUERIES = {
     "op1_best_fit_packing": ("packing", "op1_best_fit_packing"),
+    "op2_minhash_odd_sketches": ("neardup", "op2_minhash_odd_sketches"),
     "op4_exact_dedup": ("exactdup", "op4_exact_dedup"),
     "op6_mix_sources": ("mixing", "op6_mix_sources"),
     "op7_quality_rules": ("quality", "op7_quality_rules"),
@@ -19,7 +20,9 @@ def _load(module: str, function: str):
 
 
 def queries() -> dict:
-    return {name: _load(*at) for name, at in _QUERIES.items()}
+    import corpus_pipeline
+
+    return {name: _load(*at) for name, at in _QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
