@@ -17,41 +17,43 @@ def _lines(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), lambda x: F.struct(F.xxhash64(norm(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).cast("long").alias("w")))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however the optimiser moves the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeats(words: Column) -> Column:
+    """Words at positions that a three-word window covers whose words occur in another window, too."""
+
+    def windows(w: Column) -> Column:
+        hashed = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("g"), i.alias("p")))
+        return F.when(F.size(w) >= 3, F.array_sort(hashed)).otherwise(F.array().cast("array<struct<g:bigint,p:int>>"))
+
+    def twice(s: Column) -> Column:
+        return F.array_sort(F.transform(F.filter(s, lambda x, i: (x.g == F.get(s, i - 1).g) | (x.g == F.get(s, i + 1).g)), lambda x: x.p))
+
+    def covered(at: Column) -> Column:
+        return F.aggregate(F.transform(at, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - p, F.lit(3)))), F.lit(0), lambda a, x: a + x)
+
+    return _let(words, lambda w: _let(windows(w), lambda s: _let(twice(s), covered)))
+
+
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns and _n_words, _word_chars, _n_symbols, _n_dup_lines, _n_repeat_words of whole texts (null: empty).
 
-    Repeated words are those at positions that a three-word window covers whose words occur in
-    another window of the same text. Windows are hashed and sorted with their positions; equal
-    neighbours are repeats. The work for one text is n log n, in one row.
+    Three-word windows are hashed and sorted with their positions; equal neighbours are repeats. The
+    work for one text is n log n, in one row.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    windows = F.when(
-        F.col("_n_words") >= 3,
-        F.array_sort(F.transform(F.sequence(F.lit(0), F.col("_n_words") - 3), lambda i: F.struct(F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).alias("g"), i.alias("p")))),
-    ).otherwise(F.array().cast("array<struct<g:bigint,p:int>>"))
-    repeated = F.array_sort(
-        F.transform(
-            F.filter("_windows", lambda x, i: (x.g == F.get("_windows", i - 1).g) | (x.g == F.get("_windows", i + 1).g)),
-            lambda x: x.p,
-        )
-    )
-    covered = F.aggregate(F.transform("_repeats", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("_repeats", i + 1) - p, F.lit(3)))), F.lit(0), lambda a, x: a + x)
-    return (
-        docs.withColumn("_words", F.filter(F.split(text, SPACE), lambda x: x != ""))
-        .withColumn("_n_words", F.size("_words"))
-        .withColumn("_windows", windows)
-        .withColumn("_repeats", repeated)
-        .withColumn("_lined", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
-        .withColumns(
-            {
-                "_word_chars": F.char_length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long"),
-                "_n_symbols": (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
-                "_n_dup_lines": (F.size("_lined") - F.size(F.array_distinct("_lined"))).cast("long"),
-                "_n_repeat_words": covered.cast("long"),
-                "_n_words": F.col("_n_words").cast("long"),
-            }
-        )
-        .drop("_words", "_windows", "_repeats", "_lined")
+    lined = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    return docs.withColumns(
+        {
+            "_n_words": F.regexp_count(text, F.lit(WORD)).cast("long"),
+            "_word_chars": F.char_length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long"),
+            "_n_symbols": (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+            "_n_dup_lines": _let(lined, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+            "_n_repeat_words": _repeats(F.filter(F.split(text, SPACE), lambda x: x != "")).cast("long"),
+        }
     )
 
 
