@@ -11,6 +11,8 @@ _QUERIES = {
     "op4_exact_dedup": ("exactdup", "op4_exact_dedup"),
     "op6_mix_sources": ("mixing", "op6_mix_sources"),
     "op7_quality_rules": ("quality", "op7_quality_rules"),
+    "op8_language_mixture": ("langid", "op8_language_mixture"),
+    "op9_toxicity_chain": ("toxicity", "op9_toxicity_chain"),
     "op10_token_counts": ("tokens", "op10_token_counts"),
 }
 
