@@ -9,6 +9,7 @@ _QUERIES = {
     "op1_best_fit_packing": ("packing", "op1_best_fit_packing"),
     "op2_minhash_odd_sketches": ("neardup", "op2_minhash_odd_sketches"),
     "op4_exact_dedup": ("exactdup", "op4_exact_dedup"),
+    "op5_warc_boundary_chain": ("warc", "op5_warc_boundary_chain"),
     "op6_mix_sources": ("mixing", "op6_mix_sources"),
     "op7_quality_rules": ("quality", "op7_quality_rules"),
     "op8_language_mixture": ("langid", "op8_language_mixture"),
@@ -28,4 +29,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": _load("exactdup", "ORACLE_OP4")}
+    return {"op4_exact_dedup": _load("exactdup", "ORACLE_OP4"), "op5_warc_boundary_chain": _load("warc", "ORACLE_OP5")}
