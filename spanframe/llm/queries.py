@@ -8,6 +8,7 @@ import importlib
 _QUERIES = {
     "op1_best_fit_packing": ("packing", "op1_best_fit_packing"),
     "op2_minhash_odd_sketches": ("neardup", "op2_minhash_odd_sketches"),
+    "op3_personal_data": ("pii", "op3_personal_data"),
     "op4_exact_dedup": ("exactdup", "op4_exact_dedup"),
     "op5_warc_boundary_chain": ("warc", "op5_warc_boundary_chain"),
     "op6_mix_sources": ("mixing", "op6_mix_sources"),
