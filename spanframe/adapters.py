@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .functions.text import fulltext
 from .operators import align, tokenize
 from .operators.ingest import from_lines
+from .operators.storage import materialise
 from .schemas import LabelSpec
 
 #: Pieces of a chunk at most, small enough that the tables' sentences are cut.
@@ -49,11 +50,13 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("pmid", F.lit(0).alias("ord"), F.transform("l", lambda x: F.struct(x.spans.alias("spans"), x.type.alias("type"))).alias("label"))
 
 
-def fates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return align.assign_labels(annotations(spark, sf_dir), chunks(spark, sf_dir), SPEC)
+def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Annotations, chunks and the fates of the labels; the first two are read several times, so they are computed once."""
+    notes, cut = materialise(annotations(spark, sf_dir)), materialise(chunks(spark, sf_dir))
+    return notes, cut, align.assign_labels(notes, cut, SPEC)
 
 
-def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def entities(cut: DataFrame, fates: DataFrame) -> DataFrame:
     """(id, entity_ord, indices, type, n_words) of the assigned labels."""
-    sizes = chunks(spark, sf_dir).select("id", F.size("spans").alias("n_words"))
-    return fates(spark, sf_dir).where("status = 'assigned'").select("id", F.col("label_ord").alias("entity_ord"), "indices", "type").join(sizes, "id")
+    sizes = cut.select("id", F.size("spans").alias("n_words"))
+    return fates.where("status = 'assigned'").select("id", F.col("label_ord").alias("entity_ord"), "indices", "type").join(sizes, "id")

@@ -11,6 +11,7 @@ from . import adapters as A
 from .functions.text import distance_bucket, map_dashes, rebase, record_id, slice_text
 from .operators import align, evaluate, grid, guards, ingest, stats, tokenize, vote
 from .operators.predict import rule_predictor
+from .operators.storage import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,12 +143,12 @@ def containment_first_match(spark, sf):
 
 @query("fragment_resolve", f"WITH {_LABELS} SELECT pmid, label_ord, type, status, CASE WHEN status = 'assigned' THEN concat_ws(',', i1, i2) END AS indices FROM fates")
 def fragment_resolve(spark, sf):
-    return A.fates(spark, sf).select("pmid", F.col("label_ord").cast("long").alias("label_ord"), "type", "status", F.when(F.col("status") == "assigned", _joined(F.col("indices"))).alias("indices"))
+    return A.labelled(spark, sf)[2].select("pmid", F.col("label_ord").cast("long").alias("label_ord"), "type", "status", F.when(F.col("status") == "assigned", _joined(F.col("indices"))).alias("indices"))
 
 
 @query("alignment_guard", f"WITH {_LABELS}, c AS (SELECT count(*) AS n_total, count(*) FILTER (status = 'assigned') AS n_assigned, count(*) FILTER (status = 'dropped') AS n_dropped FROM fates) SELECT *, CASE WHEN n_total <= 0 THEN 'skip' WHEN n_dropped / n_total > 0.05 THEN 'error' WHEN n_dropped / n_total > 0.01 THEN 'warn' ELSE 'pass' END AS status FROM c")
 def alignment_guard(spark, sf):
-    return align.alignment_counts(A.fates(spark, sf)).withColumn("status", guards.rate_status(F.col("n_dropped"), F.col("n_total")))
+    return align.alignment_counts(A.labelled(spark, sf)[2]).withColumn("status", guards.rate_status(F.col("n_dropped"), F.col("n_total")))
 
 
 _IDS = "t AS (SELECT concat_ws('_', conv_id, turn) AS id, turn, role FROM conversations), p AS (SELECT id, 0 AS o, role AS v FROM t UNION ALL SELECT id, 1, upper(role) FROM t WHERE turn % 2 = 0)"
@@ -254,7 +255,7 @@ def golden_prf(spark, sf):
 
 @query("label_histogram", f"WITH {_LABELS} SELECT type, count(*) AS n FROM fates WHERE status = 'assigned' GROUP BY type")
 def label_histogram(spark, sf):
-    return stats.type_histogram(align.with_entities(A.annotations(spark, sf), A.chunks(spark, sf), A.fates(spark, sf)))
+    return stats.type_histogram(align.with_entities(*A.labelled(spark, sf)))
 
 
 _COUNTS = f"""{_LABELS}, per AS (SELECT id, count(*) AS k FROM fates WHERE status = 'assigned' GROUP BY id), an AS (SELECT DISTINCT pmid FROM l1),
@@ -264,7 +265,7 @@ SELECT label_id, t.type, (SELECT count(*) FROM fates WHERE status = 'assigned' A
 
 
 def _counts(spark, sf):
-    records = align.with_entities(A.annotations(spark, sf), A.chunks(spark, sf), A.fates(spark, sf)).select("id", F.size("spans").alias("n_words"), "ner")
+    records = align.with_entities(*A.labelled(spark, sf)).select("id", F.size("spans").alias("n_words"), "ner")
     return stats.label_counts(spark, records, A.SPEC)
 
 
@@ -303,7 +304,7 @@ def piece_alignment(spark, sf):
 
 @query("grid_encode", f'WITH {_GRID} SELECT id, "row", col, label FROM grid')
 def grid_encode(spark, sf):
-    return grid.encode(A.entities(spark, sf), A.SPEC)
+    return grid.encode(A.entities(*A.labelled(spark, sf)[1:]), A.SPEC)
 
 
 _DECODED = f"""{_GRID}, e AS (SELECT id, "row" AS a, col AS b FROM grid WHERE label = 1 AND "row" < col),
@@ -315,12 +316,12 @@ decoded AS (SELECT DISTINCT id, head, tail, label, indices FROM path WHERE cur =
 
 @query("grid_decode", f"WITH {_DECODED} SELECT * FROM decoded")
 def grid_decode(spark, sf):
-    return grid.decode(grid.encode(A.entities(spark, sf), A.SPEC)).select("id", "head", "tail", "label", _joined(F.col("indices")).alias("indices"))
+    return grid.decode(grid.encode(A.entities(*A.labelled(spark, sf)[1:]), A.SPEC)).select("id", "head", "tail", "label", _joined(F.col("indices")).alias("indices"))
 
 
 @query("roundtrip", f"WITH {_DECODED}, g AS (SELECT DISTINCT id, label, concat_ws(',', i1, i2) AS indices FROM ent), b AS (SELECT id, label, indices FROM decoded) SELECT (SELECT count(*) FROM g JOIN b USING (id, label, indices)) AS n_correct, (SELECT count(*) FROM b) AS n_predicted, (SELECT count(*) FROM g) AS n_gold")
 def roundtrip(spark, sf):
-    ents = A.entities(spark, sf)
+    ents = materialise(A.entities(*A.labelled(spark, sf)[1:]))
     ids = F.create_map(*[F.lit(x) for kv in A.SPEC.label2id.items() for x in kv])
     gold = ents.select("id", ids[F.col("type")].alias("label"), "indices").distinct()
     out = grid.compare(gold, grid.decode(grid.encode(ents, A.SPEC)))
@@ -329,7 +330,8 @@ def roundtrip(spark, sf):
 
 @query("loss_mask_cells", f'WITH {_GRID}, b AS (SELECT id, count(*) AS b FROM grid WHERE "row" > col AND label > 0 GROUP BY id) SELECT id, n_words * (n_words + 1) // 2 + coalesce(b, 0) AS n_cells FROM chunks LEFT JOIN b USING (id)')
 def loss_mask_cells(spark, sf):
-    return grid.loss_cells(grid.encode(A.entities(spark, sf), A.SPEC), A.chunks(spark, sf).select("id", F.size("spans").cast("long").alias("n")))
+    _, cut, fates = A.labelled(spark, sf)
+    return grid.loss_cells(grid.encode(A.entities(cut, fates), A.SPEC), cut.select("id", F.size("spans").cast("long").alias("n")))
 
 
 @query("batch_padding", "WITH d AS (SELECT doc_id, doc_id // 8 AS batch, list_transform(string_split(text, chr(10)), lambda x: length(x)) AS v FROM documents), w AS (SELECT *, max(len(v)) OVER (PARTITION BY batch) AS width FROM d) SELECT doc_id, batch, len(v) AS length, width, md5(concat_ws(',', array_to_string(v, ','), CASE WHEN width > len(v) THEN array_to_string(list_transform(range(width - len(v)), lambda x: 0), ',') END)) AS digest FROM w")
@@ -380,7 +382,7 @@ def label_ids(spark, sf):
 @query("predict_postprocess_evaluate")
 def predict_postprocess_evaluate(spark, sf):
     """The whole flow: chunks, two rule sets as gold and prediction, postprocessing with majority types, strict scores."""
-    tokens = A.chunks(spark, sf)
+    tokens = materialise(A.chunks(spark, sf))
     texts = A.documents(spark, sf).select("pmid", "fulltext")
 
     def records(shortest: int):
