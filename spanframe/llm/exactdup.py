@@ -2,7 +2,8 @@
 
 Sampled splitters range-partition the normalised texts, each partition is sorted (spilling as it
 must), equal texts become neighbours, and a run of fully equal texts is one group. The range keys
-are bounded prefixes, so the sample that the driver sees stays small; the sort compares whole texts.
+are bounded prefixes, each with a hash that parts the texts of a common prefix, so the sample that the
+driver sees stays small; the sort compares whole texts.
 
 A text held by very many rows would make one long run. Digests above a count limit are found
 first by a pre-aggregated count; their number is bounded by that limit. Runs of such texts are
@@ -42,10 +43,11 @@ def exact_copies(docs: DataFrame, *, keep: str = "max", id_col: str = "doc_id",
         hashed.join(F.broadcast(hot), F.col("_sha256") == F.col("_hot_sha"), "left")  # at most 1 / HOT_SHARE rows
         .withColumn("_salt", F.when(F.col("_hot_n").isNotNull(), F.pmod(F.xxhash64(id_col), F.ceil(F.col("_hot_n") / limit))).otherwise(F.lit(0).cast("long")))
         .withColumn("_key", F.substring(norm, 1, PREFIX))
-        .repartitionByRange("_key", "_salt")
+        .withColumn("_hash", F.xxhash64("_sha256"))
+        .repartitionByRange("_key", "_hash", "_salt")
         .withColumn("_norm", norm)
     )
-    run = Window.partitionBy("_key", "_norm", "_salt")
+    run = Window.partitionBy("_key", "_hash", "_norm", "_salt")
     order = F.col(id_col).desc_nulls_last() if keep == "max" else F.col(id_col).asc_nulls_last()
     return (
         salted.withColumns({"_first": F.row_number().over(run.orderBy(order)), "_run_id": F.first(id_col).over(run.orderBy(order))})
