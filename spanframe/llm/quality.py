@@ -116,3 +116,23 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
     return quality_rules(docs).select("doc_id", *[F.col(f"_{n}").alias(n) for n in names])
+
+
+ORACLE_OP7 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, unnest(range(len(x))) AS i, unnest(x) AS w FROM (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS x FROM d)),
+g AS (SELECT rid, i, w || chr(1) || lead(w, 1) OVER o || chr(1) || lead(w, 2) OVER o AS g FROM w WINDOW o AS (PARTITION BY rid ORDER BY i)),
+r AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS n FROM g WHERE g IS NOT NULL) WHERE n > 1),
+c AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM r) GROUP BY rid),
+l AS (SELECT rid, source, t, line, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+      FROM (SELECT rid, source, t, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM l GROUP BY rid),
+hosts AS (SELECT source, count(DISTINCT t) AS docs FROM d GROUP BY source),
+often AS (SELECT l.source, norm FROM l JOIN hosts h ON h.source IS NOT DISTINCT FROM l.source GROUP BY l.source, norm, docs HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) > 0.1 * docs),
+gone AS (SELECT rid, CAST(sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS BIGINT) AS n FROM l JOIN often o ON o.norm = l.norm AND o.source IS NOT DISTINCT FROM l.source GROUP BY rid),
+s AS (SELECT doc_id, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+      length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS removed_words
+      FROM d LEFT JOIN c USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN gone USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT *, NOT base_failed AND n_words - removed_words >= 0.3 * n_words AS kept FROM b
+"""

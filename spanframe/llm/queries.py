@@ -30,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": _load("exactdup", "ORACLE_OP4"), "op5_warc_boundary_chain": _load("warc", "ORACLE_OP5")}
+    return {"op4_exact_dedup": _load("exactdup", "ORACLE_OP4"), "op5_warc_boundary_chain": _load("warc", "ORACLE_OP5"), "op7_quality_rules": _load("quality", "ORACLE_OP7")}
