@@ -21,18 +21,19 @@ from spanframe.llm.quality import quality_rules
 ORACLE_SQL = None
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+def _like(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns that the stage got, less any that begin with an underscore, as helpers do."""
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c in out.columns and not c.startswith("_")])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go; texts stay as they are."""
-    return quality_rules(docs).where("_kept").select(*_columns(docs))
+    return _like(quality_rules(docs).where("_kept"), docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id stays."""
-    return exact_copies(docs).where("_kept").select(*_columns(docs))
+    return _like(exact_copies(docs).where("_kept"), docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it."""
-    return emit(mix(docs), docs.columns)
+    return emit(mix(docs), [c for c in docs.columns if not c.startswith("_")])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,12 @@ def lower_ascii(column):
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def without(docs: DataFrame, *names: str) -> DataFrame:
+    """Without columns that have the names that an operator uses for its own; results replace them."""
+    own = {n.lower() for n in names}
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in own])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name in the storage that the driver and all executors share.
 

@@ -15,20 +15,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, table
+from .common import lower_ascii, table, without
 
 #: A digest is hot above so many rows, and above this share of all rows: at most 1 / HOT_SHARE digests are.
 HOT_ROWS, HOT_SHARE = 500, 1e-4
 PREFIX = 48
 
 
+OWN = ("_keep_id", "_group_size", "_kept", "_sha256", "_hot_sha", "_hot_n", "_hot_id", "_salt", "_key", "_hash", "_norm", "_first", "_run_id", "_run_n")
+
+
 def exact_copies(docs: DataFrame, *, keep: str = "max", id_col: str = "doc_id", text_col: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row with _keep_id, _group_size, _kept and _sha256 (binary) of its group of equal texts.
 
     Texts are equal if they are identical after lower-casing A-Z. `keep` says which id stays, "max"
     or "min". Null texts count as empty. Null ids never win over others; of rows that share the
-    winning id, or of a group without ids, one arbitrary row stays. All columns are kept.
+    winning id, or of a group without ids, one arbitrary row stays. All columns are kept, but for
+    those that have the names of results or of helpers (OWN).
     """
+    docs = without(docs, *OWN)
     rows = docs.count()
     limit = max(hot_rows, int(rows * HOT_SHARE))
     norm = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))

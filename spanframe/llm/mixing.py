@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_if_small, cut, table
+from .common import WORD, broadcast_if_small, cut, table, without
 
 #: Sources, of which there is one row each, are broadcast up to this number.
 BROADCAST_ROWS = 50_000
@@ -40,6 +40,9 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeat:
     )
 
 
+OWN = ("_size", "_source", "_source_size", "_target", "_rate", "_copies", "_copy")
+
+
 def mix(
     docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), max_repeat: float = 3.0, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> DataFrame:
@@ -48,8 +51,10 @@ def mix(
     A source's rate is its target by its size. A document is taken floor(rate) times, and once more
     if a hash of its id and text falls under the fraction, so a rerun takes the same. Null texts
     have size 0; the null source is a source; rows of size 0 are taken like others. Identical rows
-    are decided alike. All columns are kept.
+    are decided alike. All columns are kept, but for those that have the names of results or of
+    helpers (OWN).
     """
+    docs = without(docs, *OWN)
     sized = docs.withColumn("_size", F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long"))
     sizes = sized.groupBy(F.col(source_col).alias("source")).agg(F.sum("_size").alias("source_size"))
     per_source = cut(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, broadcast_if_small, cut, lower_ascii, table
+from .common import SPACE, WORD, broadcast_if_small, cut, lower_ascii, table, without
 
 #: Frequent lines are broadcast up to this number, and joined by a shuffle beyond it.
 BROADCAST_ROWS = 200_000
@@ -72,6 +72,12 @@ def frequent_lines(docs: DataFrame, *, text_col: str = "text", host_col: str = "
     return cut(counts.join(hosts, F.col("_host").eqNullSafe(F.col("_host2"))).where(F.col("_n") > share * F.col("_docs")).select("_host", "_h"))
 
 
+OWN = (
+    "_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words", "_removed_words", "_base_failed", "_kept", "_clean_text",
+    "_rid", "_rhost", "_rdigest", "_digest", "_removed", "_gone", "_h", "_host", "_pos", "_line", "_rh", "_w", "_text", "_docs", "_host2", "_n",
+)
+
+
 def quality_rules(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 10, share: float = 0.1, least: float = 0.3, clean: bool = False
 ) -> DataFrame:
@@ -80,8 +86,9 @@ def quality_rules(
     Lines above the limit of frequent_lines() are removed; a document of which less than the share
     `least` of its words is left is depleted and not kept. Null texts are empty, and fail for having
     too few words; the null host is a host; rows with the same id and text are decided alike. All
-    columns are kept.
+    columns are kept, but for those that have the names of results or of helpers (OWN).
     """
+    docs = without(docs, *OWN)
     text = F.coalesce(F.col(text_col), F.lit(""))
     frequent = broadcast_if_small(frequent_lines(docs, text_col=text_col, host_col=host_col, min_docs=min_docs, share=share), BROADCAST_ROWS)
     at = docs.select(F.col(id_col).alias("_rid"), F.col(host_col).alias("_rhost"), F.xxhash64(text).alias("_rdigest"), F.posexplode(_lines(text)).alias("_pos", "_line")).select(

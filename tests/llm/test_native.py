@@ -125,3 +125,11 @@ def test_quality(spark):
             assert r._kept == (not 3000 <= r.doc_id < 4000) and ("footer" in r._clean_text.lower()) is False
             assert r._removed_words == (12 * r.text.lower().count("footer") if r.doc_id < 4000 else 0) or r._removed_words == 13 * r.text.lower().count("footer")
     assert quality_rules(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_columns_with_clashing_names(spark):
+    names = ("_kept", "kept", "_source", "size", "n_words", "_digest", "component_id", "copies", "_norm", "_size")
+    df = spark.createDataFrame([(i, f"some text {i % 2}", "s", *names) for i in range(4)], "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    for out, result in ((exact_copies(df), "_kept"), (mix(df), "_size"), (quality_rules(df), "_kept")):
+        rows = out.collect()
+        assert len(rows) == 4 and len(set(out.columns)) == len(out.columns) and not isinstance(rows[0][result], str) and rows[0].kept == "kept" and rows[0].n_words == "n_words"
