@@ -22,6 +22,8 @@ from .common import small_batches, table
 MAX_DOCS, MAX_FEATURES = 5_000, 2_048
 #: Features are taken from this log-odds of toxic against clean documents on.
 MIN_ODDS = 3.0
+#: ... if at least this share of the sampled toxic documents, and four, have them.
+MIN_SHARE = 0.015
 #: The chain. The table labels only `toxic`; the severities before it hold for toxic documents with
 #: so many distinct features, or so many for each hundred distinct words.
 CHAIN = ("dense", "repeated", "toxic")
@@ -92,18 +94,19 @@ class Chain:
     features: dict[str, int]
     models: list[Linear] = field(default_factory=list)
 
-    def probabilities(self, ptr: np.ndarray, cols: np.ndarray, size: np.ndarray) -> np.ndarray:
+    def probabilities(self, ptr: np.ndarray, cols: np.ndarray) -> np.ndarray:
         """One column for each category, each model getting those before it."""
-        more = np.log1p(size)[:, None] / 10
+        found = np.zeros((len(ptr) - 1, 0))
         for m in self.models:
-            more = np.concatenate([more, m.probability(ptr, cols, more)[:, None]], 1)
-        return more[:, 1:]
+            found = np.concatenate([found, m.probability(ptr, cols, found)[:, None]], 1)
+        return found
 
 
-def fit_chain(ptr: np.ndarray, cols: np.ndarray, size: np.ndarray, labels: np.ndarray, features: dict[str, int], folds: int = 3) -> Chain:
-    """A model for each column of labels, in order; `size` is each row's number of words."""
-    chain, more, fold = Chain(features), np.log1p(size)[:, None] / 10, np.arange(len(size)) % folds
-    owner = np.repeat(np.arange(len(size)), np.diff(ptr))
+def fit_chain(ptr: np.ndarray, cols: np.ndarray, labels: np.ndarray, features: dict[str, int], folds: int = 3) -> Chain:
+    """A model for each column of labels, in order. A text's length is no feature: long texts are judged alike."""
+    n = len(ptr) - 1
+    chain, more, fold = Chain(features), np.zeros((n, 0)), np.arange(n) % folds
+    owner = np.repeat(np.arange(n), np.diff(ptr))
 
     def part(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate([[0], np.cumsum(np.diff(ptr)[rows])]), cols[rows[owner]]
@@ -151,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_DOCS, max_f
 
     odds = F.log((F.col("t") + 0.5) / (min(max_docs, n[1]) + 1)) - F.log((F.col("c") + 0.5) / (min(max_docs, n[0]) + 1))
     best = (
-        sample.mapInArrow(count, "f string, toxic long, clean long").groupBy("f").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where("t >= 4")
+        sample.mapInArrow(count, "f string, toxic long, clean long").groupBy("f").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where(F.col("t") >= max(4.0, MIN_SHARE * min(max_docs, n[1])))
         .withColumn("odds", odds).where(F.col("odds") > MIN_ODDS).orderBy(F.desc(F.col("odds") * F.log1p("t")), "f").limit(max_features).collect()
     )
     features = {r["f"]: k for k, r in enumerate(sorted(best, key=lambda r: r["f"]))}
@@ -169,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_DOCS, max_f
     size, toxic = np.array([r["size"] for r in got], float), np.array([r["toxic"] for r in got])
     hits = np.diff(ptr)
     dense, repeated = (toxic > 0) & (100 * hits >= DENSE * size), (toxic > 0) & (hits >= REPEATED)
-    return fit_chain(ptr, cols, size, np.stack([dense, repeated, toxic > 0], 1), features)
+    return fit_chain(ptr, cols, np.stack([dense, repeated, toxic > 0], 1), features)
 
 
 def _columns(texts: list[str], features: dict[str, int], cache: _Cached | None = None) -> tuple[list[list[int]], list[int]]:
@@ -183,7 +186,7 @@ def _columns(texts: list[str], features: dict[str, int], cache: _Cached | None =
     return told, size
 
 
-def predict(docs: DataFrame, chain: Chain | None, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+def predict(docs: DataFrame, chain: Chain | None, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """doc_id, a probability for each category of CHAIN, and is_toxic of each row.
 
     Null texts are empty; texts without a word, and all texts without a chain, get 0 and are not toxic.
@@ -200,7 +203,7 @@ def predict(docs: DataFrame, chain: Chain | None, *, id_col: str = "doc_id", tex
             if chain is not None:
                 told, size = _columns(b.column("text").to_pylist(), chain.features, cache)
                 ptr = np.concatenate([[0], np.cumsum([len(x) for x in told])]).astype(np.int64)
-                p = chain.probabilities(ptr, np.array([c for x in told for c in x], np.int64), np.array(size, float))
+                p = chain.probabilities(ptr, np.array([c for x in told for c in x], np.int64))
                 p[np.array(size) == 0] = 0
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.float64()) for c in p.T), pa.array(p[:, -1] >= threshold, pa.bool_())], names=["doc_id", *(f"p_{c}" for c in CHAIN), "is_toxic"])
 

@@ -45,7 +45,7 @@ def test_toxicity_chain(spark):
     data += [(None, None, False), (5000, "", False), (5001, "123", False), (5002, "ka " * 30000 + "foulterm", True)]
     df = spark.createDataFrame(data, "doc_id long, text string, p_toxic boolean")
     chain = toxicity.train(df, spark.createDataFrame(labels + [(1, None), (None, 1), (2, 0)], "doc_id long, toxic int"))
-    assert len(chain.models) == 3 and [len(m.dense) for m in chain.models] == [1, 2, 3]
+    assert len(chain.models) == 3 and [len(m.dense) for m in chain.models] == [0, 1, 2]
     got = {r.doc_id: r for r in toxicity.predict(df, chain).collect()}
     assert all(got[i].is_toxic == y for i, _, y in data if i is None or i >= 500)
     none = toxicity.train(df, spark.createDataFrame([], "doc_id long, toxic int"))
