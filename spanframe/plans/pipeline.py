@@ -57,6 +57,7 @@ class Flow:
     def tokenize(self, ingested: str, pieces: tokenize.Pieces = tokenize.piece_count) -> str:
         def build():
             records = self.read(ingested, INGEST)
+            guards.require(guards.empty("ids in several files", ingest.duplicate_ids(records, "pmid")))
             toks = tokenize.sentences(tokenize.tokens(records))
             cut = tokenize.chunks(toks, self.max_length, pieces)
             placed = align.ordered(cut, "sent_idx", "chunk_idx", partition="pmid").withColumn("ner", F.array().cast("array<struct<indices:array<int>,fragments:array<struct<start_char:int,end_char:int>>,type:string>>"))
@@ -84,6 +85,7 @@ class Flow:
         types = list(self.spec.included(self.suffix))
         made = ModelConfig.of({**base, "entity_types": types, "label_num": len(self.spec.sentinels) + len(types)})
         writers.write_text(self.spark, f"{self.out}/config.json", json.dumps(asdict(made), indent=2))
+        writers.write_text(self.spark, f"{self.out}/label2id.json", json.dumps(self.spec.label2id, indent=2))
         return made
 
     def weights(self, labelled: str, config: ModelConfig) -> DataFrame:

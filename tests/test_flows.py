@@ -79,7 +79,11 @@ def test_failed_check_keeps_what_was_there(spark, tmp_path):
 def test_duplicates_fail_within_a_file_only(spark, tmp_path):
     docs_file(tmp_path / "a", "1.json", [{"pmid": "1", "title": "t"}])
     docs_file(tmp_path / "a", "2.json", [{"pmid": "1", "title": "t"}])
-    assert spark.read.json(Flow(spark, str(tmp_path / "o"), LabelSpec()).ingest(str(tmp_path / "a"))).count() == 2
+    flow = Flow(spark, str(tmp_path / "o"), LabelSpec())
+    ingested = flow.ingest(str(tmp_path / "a"))
+    assert spark.read.json(ingested).count() == 2
+    with pytest.raises(guards.GuardError, match="several files"):
+        flow.tokenize(ingested)
     docs_file(tmp_path / "b", "1.json", [{"pmid": "1", "title": "t"}, {"pmid": "1", "title": "u"}])
     with pytest.raises(guards.GuardError, match="duplicate ids"):
         Flow(spark, str(tmp_path / "p"), LabelSpec()).ingest(str(tmp_path / "b"))
