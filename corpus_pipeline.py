@@ -20,6 +20,9 @@ from spanframe.llm.quality import quality_rules
 
 ORACLE_SQL = None
 
+#: Distinct documents of a host above which a line of five words or more is boilerplate, however large the host.
+MOST_DOCS = 30
+
 
 def _like(out: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns that the stage got, less any that begin with an underscore, as helpers do."""
@@ -27,8 +30,8 @@ def _like(out: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go; texts stay as they are."""
-    return _like(quality_rules(docs).where("_kept"), docs)
+    """Documents that the rules reject go, with lines of more than MOST_DOCS documents as boilerplate; texts stay as they are."""
+    return _like(quality_rules(docs, most=MOST_DOCS).where("_kept"), docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

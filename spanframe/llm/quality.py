@@ -57,19 +57,26 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def frequent_lines(docs: DataFrame, *, text_col: str = "text", host_col: str = "source", min_docs: int = 10, share: float = 0.1) -> DataFrame:
+def frequent_lines(
+    docs: DataFrame, *, text_col: str = "text", host_col: str = "source", min_docs: int = 10, share: float = 0.1, most: int | None = None, min_words: int = 5
+) -> DataFrame:
     """_host and _h, the hash, of each line that more distinct documents of its host hold than the limit.
 
-    The limit is min_docs or, if more, this share of the host's distinct documents. Documents with
-    the same text count once, so copies of one document don't make its lines frequent.
+    The limit is min_docs or, if more, this share of the host's distinct documents. With `most`, lines
+    of min_words words or more are frequent above so many documents, too, however large the host.
+    Documents with the same text count once, so copies of one document don't make its lines frequent.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     told = docs.select(F.col(host_col).alias("_host"), F.xxhash64(text).alias("_digest"), text.alias("_text"))
     hosts = told.select("_host", "_digest").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"))
-    lines = told.select("_host", "_digest", F.explode(F.array_distinct(F.transform(F.filter(_lines(F.col("_text")), lambda x: x.w > 0), lambda x: x.h))).alias("_h"))
-    counts = lines.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_docs)
+    lines = told.select("_host", "_digest", F.explode(F.array_distinct(F.filter(_lines(F.col("_text")), lambda x: x.w > 0))).alias("_line"))
+    lines = lines.select("_host", "_digest", F.col("_line.h").alias("_h"), F.col("_line.w").alias("_w"))
+    counts = lines.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_n"), F.max("_w").alias("_w")).where(F.col("_n") > min_docs)
     hosts = broadcast_if_small(cut(hosts.withColumnRenamed("_host", "_host2")), BROADCAST_ROWS)
-    return cut(counts.join(hosts, F.col("_host").eqNullSafe(F.col("_host2"))).where(F.col("_n") > share * F.col("_docs")).select("_host", "_h"))
+    often = F.col("_n") > share * F.col("_docs")
+    if most is not None:
+        often |= (F.col("_n") > most) & (F.col("_w") >= min_words)
+    return cut(counts.join(hosts, F.col("_host").eqNullSafe(F.col("_host2"))).where(often).select("_host", "_h"))
 
 
 OWN = (
@@ -79,8 +86,9 @@ OWN = (
 
 
 def quality_rules(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 10, share: float = 0.1, least: float = 0.3, clean: bool = False
-) -> DataFrame:
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 10, share: float = 0.1, least: float = 0.3, most: int | None = None,
+    min_words: int = 5, clean: bool = False,
+) -> DataFrame:
     """Every row with its statistics, _removed_words, _base_failed and _kept; with `clean`, _clean_text too.
 
     Lines above the limit of frequent_lines() are removed; a document of which less than the share
@@ -90,7 +98,7 @@ def quality_rules(
     """
     docs = without(docs, *OWN)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    frequent = broadcast_if_small(frequent_lines(docs, text_col=text_col, host_col=host_col, min_docs=min_docs, share=share), BROADCAST_ROWS)
+    frequent = broadcast_if_small(frequent_lines(docs, text_col=text_col, host_col=host_col, min_docs=min_docs, share=share, most=most, min_words=min_words), BROADCAST_ROWS)
     at = docs.select(F.col(id_col).alias("_rid"), F.col(host_col).alias("_rhost"), F.xxhash64(text).alias("_rdigest"), F.posexplode(_lines(text)).alias("_pos", "_line")).select(
         "_rid", "_rhost", "_rdigest", "_pos", F.col("_line.h").alias("_rh"), F.col("_line.w").alias("_w")
     )

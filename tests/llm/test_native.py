@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from spanframe.llm.exactdup import exact_copies
 from spanframe.llm.mixing import emit, mix, targets
 from spanframe.llm.quality import quality_rules
@@ -133,3 +134,19 @@ def test_columns_with_clashing_names(spark):
     for out, result in ((exact_copies(df), "_kept"), (mix(df), "_size"), (quality_rules(df), "_kept")):
         rows = out.collect()
         assert len(rows) == 4 and len(set(out.columns)) == len(out.columns) and not isinstance(rows[0][result], str) and rows[0].kept == "kept" and rows[0].n_words == "n_words"
+
+
+def test_absolute_line_limit(spark):
+    footers = [" ".join(f"f{j}x{i}" for i in range(11)) for j in range(9)]
+    body = lambda k, n: " ".join(f"u{k}x{i}" for i in range(n))
+    data = [(k, body(k, 60) + "\n" + (footers[k % 9] if k < 315 else "les."), "h") for k in range(700)]
+    data += [(1000 + k, "\n".join([body(1000 + k, 10), *footers]), "h") for k in range(4)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    share = {r.doc_id: r for r in quality_rules(df).collect()}
+    both = {r.doc_id: r for r in quality_rules(df, most=30).collect()}
+    assert all(share[k]._removed_words == 0 and share[k]._kept for k in [*range(315), 1000, 1001, 1002, 1003])
+    assert all(both[k]._removed_words == 11 and both[k]._kept for k in range(315))
+    assert all(both[k]._removed_words == 99 and not both[k]._kept for k in range(1000, 1004))
+    far = {r.doc_id: r for r in quality_rules(df, share=0.99, most=30).collect()}
+    assert all(far[k]._removed_words == 0 for k in range(315, 700))  # short chance lines stay
+    assert {r.doc_id for r in corpus_pipeline.quality(spark, df, "").collect()} == set(range(700))
