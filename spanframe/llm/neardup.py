@@ -10,8 +10,8 @@ at again. Those are confirmed on whole sets.
 Buckets are never expanded into all pairs. Members of a small bucket whose sketches agree form a
 group around their smallest id; a large bucket is first compared with its smallest id. Each group
 is checked as a whole by a product of its shingle incidence matrix, in blocks of bounded size, and
-gives a row for each linked member. What then still has several components in a large bucket is
-compared block against block (everything outside the largest component against everything), which
+gives a row for each linked member. What then still has several components in a large bucket, or in
+a small one of a group that took several blocks, is compared block against block (everything outside the largest component against everything), which
 loses no link and ships each block's sets only where sketches agree.
 """
 
@@ -236,7 +236,9 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
     placed = groups.join(size, "centre").select("centre", F.pmod(F.xxhash64("id"), "parts").alias("part"), "id")
     placed = placed.unionByName(size.select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("centre").alias("id")))
 
-    large = cut(many.select("key", "id"))
+    # a group of several parts is compared with its centre only: its small buckets go on with the large ones
+    parted = groups.join(size.where("parts > 1"), "centre").select("id").distinct()
+    large = cut(many.select("key", "id").unionByName(few.select("key", "id").join(parted, "id", "left_semi").select("key", "id")))
     wanted = groups.select("id").unionByName(groups.select(F.col("centre").alias("id"))).unionByName(large.select("id")).distinct()
 
     def whole(batches: Iterator) -> Iterator:

@@ -57,6 +57,22 @@ def test_equals_brute_force(spark, num, small, block):
     assert got == brute(data, num)
 
 
+def test_small_buckets_of_a_group_in_several_parts(spark):
+    """Pairs whose every bucket holds documents of a wide family, which is linked with neither."""
+    rng = random.Random(5)
+    runs = [" ".join(f"r{j}w{i}" for i in range(16)) for j in range(80)]
+    wide = lambda: sorted(rng.sample(range(80), 70))
+    data = [(i, " ".join(runs[j] for j in wide())) for i in range(120)]
+    for p in range(20):
+        x = wide()
+        y = sorted((set(x) - set(rng.sample(x, 3))) | set(rng.sample(sorted(set(range(80)) - set(x)), 3)))
+        data += [(1000 + 2 * p + k, " ".join(runs[j] for j in z)) for k, z in enumerate((x, y))]
+    want = brute(data, 85)
+    assert sum(not r[3] for r in want) >= 20
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert sorted(map(tuple, near_duplicates(df, num=85, small=1000, block=1).collect()), key=str) == want
+
+
 def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(5, "a b c d e f g"), (5, "a b c d e f g"), (9, "a b c d e f g")], "doc_id long, text string")
     assert sorted(map(tuple, near_duplicates(df).collect())) == [(5, 3, 5, True), (5, 3, 5, True), (9, 3, 5, False)]
