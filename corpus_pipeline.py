@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanframe.llm.common import shared_dir, table
+from spanframe.llm.common import cut, shared_dir, table
 from spanframe.llm.exactdup import exact_copies
 from spanframe.llm.mixing import emit, mix
 from spanframe.llm.neardup import near_duplicates
@@ -40,7 +40,12 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, similarity 0.8), the row with the smallest id stays."""
+    """Of each group of near duplicates (five words, similarity 0.8), the row with the smallest id stays; each row counts by itself."""
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        order = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id()).alias("_row")
+        rows = cut(docs.orderBy("doc_id", F.xxhash64("text")).select("*", order))
+        gone = near_duplicates(rows, num=80, id_col="_row").where("not kept").select(F.col("doc_id").alias("_gone"))
+        return _like(rows.join(gone, rows["_row"] == gone["_gone"], "left_anti"), docs)
     gone = near_duplicates(docs, num=80).where("not kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 

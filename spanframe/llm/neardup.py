@@ -21,7 +21,7 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, shared_dir, small_batches, table
@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
     Rows are linked if den * |intersection| >= num * |union| of their sets of shingles; a component's
     id is the smallest id in it, and the row with that id is kept. Null, empty and blank texts have
     no shingles and are linked with nothing. A null id is linked with nothing and kept. Rows that
-    share an id are one vertex. Other columns are not read.
+    share an id are one vertex with the links of all their texts. Other columns are not read.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -203,10 +203,18 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
     texts.mapInArrow(sign, "id long, n long, digest binary, bands array<long>, s0 long, s1 long, s2 long, s3 long").write.parquet(f"{base}/signs")
     signs = spark.read.parquet(f"{base}/signs")
 
-    classes = signs.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"))
+    classes = signs.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep")).withColumn("v", F.col("rep"))
+    # ids with several texts: a class whose smallest id is another's too gets a vertex of its own, above all ids
+    several = cut(signs.where("id is not null").groupBy("id").agg(F.min(F.coalesce("digest", F.lit(b""))).alias("lo"), F.max(F.coalesce("digest", F.lit(b""))).alias("hi")).where("lo <> hi").select("id"))
+    repeated = several.limit(1).count() > 0
+    if repeated:
+        top = signs.agg(F.max("id")).first()[0]
+        order = F.row_number().over(Window.partitionBy("rep").orderBy("digest"))
+        ranked = cut(classes.select("digest", "rep").withColumn("k", order))
+        classes = cut(ranked.withColumn("v", F.when(F.col("k") == 1, F.col("rep")).otherwise(F.lit(top + 1) + F.monotonically_increasing_id())).select("digest", "rep", "v"))
     words = ["s0", "s1", "s2", "s3"]
     reps = cut(
-        signs.where("n > 0").join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("rep"))).select("id", "bands", *words).dropDuplicates(["id"])
+        signs.where("n > 0").join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("rep"))).select(F.col("v").alias("id"), "bands", *words).dropDuplicates(["id"])
     )
     sketches = reps.select("id", *words)
 
@@ -243,12 +251,20 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
 
     def whole(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from xxhash import xxh3_128_digest
 
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([shingle_hashes(t, shingle).tobytes() for t in b.column("text").to_pylist()], pa.binary())], names=["id", "hashes"])
+            sets = [shingle_hashes(t, shingle).tobytes() for t in b.column("text").to_pylist()]
+            digests = [[xxh3_128_digest(s) for s in sets]] if repeated else []
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary()), *(pa.array(d, pa.binary()) for d in digests)], names=["id", "hashes"] + ["digest"] * len(digests))
 
-    texts.join(wanted, "id", "left_semi").mapInArrow(whole, "id long, hashes binary").write.parquet(f"{base}/sets")
+    if repeated:
+        wanted = wanted.join(classes.select(F.col("v").alias("id"), "rep"), "id").select(F.col("rep").alias("id")).distinct()
+    texts.join(wanted, "id", "left_semi").mapInArrow(whole, "id long, hashes binary" + ", digest binary" * repeated).write.parquet(f"{base}/sets")
     sets = spark.read.parquet(f"{base}/sets")
+    if repeated:
+        owners = classes.select(F.col("digest").alias("d"), "rep", "v")
+        sets = cut(sets.join(owners, (F.col("digest") == F.col("d")) & (F.col("id") == F.col("rep"))).select(F.col("v").alias("id"), "hashes").dropDuplicates(["id"]))
 
     def confirm(n_keys: int) -> Callable[[list[tuple]], Iterator[tuple]]:
         def f(rows: list[tuple]) -> Iterator[tuple]:
@@ -264,6 +280,8 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
         return f
 
     links = cut(_by_groups(placed.join(sets, "id").select("centre", "part", "id", "hashes"), ["centre", "part"], confirm(2), "a long, b long"))
+    if repeated:
+        links = cut(links.unionByName(signs.select("id", "digest").join(several, "id").join(classes, "digest").select(F.col("id").alias("a"), F.col("v").alias("b")).distinct()))
     labels = components(links)
 
     at = cut(large.join(labels.withColumnRenamed("v", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")))
@@ -297,8 +315,8 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
         more = _by_groups(left.join(sets, "id").select(*keys, "id", "hashes"), keys, confirm(4), "a long, b long")
         labels = components(links.unionByName(cut(more)))
 
-    found = signs.select("id", "n", "digest").join(classes, "digest", "left").join(labels.withColumnRenamed("v", "rep"), "rep", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("label", "rep", "id"))
+    found = signs.select("id", "n", "digest").join(classes.select("digest", "v"), "digest", "left").withColumn("v", F.coalesce("v", "id")).join(labels, "v", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("label", "v"))
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 

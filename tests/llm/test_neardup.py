@@ -79,6 +79,23 @@ def test_repeated_rows_and_empty_table(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_ids_with_several_texts(spark):
+    """One vertex with the links of all its texts; the pipeline's stage drops rows, not ids."""
+    text = lambda name, n=60, last="": " ".join(f"{name}{i}" for i in range(n)) + last
+    data = []
+    for k in range(0, 200, 10):
+        data += [(k + 1, text(f"a{k}x")), (k + 1, text(f"b{k}x")), (k + 1, ""), (k + 2, text(f"a{k}x", last=" new")), (k + 3, text(f"b{k}x", last=" new"))]
+        data += [(k + 4, text(f"c{k}x")), (k + 5, text(f"c{k}x")), (k + 5, text(f"d{k}x")), (k + 6, text(f"d{k}x", last=" new"))]
+        data += [(k + 7, text(f"e{k}x")), (k + 8, text(f"f{k}x")), (k + 8, text(f"e{k}x", last=" new"))]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, near_duplicates(df, num=80).collect()), key=str) == brute(data, 80)
+    import corpus_pipeline
+
+    kept = {tuple(r) for r in corpus_pipeline.near(spark, df, "").collect()}
+    want = {(i, t) for (i, t) in data if not (t.endswith(" new") or (t.startswith("c") and i % 10 == 5))}
+    assert kept == want
+
+
 def test_linked_sets_and_sketches():
     rng = np.random.default_rng(0)
     most, missed = sketch_cut(0.85), 0
