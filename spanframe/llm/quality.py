@@ -69,9 +69,11 @@ def frequent_lines(
     text = F.coalesce(F.col(text_col), F.lit(""))
     told = docs.select(F.col(host_col).alias("_host"), F.xxhash64(text).alias("_digest"), text.alias("_text"))
     hosts = told.select("_host", "_digest").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"))
-    lines = told.select("_host", "_digest", F.explode(F.array_distinct(F.filter(_lines(F.col("_text")), lambda x: x.w > 0))).alias("_line"))
-    lines = lines.select("_host", "_digest", F.col("_line.h").alias("_h"), F.col("_line.w").alias("_w"))
-    counts = lines.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_n"), F.max("_w").alias("_w")).where(F.col("_n") > min_docs)
+    lines = told.select("_host", "_digest", F.explode(F.array_distinct(F.transform(F.filter(_lines(F.col("_text")), lambda x: x.w > 0), lambda x: x if most is not None else x.h))).alias("_h"))
+    long_ = []
+    if most is not None:
+        lines, long_ = lines.select("_host", "_digest", F.col("_h.h").alias("_h"), F.col("_h.w").alias("_w")), [F.max("_w").alias("_w")]
+    counts = lines.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_n"), *long_).where(F.col("_n") > min_docs)
     hosts = broadcast_if_small(cut(hosts.withColumnRenamed("_host", "_host2")), BROADCAST_ROWS)
     often = F.col("_n") > share * F.col("_docs")
     if most is not None:
