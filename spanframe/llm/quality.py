@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, broadcast_if_small, cut, lower_ascii, table, without
+from .common import SPACE, broadcast_if_small, cut, lower_ascii, table, without
 
 #: Frequent lines are broadcast up to this number, and joined by a shuffle beyond it.
 BROADCAST_ROWS = 200_000
 
 
-def _lines(text: Column) -> Column:
-    """Hash of the normalised line and number of words, of each line that has a word."""
-    norm = lambda x: F.trim(F.regexp_replace(lower_ascii(x), SPACE, " "))
-    return F.transform(F.split(text, "\n"), lambda x: F.struct(F.xxhash64(norm(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).cast("long").alias("w")))
+#: The six white-space characters of the contract.
+_BLANK = " \t\n\x0b\f\r"
 
 
 def _let(value: Column, body) -> Column:
@@ -22,58 +20,92 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _words(text: Column) -> Column:
+    """The words of a text; an empty array if it has none."""
+    return _let(F.btrim(text, F.lit(_BLANK)), lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE)))
+
+
+def _lower(text: Column) -> Column:
+    """A-Z lower-cased; texts of ASCII alone take the builtin, which is the same there and faster."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(lower_ascii(text))
+
+
+def _lines(text: Column) -> Column:
+    """Hash of the normalised line, number of words and place, of each line that has a word."""
+
+    def told(line: Column, at: Column) -> Column:
+        return _let(_words(line), lambda w: F.struct(F.xxhash64(_lower(F.concat_ws(" ", w))).alias("h"), F.size(w).cast("long").alias("w"), at.alias("at")))
+
+    return F.filter(F.transform(F.split(text, "\n"), told), lambda x: x.w > 0)
+
+
 def _repeats(words: Column) -> Column:
-    """Words at positions that a three-word window covers whose words occur in another window, too."""
+    """Words at positions that a three-word window covers whose words occur in another window, too.
+
+    Windows are hashed. Most texts have no equal ones and are done by a hash set; where few hashes
+    repeat, their positions are found by looking for them; otherwise windows are sorted with their
+    positions, and equal neighbours repeat. sort_array compares in generated code, unlike array_sort.
+    """
 
     def windows(w: Column) -> Column:
-        hashed = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("g"), i.alias("p")))
-        return F.when(F.size(w) >= 3, F.array_sort(hashed)).otherwise(F.array().cast("array<struct<g:bigint,p:int>>"))
+        hashed = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+        return F.slice(hashed, 1, F.greatest(F.size(w) - 2, F.lit(0)))
 
-    def twice(s: Column) -> Column:
-        return F.array_sort(F.transform(F.filter(s, lambda x, i: (x.g == F.get(s, i - 1).g) | (x.g == F.get(s, i + 1).g)), lambda x: x.p))
+    def again(h: Column) -> Column:
+        return _let(F.sort_array(h), lambda s: F.array_distinct(F.filter(s, lambda x, i: x == F.get(s, i - 1))))
+
+    def looked_for(h: Column, few: Column) -> Column:
+        return F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(few, x), i)), lambda i: i.isNotNull())
+
+    def by_sorting(h: Column) -> Column:
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("g"), i.alias("p"))))
+        return _let(placed, lambda s: F.sort_array(F.transform(F.filter(s, lambda x, i: (x.g == F.get(s, i - 1).g) | (x.g == F.get(s, i + 1).g)), lambda x: x.p)))
 
     def covered(at: Column) -> Column:
-        return F.aggregate(F.transform(at, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - p, F.lit(3)))), F.lit(0), lambda a, x: a + x)
+        start = F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last"))
+        return F.aggregate(at, start, lambda a, p: F.struct((a.n + F.least(F.lit(3), p - a.last)).alias("n"), p.alias("last")), lambda a: a.n)
+
+    def count(h: Column) -> Column:
+        told = _let(again(h), lambda few: _let(F.when(F.size(few) <= FEW, looked_for(h, few)).otherwise(by_sorting(h)), covered))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(told)
 
-    return _let(words, lambda w: _let(windows(w), lambda s: _let(twice(s), covered)))
+    return _let(windows(words), count)
+
+
+#: Up to so many repeated windows are looked for one by one.
+FEW = 16
+
+STATISTICS = ("_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words")
 
 
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns and _n_words, _word_chars, _n_symbols, _n_dup_lines, _n_repeat_words of whole texts (null: empty).
 
-    Three-word windows are hashed and sorted with their positions; equal neighbours are repeats. The
-    work for one text is n log n, in one row.
+    The work for one text is n log n at most, in one row.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lined = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    by_words = _let(_words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.char_length(F.concat_ws("", w)).cast("long").alias("c"), _repeats(w).cast("long").alias("r")))
+    lined = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(_BLANK)) != "")
     return docs.withColumns(
         {
-            "_n_words": F.regexp_count(text, F.lit(WORD)).cast("long"),
-            "_word_chars": F.char_length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long"),
-            "_n_symbols": (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+            "_by_words": by_words,
+            "_n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
             "_n_dup_lines": _let(lined, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-            "_n_repeat_words": _repeats(F.filter(F.split(text, SPACE), lambda x: x != "")).cast("long"),
         }
-    )
+    ).withColumns({"_n_words": F.col("_by_words.n"), "_word_chars": F.col("_by_words.c"), "_n_repeat_words": F.col("_by_words.r")}).drop("_by_words")
 
 
-def frequent_lines(
-    docs: DataFrame, *, text_col: str = "text", host_col: str = "source", min_docs: int = 10, share: float = 0.1, most: int | None = None, min_words: int = 5
-) -> DataFrame:
+def frequent_lines(lined: DataFrame, *, min_docs: int = 10, share: float = 0.1, most: int | None = None, min_words: int = 5) -> DataFrame:
     """_host and _h, the hash, of each line that more distinct documents of its host hold than the limit.
 
-    The limit is min_docs or, if more, this share of the host's distinct documents. With `most`, lines
-    of min_words words or more are frequent above so many documents, too, however large the host.
-    Documents with the same text count once, so copies of one document don't make its lines frequent.
+    lined: (_host, _digest, _lines) of each document. The limit is min_docs or, if more, this share
+    of the host's distinct documents. With `most`, lines of min_words words or more are frequent
+    above so many documents, too, however large the host. Documents with the same text count once,
+    so copies of one document don't make its lines frequent.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    told = docs.select(F.col(host_col).alias("_host"), F.xxhash64(text).alias("_digest"), text.alias("_text"))
-    hosts = told.select("_host", "_digest").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"))
-    lines = told.select("_host", "_digest", F.explode(F.array_distinct(F.transform(F.filter(_lines(F.col("_text")), lambda x: x.w > 0), lambda x: x if most is not None else x.h))).alias("_h"))
-    long_ = []
-    if most is not None:
-        lines, long_ = lines.select("_host", "_digest", F.col("_h.h").alias("_h"), F.col("_h.w").alias("_w")), [F.max("_w").alias("_w")]
-    counts = lines.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_n"), *long_).where(F.col("_n") > min_docs)
+    hosts = lined.select("_host", "_digest").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"))
+    each = lined.select("_host", "_digest", F.explode("_lines").alias("_l")).select("_host", "_digest", F.col("_l.h").alias("_h"), F.col("_l.w").alias("_w"))
+    counts = each.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_n"), F.max("_w").alias("_w")).where(F.col("_n") > min_docs)
     hosts = broadcast_if_small(cut(hosts.withColumnRenamed("_host", "_host2")), BROADCAST_ROWS)
     often = F.col("_n") > share * F.col("_docs")
     if most is not None:
@@ -82,57 +114,59 @@ def frequent_lines(
 
 
 OWN = (
-    "_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words", "_removed_words", "_base_failed", "_kept", "_clean_text",
-    "_rid", "_rhost", "_rdigest", "_digest", "_removed", "_gone", "_h", "_host", "_pos", "_line", "_rh", "_w", "_text", "_docs", "_host2", "_n",
+    *STATISTICS, "_removed_words", "_base_failed", "_kept", "_clean_text", "_by_words",
+    "_id", "_rid", "_rhost", "_rdigest", "_digest", "_gone", "_h", "_host", "_lines", "_l", "_row", "_w", "_docs", "_host2", "_n",
 )
 
 
-def quality_rules(
+def verdicts(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 10, share: float = 0.1, least: float = 0.3, most: int | None = None,
-    min_words: int = 5, clean: bool = False,
+    min_words: int = 5,
 ) -> DataFrame:
+    """_id, _host and _digest of every row with its statistics, _removed_words, _gone, _base_failed and _kept; no texts.
+
+    Texts are read once, into statistics and line hashes, which are written to the shared folder;
+    all that follows reads those. _gone has the places of the removed lines.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.select(F.col(id_col).alias("_id"), F.col(host_col).alias("_host"), text.alias("_text"))
+    lined = statistics(own, "_text").select("_id", "_host", F.xxhash64("_text").alias("_digest"), *STATISTICS, _lines(F.col("_text")).alias("_lines"))
+    lined = cut(lined).withColumn("_row", F.monotonically_increasing_id())
+    frequent = broadcast_if_small(frequent_lines(lined, min_docs=min_docs, share=share, most=most, min_words=min_words), BROADCAST_ROWS)
+    at = lined.select("_row", F.col("_host").alias("_rhost"), F.explode("_lines").alias("_l"))
+    removed = (
+        at.join(frequent, (F.col("_l.h") == F.col("_h")) & F.col("_rhost").eqNullSafe(F.col("_host")))
+        .groupBy("_row").agg(F.sum("_l.w").alias("_removed_words"), F.collect_list("_l.at").alias("_gone"))
+    )
+    joined = lined.drop("_lines").join(removed, "_row", "left").withColumn("_removed_words", F.coalesce("_removed_words", F.lit(0)))
+    failed = (F.col("_n_words") < 50) | (100 * F.col("_n_repeat_words") > 50 * F.col("_n_words"))
+    kept = ~failed & (F.col("_n_words") - F.col("_removed_words") >= least * F.col("_n_words"))
+    return joined.drop("_row").withColumns({"_base_failed": failed, "_kept": kept})
+
+
+def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", clean: bool = False, **limits) -> DataFrame:
     """Every row with its statistics, _removed_words, _base_failed and _kept; with `clean`, _clean_text too.
 
     Lines above the limit of frequent_lines() are removed; a document of which less than the share
-    `least` of its words is left is depleted and not kept. Null texts are empty, and fail for having
-    too few words; the null host is a host; rows with the same id and text are decided alike. All
-    columns are kept, but for those that have the names of results or of helpers (OWN).
+    `least` of its words is left is depleted and not kept (`limits`: those of verdicts()). Null texts
+    are empty, and fail for having too few words; the null host is a host; a null id is an id; rows
+    with the same id, host and text are decided alike, as they have the same lines. All columns are
+    kept, but for those that have the names of results or of helpers (OWN).
     """
     docs = without(docs, *OWN)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    frequent = broadcast_if_small(frequent_lines(docs, text_col=text_col, host_col=host_col, min_docs=min_docs, share=share, most=most, min_words=min_words), BROADCAST_ROWS)
-    at = docs.select(F.col(id_col).alias("_rid"), F.col(host_col).alias("_rhost"), F.xxhash64(text).alias("_rdigest"), F.posexplode(_lines(text)).alias("_pos", "_line")).select(
-        "_rid", "_rhost", "_rdigest", "_pos", F.col("_line.h").alias("_rh"), F.col("_line.w").alias("_w")
-    )
-    removed = (
-        at.where("_w > 0")
-        .join(frequent, (F.col("_rh") == F.col("_h")) & F.col("_rhost").eqNullSafe(F.col("_host")))
-        .groupBy("_rid", "_rhost", "_rdigest", "_pos")
-        .agg(F.max("_w").alias("_w"))
-        .groupBy("_rid", "_rhost", "_rdigest")
-        .agg(F.sum("_w").alias("_removed"), *([F.collect_list("_pos").alias("_gone")] if clean else []))
-    )
-    stats = statistics(docs, text_col).withColumn("_digest", F.xxhash64(text))
-    joined = stats.join(
-        removed,
-        F.col(id_col).eqNullSafe(F.col("_rid")) & F.col(host_col).eqNullSafe(F.col("_rhost")) & (F.col("_digest") == F.col("_rdigest")),
-        "left",
-    )
-    failed = (F.col("_n_words") < 50) | (100 * F.col("_n_repeat_words") > 50 * F.col("_n_words"))
-    out = (
-        joined.withColumn("_removed_words", F.coalesce("_removed", F.lit(0)))
-        .withColumn("_base_failed", failed)
-        .withColumn("_kept", ~F.col("_base_failed") & (F.col("_n_words") - F.col("_removed_words") >= least * F.col("_n_words")))
-    )
+    told = verdicts(docs, id_col=id_col, text_col=text_col, host_col=host_col, **limits).dropDuplicates(["_id", "_host", "_digest"]).withColumnsRenamed({"_host": "_rhost", "_digest": "_rdigest"})
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & F.col(host_col).eqNullSafe(F.col("_rhost")) & (F.col("_digest") == F.col("_rdigest"))
+    out = docs.withColumn("_digest", F.xxhash64(text)).join(told if clean else told.drop("_gone"), same)
     if clean:
         out = out.withColumn("_clean_text", F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")))
-    return out.drop("_rid", "_rhost", "_rdigest", "_digest", "_removed", "_gone")
+    return out.drop("_id", "_rhost", "_rdigest", "_digest", "_gone")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
-    return quality_rules(docs).select("doc_id", *[F.col(f"_{n}").alias(n) for n in names])
+    return verdicts(docs).select(F.col("_id").alias("doc_id"), *[F.col(f"_{n}").alias(n) for n in names])
 
 
 ORACLE_OP7 = r"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from spanframe.llm.exactdup import exact_copies
 from spanframe.llm.mixing import emit, mix, targets
-from spanframe.llm.quality import quality_rules
+from spanframe.llm.quality import quality_rules, statistics
 
 SCHEMA = "doc_id long, text string, source string, _x string, n long"
 LONG = "one two three four five six " * 2000
@@ -128,6 +128,20 @@ def test_quality(spark):
     assert quality_rules(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_repeated_windows(spark):
+    """No, few and many repeated windows, ends of texts and white space of all six kinds."""
+    import random
+
+    rng = random.Random(4)
+    texts = ["", " ", "a", "a b", "a b c", "a b c a b c", "\x0b a\x0cb \r\n c\t", "x\x85y \xa0 z", "a a a a", "q " * 40]
+    texts += [" ".join(rng.choice("abcdefg"[:k]) for _ in range(n)) for k in (2, 4, 7) for n in (5, 30, 300)]
+    texts += [" ".join(f"w{rng.randrange(9)}" for _ in range(n)) for n in (20, 60, 200, 900)]
+    got = {r.doc_id: r for r in statistics(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, t in enumerate(texts):
+        r = got[k]
+        assert (r._n_words, r._word_chars, r._n_symbols, r._n_dup_lines, r._n_repeat_words) == brute(t), t
+
+
 def test_columns_with_clashing_names(spark):
     names = ("_kept", "kept", "_source", "size", "n_words", "_digest", "component_id", "copies", "_norm", "_size")
     df = spark.createDataFrame([(i, f"some text {i % 2}", "s", *names) for i in range(4)], "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
