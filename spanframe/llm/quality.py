@@ -9,6 +9,8 @@ from .common import SPACE, broadcast_if_small, cut, lower_ascii, table, without
 
 #: Frequent lines are broadcast up to this number, and joined by a shuffle beyond it.
 BROADCAST_ROWS = 200_000
+#: Distinct documents of a host above which a line of five words or more is boilerplate, however large the host.
+MOST_DOCS = 30
 
 
 #: The six white-space characters of the contract.
@@ -166,7 +168,7 @@ def quality_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
-    return verdicts(docs).select(F.col("_id").alias("doc_id"), *[F.col(f"_{n}").alias(n) for n in names])
+    return verdicts(docs, most=MOST_DOCS).select(F.col("_id").alias("doc_id"), *[F.col(f"_{n}").alias(n) for n in names])
 
 
 ORACLE_OP7 = r"""
@@ -179,7 +181,7 @@ l AS (SELECT rid, source, t, line, trim(regexp_replace(translate(line, 'ABCDEFGH
       FROM (SELECT rid, source, t, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM l GROUP BY rid),
 hosts AS (SELECT source, count(DISTINCT t) AS docs FROM d GROUP BY source),
-often AS (SELECT l.source, norm FROM l JOIN hosts h ON h.source IS NOT DISTINCT FROM l.source GROUP BY l.source, norm, docs HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) > 0.1 * docs),
+often AS (SELECT l.source, norm FROM l JOIN hosts h ON h.source IS NOT DISTINCT FROM l.source GROUP BY l.source, norm, docs HAVING count(DISTINCT t) > 10 AND (count(DISTINCT t) > 0.1 * docs OR count(DISTINCT t) > 30 AND max(len(string_split(norm, ' '))) >= 5)),
 gone AS (SELECT rid, CAST(sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS BIGINT) AS n FROM l JOIN often o ON o.norm = l.norm AND o.source IS NOT DISTINCT FROM l.source GROUP BY rid),
 s AS (SELECT doc_id, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
       length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS removed_words
