@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,15 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the Arrow batch size, so that a batch of long texts fits a worker; never raises it."""
+    """Lower the rows of an Arrow batch, so that a worker holds few texts at a time; never raises it.
+
+    Spark bounds the bytes of a batch by itself (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB).
+    It reads both when a plan runs, so the lower number has to stay for the session.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
 
 
 def lower_ascii(column):
-    """Lower-case A-Z and nothing else."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """Lower-case A-Z and nothing else; texts of ASCII alone take the builtin, which is the same there and faster."""
+    return F.when(F.octet_length(column) == F.char_length(column), F.lower(column)).otherwise(F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
 def without(docs: DataFrame, *names: str) -> DataFrame:
@@ -39,17 +44,20 @@ def without(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in own])
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder name in the storage that the driver and all executors share.
+def _base(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; only where it is unset and all runs on one machine, a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base:
+        return base
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="spanframe-")
 
-    The place is the session's spark.checkpoint.dir. Only where it is unset, as in tests on one
-    machine, a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spanframe-")
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder name in the storage that the driver and all executors share: in spark.checkpoint.dir."""
+    base = _base(spark)
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, f"spanframe-{uuid.uuid4().hex}")
 
@@ -58,8 +66,7 @@ def cut(df: DataFrame) -> DataFrame:
     """Write to the shared folder and go on from there: lineage ends, lost executors cost nothing."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(base or "file://" + tempfile.mkdtemp(prefix="spanframe-"))
+        spark.sparkContext.setCheckpointDir(_base(spark))
     return df.checkpoint(eager=True)
 
 

@@ -7,7 +7,8 @@ driver sees stays small; the sort compares whole texts.
 
 A text held by very many rows would make one long run. Digests above a count limit are found
 first by a pre-aggregated count; their number is bounded by that limit. Runs of such texts are
-split by a salt over several partitions, and what the count found joins the parts.
+split by a salt over several partitions, and what the count found joins the parts: for those texts
+alone, the group's size and id go by the SHA-256 digest, not by comparing neighbours.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, table, without
+from .common import broadcast_if_small, cut, lower_ascii, table, without
 
 #: A digest is hot above so many rows, and above this share of all rows: at most 1 / HOT_SHARE digests are.
 HOT_ROWS, HOT_SHARE = 500, 1e-4
@@ -44,8 +45,9 @@ def exact_copies(docs: DataFrame, *, keep: str = "max", id_col: str = "doc_id",
         .agg(F.count(F.lit(1)).alias("_hot_n"), best(id_col).alias("_hot_id"))
         .where(F.col("_hot_n") > limit)
     )
+    hot = broadcast_if_small(cut(hot), int(1 / HOT_SHARE))  # no more can be above the limit
     salted = (
-        hashed.join(F.broadcast(hot), F.col("_sha256") == F.col("_hot_sha"), "left")  # at most 1 / HOT_SHARE rows
+        hashed.join(hot, F.col("_sha256") == F.col("_hot_sha"), "left")
         .withColumn("_salt", F.when(F.col("_hot_n").isNotNull(), F.pmod(F.xxhash64(id_col), F.ceil(F.col("_hot_n") / limit))).otherwise(F.lit(0).cast("long")))
         .withColumn("_key", F.substring(norm, 1, PREFIX))
         .withColumn("_hash", F.xxhash64("_sha256"))

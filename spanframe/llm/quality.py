@@ -27,16 +27,11 @@ def _words(text: Column) -> Column:
     return _let(F.btrim(text, F.lit(_BLANK)), lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE)))
 
 
-def _lower(text: Column) -> Column:
-    """A-Z lower-cased; texts of ASCII alone take the builtin, which is the same there and faster."""
-    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(lower_ascii(text))
-
-
 def _lines(text: Column) -> Column:
     """Hash of the normalised line, number of words and place, of each line that has a word."""
 
     def told(line: Column, at: Column) -> Column:
-        return _let(_words(line), lambda w: F.struct(F.xxhash64(_lower(F.concat_ws(" ", w))).alias("h"), F.size(w).cast("long").alias("w"), at.alias("at")))
+        return _let(_words(line), lambda w: F.struct(F.xxhash64(lower_ascii(F.concat_ws(" ", w))).alias("h"), F.size(w).cast("long").alias("w"), at.alias("at")))
 
     return F.filter(F.transform(F.split(text, "\n"), told), lambda x: x.w > 0)
 
