@@ -9,24 +9,32 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import broadcast_if_small, cut, small_batches, table
 from .tokens import encode_huge, encoder
 
-#: Documents for each shard that is packed on its own; each shard leaves about one sequence part empty.
-SHARD_DOCS = 8_192
+#: Documents for each shard that is packed on its own. Sequences filled to less than LOOSE of their
+#: tokens, of which each shard leaves a few, are merged with those of other shards afterwards.
+SHARD_DOCS, LOOSE = 8_192, 0.9
+#: Tasks of the packing stage at most; sequences that a merge moves are broadcast up to this number.
+MAX_TASKS, MAX_MOVES = 20_000, 100_000
 
 
-def best_fit(lengths: np.ndarray, capacity: Sequence[float], weights: Sequence[float], score: str = "norm") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_fit(
+    lengths: np.ndarray, capacity: Sequence[float], weights: Sequence[float], score: str = "norm", docs: np.ndarray | None = None, attention: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bin and offset of each piece, from 0, and the order in which they were placed.
 
-    Each piece demands (tokens, 1 document, tokens squared as attention cost) of a bin's capacities.
+    What is packed is a piece, or a run of pieces if `docs` and `attention` tell how many documents
+    and how much attention cost it has. Each piece demands (tokens, 1 document, tokens squared as attention cost) of a bin's capacities.
     Pieces go in decreasing size. Of the open bins whose residuals hold all three demands, "norm"
     takes the one with the least weighted norm of what would be left, "dot" the one with the largest
     weighted dot product of residual and demand; ties go to the oldest bin. If none holds it, a new
     bin is opened, even for a piece that is too large by itself for a soft capacity.
     """
     caps, w = np.asarray(capacity, float), np.asarray(weights, float)
-    need = np.stack([lengths / caps[0], np.full(len(lengths), 1 / caps[1]), lengths.astype(float) ** 2 / caps[2]], 1)
+    docs = np.ones(len(lengths)) if docs is None else docs
+    attention = lengths.astype(float) ** 2 if attention is None else attention
+    need = np.stack([lengths / caps[0], docs / caps[1], attention / caps[2]], 1)
     order = np.argsort(-lengths, kind="stable")
     least = need.min(0) if len(need) else need
     bins, offsets = np.empty(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
@@ -94,11 +102,12 @@ def pack(
     with `ids`, the piece's ids too, as little-endian unsigned 32-bit integers. A sequence holds at
     most max_docs pieces and max_attention of summed squared lengths; by default neither binds
     before the tokens do. Null and empty texts are one piece of the end id. Null or repeated ids are
-    no matter: each row is a document. Other columns are not read.
+    no matter: each row is a document, and an empty table gives no rows. Other columns are not read.
 
     Documents are dealt over shards of about shard_docs by a hash of their place in the input, and
     each shard is packed on its own, so no task grows with the input; only lengths, checksums and
-    (with `ids`) ids are shuffled.
+    (with `ids`) ids are shuffled. The loose sequences of all shards are then packed once more, as
+    wholes, in shards of shard_docs sequences.
     """
     small_batches(docs.sparkSession)
     shards = max(1, -(-docs.count() // shard_docs))
@@ -124,12 +133,40 @@ def pack(
                 "ids_crc32": np.concatenate(pdf["crcs"].to_list()), "sequence_id": (shard << 32) + bins, "offset": offset,
             }
         )
+        for name, x in (("_fill", length), ("_docs", np.ones(len(length))), ("_cost", length.astype(float) ** 2)):
+            out[name] = np.bincount(bins, x)[bins].astype(np.int64)
         if ids:
             out["ids"] = [x for row in pdf["ids"] for x in row]
         return out
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long" + (", ids binary" if ids else "")
-    return told.groupBy("_shard").applyInPandas(place, schema)
+    dealt = told.repartition(min(shards, MAX_TASKS), "_shard")  # a given number, so that small rows aren't put together in a few tasks
+    placed = cut(dealt.groupBy("_shard").applyInPandas(place, f"{schema}, _fill long, _docs long, _cost long"))
+    loose = placed.where((F.col("offset") == 0) & (F.col("_fill") < int(LOOSE * size))).select("sequence_id", "_fill", "_docs", "_cost")
+    again = -(-loose.count() // shard_docs)
+    if not again or shards == 1:
+        return placed.drop("_fill", "_docs", "_cost")
+
+    def merge(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values(["_fill", "sequence_id"])
+        old = pdf["sequence_id"].to_numpy()
+        bins, at, _ = best_fit(pdf["_fill"].to_numpy(), capacity, weights, score, pdf["_docs"].to_numpy(), pdf["_cost"].to_numpy(float))
+        first = np.full(bins.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(first, bins, old)
+        moved = first[bins] != old
+        moved |= at > 0
+        heads = np.isin(bins, bins[moved])
+        return pd.DataFrame({"_old": old[heads], "_new": first[bins[heads]], "_at": at[heads]})
+
+    moves = cut(
+        loose.withColumn("_shard", F.pmod(F.xxhash64("sequence_id"), F.lit(again))).repartition(min(again, MAX_TASKS), "_shard").groupBy("_shard").applyInPandas(merge, "_old long, _new long, _at long")
+    )
+    joined = placed.join(broadcast_if_small(moves, MAX_MOVES), F.col("sequence_id") == F.col("_old"), "left")
+    names = [x.strip().split(" ")[0] for x in schema.split(",")]
+    change = {"sequence_id": F.coalesce("_new", "sequence_id").alias("sequence_id"), "offset": (F.col("offset") + F.coalesce("_at", F.lit(0))).alias("offset")}
+    return joined.select(*[change.get(c, F.col(c)) for c in names])
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,36 @@ from spanframe.llm.packing import best_fit, pack
 PATH = P.path("byte_bpe_50k.json")
 
 
+def plain_best_fit(lengths, caps, weights, score):
+    """The same choice in plain Python: every open bin is looked at for every piece."""
+    left, out = [], {}
+    for k in sorted(range(len(lengths)), key=lambda k: (-lengths[k], k)):
+        need = (lengths[k] / caps[0], 1 / caps[1], lengths[k] ** 2 / caps[2])
+        best = None
+        for b, r in enumerate(left):
+            if all(x - d >= -1e-9 for x, d in zip(r, need)):
+                rest = [x - d for x, d in zip(r, need)]
+                value = sum(w * x * x for w, x in zip(weights, rest)) if score == "norm" else -sum(w * x * d for w, x, d in zip(weights, r, need))
+                if best is None or value < best[0] - 1e-15:
+                    best = (value, b)
+        if best is None:
+            best = (0, len(left))
+            left.append([1, 1, 1])
+        left[best[1]] = [x - d for x, d in zip(left[best[1]], need)]
+        out[k] = best[1]
+    return [out[k] for k in range(len(lengths))]
+
+
+@pytest.mark.parametrize("score", ["norm", "dot"])
+@pytest.mark.parametrize("caps", [(64, 64, 64.0**2), (64, 3, 64.0**2), (64, 64, 900.0)])
+def test_best_fit_equals_a_plain_search(score, caps):
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 40, 600):
+        lengths = 2 ** rng.integers(0, 6, n)  # halves and quarters: equal scores are equal in floating point
+        weights = (1.0, 0.0, 0.0) if score == "norm" else (1.0, 0.5, 0.25)
+        assert best_fit(lengths, caps, weights, score)[0].tolist() == plain_best_fit(lengths.tolist(), caps, weights, score)
+
+
 @pytest.mark.parametrize("score", ["norm", "dot"])
 @pytest.mark.parametrize("caps", [(100, 100, 1e4), (100, 3, 1e4), (100, 100, 6e3)])
 def test_best_fit_keeps_every_capacity(score, caps):
@@ -30,7 +60,7 @@ def test_pack_round_trip(spark):
     tok = Tokenizer.from_file(PATH)
     data = [(1, None, 1), (None, "", 2), (3, "word " * 700, 3), (3, "word " * 700, 3), (4, "a b c", 4)] + [(10 + i, "tok " * (i + 1), 0) for i in range(80)]
     df = spark.createDataFrame(data, "doc_id long, text string, piece long").repartition(3)
-    for shard_docs in (1000, 10):
+    for shard_docs in (1000, 10, 3):
         rows = pack(df, PATH, size=128, shard_docs=shard_docs, chunk=300, ids=True).collect()
         seqs, docs = defaultdict(list), defaultdict(list)
         for r in rows:
@@ -46,4 +76,5 @@ def test_pack_round_trip(spark):
             assert np.frombuffer(b"".join(r.ids for r in own), "<u4").tolist() == want
             assert [r.piece for r in own] == list(range(len(own))) and all(r.length == 128 for r in own[1:])
         assert sum(len(d) for d in docs.values()) == len(rows)
+        assert shard_docs == 3 or len(seqs) <= 1.1 * sum(r.length for r in rows) / 128 + 1
     assert pack(df.limit(0), PATH).count() == 0
