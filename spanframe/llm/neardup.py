@@ -24,11 +24,15 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir, small_batches, table
+from .common import broadcast_if_small, cut, shared_dir, small_batches, table
 from .components import components
 
 #: Members of a bucket that is grouped in one piece, and of one block of a larger one.
 SMALL, BLOCK = 32, 128
+#: A set or vertex is hot above so many rows, and above this share of all rows: at most 1 / HOT_SHARE are.
+HOT_ROWS, HOT_SHARE = 500, 1e-4
+#: Centres of groups of several parts are broadcast up to this number.
+BROADCAST_ROWS = 100_000
 #: Rows of a MinHash band, bits of an odd sketch, chance at most of a true link failing in either step.
 ROWS, BITS, MISS = 6, 256, 1e-6
 _MASK = (1 << 64) - 1
@@ -203,7 +207,10 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
     texts.mapInArrow(sign, "id long, n long, digest binary, bands array<long>, s0 long, s1 long, s2 long, s3 long").write.parquet(f"{base}/signs")
     signs = spark.read.parquet(f"{base}/signs")
 
-    classes = signs.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep")).withColumn("v", F.col("rep"))
+    copies = signs.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).withColumn("v", F.col("rep"))
+    # sets that more than a ten-thousandth of the rows have: at most 10,000, and their rows are spared a shuffle by the digest
+    hot = cut(copies.where(F.col("copies") > max(HOT_ROWS, int(signs.count() * HOT_SHARE))).select(F.col("digest").alias("hot_digest")))
+    classes = copies.drop("copies")
     # ids with several texts: a class whose smallest id is another's too gets a vertex of its own, above all ids
     several = cut(signs.where("id is not null").groupBy("id").agg(F.min(F.coalesce("digest", F.lit(b""))).alias("lo"), F.max(F.coalesce("digest", F.lit(b""))).alias("hi")).where("lo <> hi").select("id"))
     repeated = several.limit(1).count() > 0
@@ -241,11 +248,14 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
     stars = many.select("id", "first").distinct().where("id <> first").join(sketches, "id").join(far, "first").where(bits <= most).select(F.col("first").alias("centre"), "id")
     groups = cut(pairs.unionByName(stars).distinct())
     size = groups.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("parts"))
-    placed = groups.join(size, "centre").select("centre", F.pmod(F.xxhash64("id"), "parts").alias("part"), "id")
+    size = cut(size)
+    wide = broadcast_if_small(size.where("parts > 1").withColumnRenamed("centre", "c"), BROADCAST_ROWS)
+    sized = groups.join(wide, F.col("centre") == F.col("c"), "left")
+    placed = sized.select("centre", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).alias("part"), "id")
     placed = placed.unionByName(size.select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("centre").alias("id")))
 
     # a group of several parts is compared with its centre only: its small buckets go on with the large ones
-    parted = groups.join(size.where("parts > 1"), "centre").select("id").distinct()
+    parted = sized.where("parts is not null").select("id").distinct()
     large = cut(many.select("key", "id").unionByName(few.select("key", "id").join(parted, "id", "left_semi").select("key", "id")))
     wanted = groups.select("id").unionByName(groups.select(F.col("centre").alias("id"))).unionByName(large.select("id")).distinct()
 
@@ -315,7 +325,15 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
         more = _by_groups(left.join(sets, "id").select(*keys, "id", "hashes"), keys, confirm(4), "a long, b long")
         labels = components(links.unionByName(cut(more)))
 
-    found = signs.select("id", "n", "digest").join(classes.select("digest", "v"), "digest", "left").withColumn("v", F.coalesce("v", "id")).join(labels, "v", "left")
+    # rows of hot sets get their vertex and label by broadcast; they, and rows without a set or id, are spread evenly
+    heads = cut(classes.join(broadcast_if_small(hot, int(1 / HOT_SHARE)), F.col("digest") == F.col("hot_digest")).join(labels.withColumnRenamed("v", "w"), F.col("v") == F.col("w"), "left").select("hot_digest", F.col("v").alias("hot_v"), F.col("label").alias("hot_label")))
+    rows = signs.select("id", "n", "digest").join(broadcast_if_small(heads, int(1 / HOT_SHARE)), F.col("digest") == F.col("hot_digest"), "left")
+    spread = -1 - F.monotonically_increasing_id()
+    cold = F.col("hot_v").isNull() & F.col("digest").isNotNull()
+    rows = rows.withColumn("by", F.when(cold, F.col("digest")).otherwise(F.lpad(spread.cast("string"), 24, " ").cast("binary")))
+    found = rows.join(classes.select(F.col("digest").alias("by"), F.col("v").alias("cold_v")), "by", "left").withColumn("v", F.coalesce("cold_v", F.when(F.col("hot_v").isNull(), F.col("id"))))
+    found = found.withColumn("at", F.coalesce("v", spread)).join(labels.select(F.col("v").alias("at"), "label"), "at", "left")
+    found = found.withColumn("label", F.when(F.col("hot_v").isNull(), F.when(F.col("v").isNotNull(), F.col("label"))).otherwise(F.col("hot_label"))).withColumn("v", F.coalesce("v", "hot_v"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("label", "v"))
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 

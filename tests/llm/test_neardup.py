@@ -57,20 +57,31 @@ def test_equals_brute_force(spark, num, small, block):
     assert got == brute(data, num)
 
 
-def test_small_buckets_of_a_group_in_several_parts(spark):
+@pytest.mark.parametrize("small, block, pairs", [(1000, 1, 20), (32, 2, 40)])
+def test_small_buckets_of_a_group_in_several_parts(spark, small, block, pairs):
     """Pairs whose every bucket holds documents of a wide family, which is linked with neither."""
     rng = random.Random(5)
     runs = [" ".join(f"r{j}w{i}" for i in range(16)) for j in range(80)]
     wide = lambda: sorted(rng.sample(range(80), 70))
     data = [(i, " ".join(runs[j] for j in wide())) for i in range(120)]
-    for p in range(20):
+    for p in range(pairs):
         x = wide()
         y = sorted((set(x) - set(rng.sample(x, 3))) | set(rng.sample(sorted(set(range(80)) - set(x)), 3)))
         data += [(1000 + 2 * p + k, " ".join(runs[j] for j in z)) for k, z in enumerate((x, y))]
     want = brute(data, 85)
-    assert sum(not r[3] for r in want) >= 20
+    assert sum(not r[3] for r in want) >= pairs
     df = spark.createDataFrame(data, "doc_id long, text string")
-    assert sorted(map(tuple, near_duplicates(df, num=85, small=1000, block=1).collect()), key=str) == want
+    assert sorted(map(tuple, near_duplicates(df, num=85, small=small, block=block).collect()), key=str) == want
+
+
+def test_hot_sets_and_null_ids(spark, monkeypatch):
+    """Rows of sets that very many rows share take another way to their component."""
+    monkeypatch.setattr("spanframe.llm.neardup.HOT_ROWS", 5)
+    data = corpus(1) + [(5000 + k, "hot words that many rows of this table have in common") for k in range(40)] + [(6000 + k, " ") for k in range(40)]
+    data += [(None, None)] * 9 + [(None, "hot words that many rows of this table have in common")] * 3 + [(7000, "Hot words that many rows of this table have in common")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, near_duplicates(df, num=85).collect()), key=str)
+    assert got == brute(data, 85)
 
 
 def test_repeated_rows_and_empty_table(spark):
