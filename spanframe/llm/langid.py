@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from .common import small_batches, table
 
 BUCKETS = 1 << 16
-#: Bounds of the sample that the model is fitted on, and of the number of languages.
-MAX_DOCS_PER_LANGUAGE, MAX_LANGUAGES = 1_000, 200
+#: Bound of the sample that the model is fitted on, for each language.
+MAX_DOCS_PER_LANGUAGE = 1_000
 
 
 @functools.lru_cache(maxsize=1)
@@ -85,18 +85,19 @@ def infer(logp: np.ndarray, w: np.ndarray, penalty: float = 3.0, least: float =
 def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key: Column | None = None, max_docs: int = MAX_DOCS_PER_LANGUAGE, alpha: float = 0.05) -> tuple[list[str], np.ndarray]:
     """Languages and the log-probability of each hashed trigram (grams x languages).
 
-    Fitted on whole texts of about max_docs rows at most of each language, drawn by a hash of `key`,
-    and of the MAX_LANGUAGES most frequent languages; what reaches the driver is bounded by those
-    and BUCKETS. Without any labelled row there is no language.
+    Fitted on whole texts of about max_docs rows at most of each language, drawn by a hash of `key`.
+    Every language of the labelled rows is learned; the driver and each worker hold BUCKETS numbers
+    for each. Rows without a text or language are left out, repeated rows count each time, and
+    without any labelled row there is no language.
     """
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    sizes = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES).collect()
+    drawn = F.pmod(F.xxhash64(F.lit(8), key if key is not None else F.col(text_col)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), drawn.alias("drawn"))
+    sizes = rows.groupBy("lang").count().collect()
     langs = sorted(r[0] for r in sizes)
     if not langs:
         return [], np.zeros((BUCKETS, 0), np.float32)
-    rate = F.create_map(*[x for r in sizes for x in (F.lit(r[0]), F.lit(max_docs / r[1]))])
-    drawn = F.pmod(F.xxhash64(F.lit(8), key if key is not None else F.col(text_col)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = rows.where(F.col(lang_col).isin(langs)).where(drawn < F.try_element_at(rate, F.col(lang_col))).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rates = F.broadcast(rows.sparkSession.createDataFrame([(r[0], max_docs / r[1]) for r in sizes], "_lang string, _rate double"))  # a row for each language
+    sample = rows.join(rates, F.col("lang") == F.col("_lang")).where("drawn < _rate").select("lang", "text")
     index = {x: k for k, x in enumerate(langs)}
 
     def count(batches: Iterator) -> Iterator:
@@ -121,7 +122,9 @@ def predict(docs: DataFrame, langs: list[str], logp: np.ndarray, *, id_col: str
     """doc_id, the columns `extra`, lang_pred, score and languages (the chosen set, with proportions) of each row.
 
     Texts that are null or have no letter, and all texts where no language was learned, are `und`
-    with score 0. The score is the proportion of the language in the whole mixture.
+    with score 0. The score is the proportion of the language in the whole mixture. Of languages with
+    equal proportions, the first in code-point order is predicted. Null and repeated ids are passed
+    on, a row for each row; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     more = extra or {}
