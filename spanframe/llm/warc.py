@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .common import cut, shared_dir, table
 
 VERSION = "WARC/1.1\r\n"
+#: What stands at the start of each record, of either version of the format in use.
+MAGIC = "WARC/1."
 END = "\r\n\r\n"
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 1_000
@@ -31,7 +33,9 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
     Of rows with equal payloads of at least REVISIT_BYTES, that with the largest id is a response
     and the others are revisits of it; rows that repeat the largest id are responses too, and so are
     rows without any id beside them. Equality is that of SHA-1 and length. Spark's text writer does
-    the writing, records apart by its line separator, so any store that Spark reaches will do.
+    the writing, records apart by its line separator, so any store that Spark reaches will do; a
+    compressed archive is compressed as a whole, not record by record. An empty table gives archives
+    without a record.
     """
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), html.alias("html")).withColumns(
@@ -82,10 +86,12 @@ def read_pieces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     payloads never pass through Python. Pieces are known by their file, block and place in it; only
     their sizes and claims go to the chains. Records in one piece are done then; the pieces of those
     with magic in their payload are read again and joined, and their sizes and digests must agree.
-    A file whose chain breaks before its end fails the job rather than lose records.
+    A file whose chain breaks before its end fails the job rather than lose records. Records of
+    versions 1.0 and 1.1 are read. Candidates of one file are followed in one task, so archives of
+    other writers should have at most some millions of records each.
     """
     raw = (
-        spark.read.option("lineSep", VERSION).text(path)
+        spark.read.option("lineSep", MAGIC).text(path)
         .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), F.col("value").cast("binary").alias("value"))
     )
     split = F.locate("\r\n\r\n", F.col("value").cast("string"))
@@ -104,7 +110,7 @@ def read_pieces(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         import pandas as pd
 
         pdf = pdf.sort_values(["block", "place"]).reset_index(drop=True)
-        mark = len(VERSION)
+        mark = len(MAGIC)
         size = pdf["bytes"].to_numpy() + mark
         # the first piece of a file is what stands before the first magic
         offset = np.cumsum(size) - size - mark
@@ -144,7 +150,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     texts = raw.join(few, keys).select("file", "offset", "block", "place", "header", "payload_bytes", "value", (F.octet_length("value") == F.col("bytes")).alias("same"))
     joined = texts.groupBy("file", "offset").agg(
         F.first("header", ignorenulls=True).alias("header"), F.max("payload_bytes").alias("payload_bytes"), F.min("same").alias("same"),
-        F.expr(f"array_join(transform(array_sort(collect_list(struct(block, place, cast(value as string) as v))), x -> x.v), '{VERSION}')".replace("\r", "\\r").replace("\n", "\\n")).alias("all"),
+        F.expr(f"array_join(transform(array_sort(collect_list(struct(block, place, cast(value as string) as v))), x -> x.v), '{MAGIC}')").alias("all"),
     )
     content = F.expr("substring(cast(all as binary), octet_length(header) + 3)")
     http = F.octet_length(F.substring(content.cast("string"), F.lit(1), F.locate("\r\n\r\n", content.cast("string")) + 3))

@@ -30,7 +30,9 @@ def test_round_trip(spark, compression, split):
     data = [(1, "http://a/ b", big), (2, None, big), (9, "u", big), (3, "u", None), (4, "u", ""), (5, "u", "y" * 999), (6, "u", "y" * 999)]
     data += [(7, "u", FAKE), (8, "u", "WARC/1.1\r\n"), (8, "u", "end\r\n\r\n"), (10, "u", "\r\n\r\nWARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n"), (None, "u", "null id"), (11, "u", "z" * 5000), (11, "u", "z" * 5000), (None, "u", "z" * 5000)]
     data += [(20 + k, "u", f"page {k} " * 50) for k in range(30)]
-    df = spark.createDataFrame(data, "page_id long, url string, html string").withColumnRenamed("url", "url").repartition(3)
+    if split == "128m":
+        data += [(60, "u", "long " * 600_000), (61, "u", "long " * 600_000), (62, "u", (FAKE + "é" * 500) * 3000)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in data], "page_id long, url string, html string, sha string, bytes int").repartition(3)
     path = f"{shared_dir(spark)}/warc"
     write_archives(df, path, compression=compression)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -55,6 +57,15 @@ def test_chain_and_empty_table(spark):
     assert page_records(spark, path).count() == 0
 
 
+def test_older_version_is_read(spark):
+    path = f"{shared_dir(spark)}/older"
+    record = lambda v, payload: f"WARC/1.{v}\r\nWARC-Type: response\r\nContent-Length: {len(payload) + 25}\r\n\r\nHTTP/1.1 200 OK\r\nA: bc\r\n\r\n" + payload
+    payloads = ["first", "WARC/1.0\r\nContent-Length: 3\r\n\r\nabc", "WARC/1.x", "last"]
+    spark.createDataFrame([(k, record(k % 2, p)) for k, p in enumerate(payloads)], "k int, v string").coalesce(1).orderBy("k").select("v").write.option("lineSep", "\r\n\r\n").text(path)
+    want = {(len(p) - 1 + 1, hashlib.sha1(p.encode()).hexdigest()) for p in payloads}
+    assert {(r.payload_bytes, r.sha) for r in records(spark, path).collect()} == want
+
+
 def test_broken_chain_fails(spark):
     path = f"{shared_dir(spark)}/broken"
     spark.createDataFrame([("WARC/1.1\r\nContent-Length: 4\r\n\r\nab",)], "v string").coalesce(1).write.option("lineSep", "\r\n\r\n").text(path)
