@@ -16,47 +16,62 @@ from spanframe.llm.exactdup import exact_copies
 from spanframe.llm.mixing import emit, mix
 from spanframe.llm.neardup import near_duplicates
 from spanframe.llm.packing import pack
-from spanframe.llm.quality import quality_rules
+from spanframe.llm.quality import MOST_DOCS, quality_rules
 
 ORACLE_SQL = None
 
-#: Distinct documents of a host above which a line of five words or more is boilerplate, however large the host.
-MOST_DOCS = 30
+
+#: The columns that operators read; all others travel beside them under one name, so that no name can clash.
+READ, REST = ("doc_id", "text", "source"), "_others"
+
+
+def _bare(docs: DataFrame) -> DataFrame:
+    """The columns that operators read, and the others as one struct."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in READ]
+    return docs.select(*READ, F.struct(*others, F.lit(0).alias("_end_of_row")).alias(REST))
 
 
 def _like(out: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns that the stage got, less any that begin with an underscore, as helpers do."""
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c in out.columns and not c.startswith("_")])
+    """The columns that the stage got, in their order."""
+    return out.select(*[F.col(c) if c in READ else F.col(REST)[c].alias(c) for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go, with lines of more than MOST_DOCS documents as boilerplate; texts stay as they are."""
-    return _like(quality_rules(docs, most=MOST_DOCS).where("_kept"), docs)
+    """Documents that the rules reject go, with lines of more than MOST_DOCS documents as boilerplate; texts stay as they are.
+
+    Null and empty texts have too few words and go. Null ids and sources are values like others;
+    repeated rows are decided alike and each stays or goes.
+    """
+    return _like(quality_rules(_bare(docs), most=MOST_DOCS).where("_kept"), docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id stays."""
-    return _like(exact_copies(docs).where("_kept"), docs)
+    """Of equal texts, the row with the largest id stays; of several such rows, or of a group without ids, one."""
+    return _like(exact_copies(_bare(docs)).where("_kept"), docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, similarity 0.8), the row with the smallest id stays; each row counts by itself."""
+    """Of each group of near duplicates (five words, similarity 0.8), the row with the smallest id stays.
+
+    Each row counts by itself: of rows that share the id, the one with the smaller hash of its text
+    comes first. Rows without an id or without words are linked with nothing and stay.
+    """
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         order = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id()).alias("_row")
-        rows = cut(docs.orderBy("doc_id", F.xxhash64("text")).select("*", order))
+        rows = cut(_bare(docs).orderBy("doc_id", F.xxhash64("text")).select("*", order))
         gone = near_duplicates(rows, num=80, id_col="_row").where("not kept").select(F.col("doc_id").alias("_gone"))
         return _like(rows.join(gone, rows["_row"] == gone["_gone"], "left_anti"), docs)
-    gone = near_duplicates(docs, num=80).where("not kept").select(F.col("doc_id").alias("_gone"))
+    gone = near_duplicates(docs.select("doc_id", "text"), num=80).where("not kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it."""
-    return emit(mix(docs), [c for c in docs.columns if not c.startswith("_")])
+    """Each row as often as the mix takes it; the null source is a source, and identical rows are taken alike."""
+    return _like(emit(mix(_bare(docs)), [*READ, REST]), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all rows, in sequences of at most 2048 tokens."""
+    """The pieces of all rows, in sequences of at most 2048 tokens; a null or empty text is one piece of the end id."""
     import public_tokenizers
 
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
