@@ -13,11 +13,11 @@ from spanframe.llm.common import shared_dir
 from .test_native import brute, lower, water, words
 from .test_neardup import brute as near_brute
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _kept string, _size int, component_id string"
 
 
 def corpus():
-    rng = random.Random(3)
+    rng = random.Random(3)  # columns after n_chars have the names of results
     text = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
     out = [(0, None), (1, ""), (2, "too short"), (3, "again and " * 60)]
     base = text(150)
@@ -28,7 +28,7 @@ def corpus():
         out.append((30 + k, " ".join(w)))
     out += [(100 + k, text(rng.randrange(50, 400)) + "\nfooter") for k in range(150)]
     out += [(300, text(9000)), (400, "é" + text(60))]
-    return [(i, t, "en", None if i % 11 == 0 else f"s{i % 4}", len(t or "")) for i, t in out]
+    return [(i, t, "en", None if i % 11 == 0 else f"s{i % 4}", len(t or ""), "k", 7, None) for i, t in out]
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +40,7 @@ def stages(spark, tmp_path_factory):
         f(spark, docs, str(base)).write.parquet(f"{base}/{k}")
         docs = spark.read.parquet(f"{base}/{k}")
         out.append(sorted(map(tuple, docs.collect()), key=str))
-        assert name == "packing" or docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert name == "packing" or docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "_kept", "_size", "component_id"]
     return str(base), out
 
 
