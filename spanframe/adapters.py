@@ -26,12 +26,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize.tokens(documents(spark, sf_dir))
+    return tokenize.token_rows(documents(spark, sf_dir))
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token records with ord, their place in the document."""
-    cut = tokenize.chunks(tokenize.sentences(tokens(spark, sf_dir)), CHUNK, word_limit=12)
+    cut = tokenize.chunks(tokens(spark, sf_dir), CHUNK, word_limit=12)
     return align.ordered(cut, "sent_idx", "chunk_idx", partition="pmid")
 
 

@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and read back from the session's checkpoint folder.
-
-    The folder is spark.checkpoint.dir; only where that is unset, as on one machine, a temporary one.
-    """
-    spark = df.sparkSession
+def _base(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; only where that is unset and all runs on one machine, a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spanframe-"))
+        base = base or "file://" + tempfile.mkdtemp(prefix="spanframe-")
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder name in the storage that the driver and all executors share."""
+    return f"{_base(spark)}/spanframe-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and read back from the session's checkpoint folder."""
+    _base(df.sparkSession)
     return df.checkpoint(eager=True)

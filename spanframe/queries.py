@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from . import adapters as A
 from .functions.text import distance_bucket, map_dashes, rebase, record_id, slice_text
-from .operators import align, evaluate, grid, guards, ingest, stats, tokenize, vote
+from .operators import align, convert, evaluate, grid, guards, ingest, stats, tokenize, vote
 from .operators.predict import rule_predictor
-from .operators.storage import materialise
+from .operators.storage import materialise, shared_dir
+from .sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,7 +28,7 @@ _TOK = rf"""{_DOCS},
 p0 AS (SELECT pmid, regexp_extract_all(fulltext, '{_WORD}|(?s:.)') AS x FROM f),
 p1 AS (SELECT pmid, unnest(range(len(x))) AS ord, unnest(x) AS word FROM p0),
 p2 AS (SELECT *, CAST(sum(length(word)) OVER (PARTITION BY pmid ORDER BY ord) AS INT) AS e FROM p1),
-tok AS (SELECT pmid, ord, word, e - length(word) AS s, e FROM p2 WHERE regexp_matches(word, '^({_WORD})$'))"""
+tok AS MATERIALIZED (SELECT pmid, ord, word, e - length(word) AS s, e FROM p2 WHERE regexp_matches(word, '^({_WORD})$'))"""
 _CHUNK = rf"""RECURSIVE {_TOK},
 s0 AS (SELECT *, CAST(coalesce(sum(CAST(word IN ('.', '?', '!') AS INT)) OVER (PARTITION BY pmid ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS sent FROM tok),
 s1 AS (SELECT *, row_number() OVER (PARTITION BY pmid, sent ORDER BY ord) - 1 AS i, greatest(1, CAST(ceil(length(word) / 4.0) AS INT)) AS n FROM s0),
@@ -36,19 +37,19 @@ s3 AS (SELECT a.pmid, a.sent, a.i, greatest(a.i + 1, coalesce(b.i, 1000000000))
        FROM (SELECT *, cum - n + {A.CHUNK} - 2 AS thr FROM s2) a ASOF LEFT JOIN s2 b ON a.pmid = b.pmid AND a.sent = b.sent AND a.thr < b.cum),
 c0 AS (SELECT pmid, sent, i, nxt, 0 AS chunk FROM s3 WHERE i = 0
        UNION ALL SELECT s3.pmid, s3.sent, s3.i, s3.nxt, c0.chunk + 1 FROM c0 JOIN s3 ON s3.pmid = c0.pmid AND s3.sent = c0.sent AND s3.i = c0.nxt),
-words AS (SELECT c0.pmid, c0.sent, c0.chunk, s2.i - c0.i AS w, s2.word, s2.s, s2.e, s2.ord FROM c0 JOIN s2 ON s2.pmid = c0.pmid AND s2.sent = c0.sent AND s2.i >= c0.i AND s2.i < c0.nxt),
-chunks AS (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY sent, chunk) - 1 AS c FROM
+words AS MATERIALIZED (SELECT c0.pmid, c0.sent, c0.chunk, s2.i - c0.i AS w, s2.word, s2.s, s2.e, s2.ord FROM c0 JOIN s2 ON s2.pmid = c0.pmid AND s2.sent = c0.sent AND s2.i >= c0.i AND s2.i < c0.nxt),
+chunks AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY sent, chunk) - 1 AS c FROM
           (SELECT pmid, sent, chunk, concat_ws('_', pmid, sent, chunk) AS id, count(*) AS n_words, min(s) AS s, max(e) AS e FROM words GROUP BY ALL))"""
 _LABELS = f"""{_CHUNK},
 l0 AS (SELECT *, lead(s, 2) OVER (PARTITION BY pmid ORDER BY ord) AS s2, lead(e, 2) OVER (PARTITION BY pmid ORDER BY ord) AS e2 FROM tok),
 l1 AS (SELECT pmid, row_number() OVER (PARTITION BY pmid ORDER BY ord) - 1 AS label_ord, s, e, s2, e2,
        CASE WHEN length(word) % 7 = 0 THEN NULL WHEN length(word) % 3 = 0 THEN 'Chemical' WHEN length(word) % 3 = 1 THEN 'Disease' ELSE 'Species' END AS type
        FROM l0 WHERE regexp_matches(word, 'tion$') AND s2 IS NOT NULL),
-l2 AS (SELECT l1.pmid, l1.label_ord, min(chunks.c) AS chunk_ord FROM l1 JOIN chunks ON l1.pmid = chunks.pmid AND chunks.s <= l1.s AND l1.e2 <= chunks.e GROUP BY ALL),
-ww AS (SELECT words.*, chunks.c, chunks.id, chunks.n_words FROM words JOIN chunks USING (pmid, sent, chunk)),
+l2 AS MATERIALIZED (SELECT l1.pmid, l1.label_ord, min(chunks.c) AS chunk_ord FROM l1 JOIN chunks ON l1.pmid = chunks.pmid AND chunks.s <= l1.s AND l1.e2 <= chunks.e GROUP BY ALL),
+ww AS MATERIALIZED (SELECT words.*, chunks.c, chunks.id, chunks.n_words FROM words JOIN chunks USING (pmid, sent, chunk)),
 l3 AS (SELECT l1.*, l2.chunk_ord, a.id, a.n_words, a.w AS i1, b.w AS i2 FROM l1 LEFT JOIN l2 USING (pmid, label_ord)
        LEFT JOIN ww a ON a.pmid = l1.pmid AND a.c = l2.chunk_ord AND a.s = l1.s LEFT JOIN ww b ON b.pmid = l1.pmid AND b.c = l2.chunk_ord AND b.s = l1.s2),
-fates AS (SELECT *, CASE WHEN type IS NULL THEN 'unknown' WHEN i1 IS NULL OR i2 IS NULL THEN 'dropped' ELSE 'assigned' END AS status FROM l3)"""
+fates AS MATERIALIZED (SELECT *, CASE WHEN type IS NULL THEN 'unknown' WHEN i1 IS NULL OR i2 IS NULL THEN 'dropped' ELSE 'assigned' END AS status FROM l3)"""
 _GRID = f"""{_LABELS},
 ent AS (SELECT id, label_ord, i1, i2, n_words, CASE type WHEN 'Chemical' THEN 2 WHEN 'Disease' THEN 3 ELSE 5 END AS label FROM fates WHERE status = 'assigned'),
 cells AS (SELECT id, i1 AS "row", i2 AS col, 1 AS label, label_ord, 0 AS last FROM ent UNION ALL SELECT id, i2, i1, label, label_ord, 1 FROM ent),
@@ -100,16 +101,21 @@ def normalize_dashes(spark, sf):
     return both.select("k", F.md5(out.cast("binary")).alias("digest"), (F.char_length(out) == F.char_length("t")).alias("length_ok"))
 
 
-@query("nfkc_normalize")
+# Texts of made-up documents, and what they become: ligature, accents in parts, superscript, full width, no-break space.
+_COMPOSED = [("x1", "ﬁn", "fin", False), ("x2", "e\u0301 ²", "é 2", False), ("x3", "plain", "plain", True), ("x4", "ＡＢ\u00a0x", "AB x", True), ("x5", "½", "1⁄2", False)]
+
+
+@query("nfkc_normalize", f"WITH {_DOCS} SELECT pmid, md5(nfc_normalize(title)) AS title, length(nfc_normalize(title)) = length(title) AND length(nfc_normalize(abstract)) = length(abstract) AS length_ok FROM d UNION ALL SELECT pmid, md5(t), ok FROM (VALUES {', '.join(f'({k!r}, {b!r}, {ok})' for k, _, b, ok in _COMPOSED)}) AS v(pmid, t, ok)")
 def nfkc_normalize(spark, sf):
-    odd = spark.createDataFrame([("x1", "ﬁn", ""), ("x2", "é ²", "Å"), ("x3", "", "plain")], "pmid string, title string, abstract string")
-    return ingest.normalised(ingest.from_lines(A.table(spark, sf, "documents")).unionByName(odd)).select("pmid", "length_ok")
+    odd = spark.createDataFrame([(k, a, "") for k, a, _, _ in _COMPOSED], "pmid string, title string, abstract string")
+    out = ingest.normalised(ingest.from_lines(A.table(spark, sf, "documents")).unionByName(odd))
+    return out.select("pmid", F.md5(F.col("title").cast("binary")).alias("title"), "length_ok")
 
 
 @query("tokenize_offsets", f"WITH {_TOK} SELECT pmid, count(*) AS n, CAST(sum(s) AS BIGINT) AS sum_s, CAST(sum(e) AS BIGINT) AS sum_e, md5(string_agg(word, ' ' ORDER BY ord)) AS digest FROM tok GROUP BY pmid")
 def tokenize_offsets(spark, sf):
     words = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "word"))), lambda x: x.word), " ")
-    return A.tokens(spark, sf).groupBy("pmid").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("sum_s"), F.sum("e").alias("sum_e"), F.md5(words.cast("binary")).alias("digest"))
+    return tokenize.tokens(A.documents(spark, sf)).groupBy("pmid").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("sum_s"), F.sum("e").alias("sum_e"), F.md5(words.cast("binary")).alias("digest"))
 
 
 @query("tokenize_arrow", f"WITH {_TOK} SELECT pmid, count(*) AS n, CAST(sum(s) AS BIGINT) AS sum_s, CAST(sum(e) AS BIGINT) AS sum_e FROM tok GROUP BY pmid")
@@ -379,24 +385,197 @@ def label_ids(spark, sf):
     return align.label_ids(spark, A.SPEC)
 
 
-@query("predict_postprocess_evaluate")
+def _found(k: int) -> str:
+    """SQL of the entities that the rules find with words of k letters before the last, with their voted types."""
+    return f"""h{k} AS (SELECT pmid, sent, chunk, w, s, e, CASE WHEN word LIKE '%n' THEN 'Chemical' ELSE 'Disease' END AS t FROM words WHERE length(word) <= 12 AND regexp_matches(word, '^[a-z]{{{k},}}[ne]$')),
+i{k} AS (SELECT *, w - row_number() OVER (PARTITION BY pmid, sent, chunk, t ORDER BY w) AS g FROM h{k}),
+r{k} AS (SELECT pmid, sent, chunk, t, min(w) AS w, min(s) AS s, max(e) AS e FROM i{k} GROUP BY pmid, sent, chunk, t, g),
+e{k} AS (SELECT r.pmid, chunks.id, chunks.c, chunks.s AS begins, r.s, r.e, CASE WHEN chunks.c % 3 = 0 THEN 'Species' ELSE t END AS type, substr(fulltext, r.s + 1, r.e - r.s) AS txt,
+        row_number() OVER (PARTITION BY r.pmid, r.sent, r.chunk ORDER BY t, w) - 1 AS o FROM r{k} r JOIN chunks USING (pmid, sent, chunk) JOIN f USING (pmid)),
+v{k} AS (SELECT pmid, txt, arg_max(type, n * 1000000000000 - first) AS major FROM (SELECT pmid, txt, type, count(*) AS n, min(c * 10000 + o) AS first FROM e{k} GROUP BY ALL) GROUP BY ALL),
+k{k} AS (SELECT e{k}.*, major FROM e{k} JOIN v{k} USING (pmid, txt))"""
+
+
+def _predicted(tokens: DataFrame, texts: DataFrame, shortest: int) -> DataFrame:
+    """Postprocess records of two rules; in every third chunk both say Species, so that surfaces have types to vote on."""
+    rules = {"Chemical": lambda w: w.rlike(f"^[a-z]{{{shortest},}}n$"), "Disease": lambda w: w.rlike(f"^[a-z]{{{shortest},}}e$")}
+    told = rule_predictor(rules)(tokens)
+    odd = F.transform("entity", lambda x: F.struct(x.text.alias("text"), x.indices.alias("indices"), F.when(F.col("ord") % 3 == 0, "Species").otherwise(x.type).alias("type")))
+    return vote.postprocess(tokens, told.withColumn("entity", odd), texts)
+
+
+@query(
+    "predict_postprocess_evaluate",
+    f"""WITH {_CHUNK}, {_found(5)}, {_found(6)}, g AS (SELECT DISTINCT pmid, s, e, major AS type FROM k5), p AS (SELECT DISTINCT pmid, s, e, major AS type FROM k6),
+m AS (SELECT coalesce(g.type, p.type) AS type, g.pmid IS NOT NULL AS g, p.pmid IS NOT NULL AS p FROM g FULL JOIN p ON g.pmid = p.pmid AND g.s = p.s AND g.e = p.e AND g.type = p.type),
+c AS (SELECT coalesce(type, 'overall') AS type, count(*) FILTER (g AND p) AS tp, count(*) FILTER (p AND NOT g) AS fp, count(*) FILTER (g AND NOT p) AS fn FROM m GROUP BY ROLLUP (m.type)), r AS (SELECT *, {_PRF} FROM c) SELECT *, {_F1} FROM r""",
+)
 def predict_postprocess_evaluate(spark, sf):
     """The whole flow: chunks, two rule sets as gold and prediction, postprocessing with majority types, strict scores."""
     tokens = materialise(A.chunks(spark, sf))
     texts = A.documents(spark, sf).select("pmid", "fulltext")
+    return evaluate.evaluate(*[evaluate.predicted_keys(_predicted(tokens, texts, k)) for k in (5, 6)])
+
+
+@query("entity_surfaces", f"WITH {_CHUNK}, {_found(5)} SELECT id, o AS entity_ord, md5(txt) AS digest, s - begins AS s, e - begins AS e, begins AS fulltext_offset, major AS type FROM k5")
+def entity_surfaces(spark, sf):
+    """Surfaces, spans within the sentence and voted types of every entity of the postprocess records."""
+    tokens = materialise(A.chunks(spark, sf))
+    each = _predicted(tokens, A.documents(spark, sf).select("pmid", "fulltext"), 5).select("id", "fulltext_offset", F.posexplode("entity").alias("entity_ord", "x"))
+    span = F.explode("x.sentence_spans").alias("y")
+    told = each.select("id", F.col("entity_ord").cast("long").alias("entity_ord"), F.md5(F.col("x.text_str").cast("binary")).alias("digest"), "fulltext_offset", F.col("x.type").alias("type"), span)
+    return told.select("id", "entity_ord", "digest", F.col("y.s").alias("s"), F.col("y.e").alias("e"), "fulltext_offset", "type")
+
+
+@query("strict_prf_types", f"WITH {_KEYS}, c AS (SELECT coalesce(type, 'overall') AS type, count(*) FILTER (g AND p) AS tp, count(*) FILTER (p AND NOT g) AS fp, count(*) FILTER (g AND NOT p) AS fn FROM m WHERE type IN ('Disease', 'Species') GROUP BY ROLLUP (m.type)), r AS (SELECT *, {_PRF} FROM c) SELECT *, {_F1} FROM r")
+def strict_prf_types(spark, sf):
+    """Scores of some types only."""
+    return evaluate.evaluate(_keys(spark, sf, 7, False), _keys(spark, sf, 8, True), ["Disease", "Species"])
+
+
+@query("span_sets", f"WITH {_LABELS}, x AS (SELECT pmid, s, e, s2, e2, type, label_ord FROM l1 WHERE type IS NOT NULL) SELECT count(*) FILTER (label_ord % 5 <> 0) AS tp, count(*) FILTER (label_ord % 5 = 0) AS fp, count(*) FILTER (label_ord % 5 = 0) AS fn FROM x")
+def span_sets(spark, sf):
+    """Entities of two spans are equal whatever the order and repeats of the spans; every fifth prediction lacks a span."""
+    known = A.annotations(spark, sf).select("pmid", F.posexplode("label").alias("k", "l")).where("l.type <> 'Foo'")
+    less = F.when(F.col("k") % 5 == 0, F.slice("l.spans", 1, 1)).otherwise(F.concat(F.reverse("l.spans"), F.slice("l.spans", 1, 1)))
+    one = lambda spans: known.select("pmid", F.array(F.struct(spans.alias("spans"), F.col("l.type").alias("type"))).alias("label"))
+    m = evaluate.matches(evaluate.gold_keys(one(F.col("l.spans"))), evaluate.gold_keys(one(less)))
+    return m.agg(F.count_if(F.col("g") & F.col("p")).alias("tp"), F.count_if(~F.col("g") & F.col("p")).alias("fp"), F.count_if(F.col("g") & ~F.col("p")).alias("fn"))
+
+
+@query("observed_types", f"WITH {_LABELS} SELECT DISTINCT type FROM fates WHERE status = 'assigned'")
+def observed_types(spark, sf):
+    return stats.observed_types(align.with_entities(*A.labelled(spark, sf)))
 
-    def records(shortest: int):
-        rules = {"Chemical": lambda w: w.rlike(f"^[a-z]{{{shortest},}}n$"), "Disease": lambda w: w.rlike(f"^[a-z]{{{shortest},}}e$")}
-        return vote.postprocess(tokens, rule_predictor(rules)(tokens), texts)
 
-    return evaluate.evaluate(evaluate.predicted_keys(records(5)), evaluate.predicted_keys(records(6)))
+@query("decoded_entities", f"WITH {_GRID}, n AS (SELECT id, i1, i2, label FROM ent) SELECT DISTINCT n.id, concat_ws(',', i1, i2) AS indices, concat_ws(' ', CASE WHEN length(a.word) > 12 THEN 'LONG_WORD' ELSE a.word END, CASE WHEN length(b.word) > 12 THEN 'LONG_WORD' ELSE b.word END) AS txt, CASE label WHEN 2 THEN 'Chemical' WHEN 3 THEN 'Disease' ELSE 'Species' END AS type FROM n JOIN ww a ON a.id = n.id AND a.w = i1 JOIN ww b ON b.id = n.id AND b.w = i2")
+def decoded_entities(spark, sf):
+    """Predict records made from the grids of the labels: words, indices and types."""
+    _, cut, fates = A.labelled(spark, sf)
+    told = grid.entities(grid.decode(grid.encode(A.entities(cut, fates), A.SPEC)), cut, A.SPEC).select("id", F.explode("entity").alias("x"))
+    return told.select("id", _joined(F.col("x.indices")).alias("indices"), F.array_join("x.text", " ").alias("txt"), F.col("x.type").alias("type"))
+
+
+# Cells of one made-up sentence for each customer, of k diamonds in a row: 2 ^ k paths from its head to its tail.
+_LATTICE = """c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_custkey % 7 + 1 AS INT) AS k FROM customer)"""
+
+
+@query("path_explosion", f"WITH {_LATTICE} SELECT id, 0 AS head, CAST(3 * k AS INT) AS tail, CAST(pow(2, k) AS BIGINT) AS n_paths, 'too many paths' AS message FROM c WHERE pow(2, k) > 20")
+def path_explosion(spark, sf):
+    """Warnings of the guarded decoder: anchors with more than 20 paths."""
+    return grid.decode_guarded(_lattices(spark, sf), max_paths=20)[1].select("id", "head", "tail", F.col("stats")["n_paths"].alias("n_paths"), "message")
+
+
+@query("branching_paths", f"WITH {_LATTICE}, p AS (SELECT id, k, unnest(range(CAST(pow(2, k) AS BIGINT))) AS x FROM c WHERE pow(2, k) <= 20) SELECT id, 0 AS head, CAST(3 * k AS INT) AS tail, 2 AS label, array_to_string(list_concat([0], flatten(list_transform(range(k), lambda j: [3 * j + 1 + (x >> j) % 2, 3 * j + 3]))), ',') AS indices FROM p")
+def branching_paths(spark, sf):
+    """Every path of the anchors that the guard lets through: 3 to 9 words, branching at every third."""
+    return grid.decode_guarded(_lattices(spark, sf), max_paths=20)[0].select("id", "head", "tail", "label", _joined(F.col("indices")).alias("indices"))
+
+
+def _lattices(spark, sf) -> DataFrame:
+    ids = A.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), (F.col("c_custkey") % 7 + 1).cast("int").alias("k"))
+    edge = lambda a, b: F.struct(a.cast("int").alias("row"), b.cast("int").alias("col"), F.lit(1).alias("label"))
+    diamonds = F.flatten(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.array(edge(3 * j, 3 * j + 1), edge(3 * j, 3 * j + 2), edge(3 * j + 1, 3 * j + 3), edge(3 * j + 2, 3 * j + 3))))
+    anchor = F.array(F.struct((3 * F.col("k")).cast("int").alias("row"), F.lit(0).alias("col"), F.lit(2).alias("label")))
+    return ids.select("id", F.explode(F.concat(diamonds, anchor)).alias("c")).select("id", "c.*")
+
+
+_BIOC_TYPES = {"ChemicalEntity": "Chemical", "DiseaseOrPhenotypicFeature": "Disease"}
+
+
+@query(
+    "bioc_convert",
+    f"""WITH {_DOCS}, b AS (SELECT *, length(title) AS n, CAST(pmid AS BIGINT) % 5 AS kind FROM f),
+x AS (SELECT *, CASE WHEN kind = 1 THEN 'no abstract' WHEN kind = 2 THEN 'title not at 0' END AS problem FROM b)
+SELECT pmid, problem, CASE WHEN problem IS NULL THEN title END AS title, CASE WHEN problem IS NULL THEN md5(abstract) END AS abstract,
+CASE WHEN problem IS NULL THEN concat_ws(';', '0-' || greatest(1, n) || ':Chemical', (n + 2) || '-' || (n + 4) || ',' || (n + 1) || '-' || (n + 2) || ':Disease') END AS label FROM x""",
+)
+def bioc_convert(spark, sf):
+    """Passages to titles and abstracts, and annotations to offsets of the fulltext; some documents can't be converted."""
+    docs, n = A.documents(spark, sf), F.char_length("title")
+    kind = F.col("pmid").cast("long") % 5
+    infon = lambda k, v: F.array(F.struct(F.lit(v).alias("_VALUE"), F.lit(k).alias("_key")))
+    place = lambda length, offset: F.struct(length.cast("int").alias("_length"), offset.cast("int").alias("_offset"))
+    note = lambda i, t, *at: F.struct(F.lit(i).alias("_id"), infon("type", t).alias("infon"), F.array(*at).alias("location"), F.lit("").alias("text"))
+    passage = lambda k, offset, text, *notes: F.struct(infon("type", k).alias("infon"), offset.cast("int").alias("offset"), text.alias("text"), F.array(*notes).alias("annotation"))
+    begins = n + 4  # a corpus whose abstract begins four after the title's end
+    title = passage("title", F.when(kind == 2, 3).otherwise(0), F.col("title"), note("1", "ChemicalEntity", place(F.greatest(n, F.lit(1)), F.lit(0))), note("2", "Unheard", place(F.lit(1), F.lit(0))))
+    abstract = passage("abstract", begins, F.col("abstract"), note("3", "DiseaseOrPhenotypicFeature", place(F.lit(2), begins + 1), place(F.lit(1), begins)), note("4", "ChemicalEntity", place(F.lit(3), begins), place(F.lit(0), begins + 5)))
+    good, bad = convert.convert(docs.select(F.col("pmid").alias("id"), F.when(kind == 1, F.array(title)).otherwise(F.array(title, abstract)).alias("passage")), _BIOC_TYPES)
+    spans = lambda x: F.array_join(F.transform(x.spans, lambda y: F.concat_ws("-", y.s.cast("string"), y.e.cast("string"))), ",")
+    label = F.array_join(F.transform("label", lambda x: F.concat_ws(":", spans(x), x.type)), ";")
+    told = good.select("pmid", F.lit(None).cast("string").alias("problem"), "title", F.md5(F.col("abstract").cast("binary")).alias("abstract"), label.alias("label"))
+    none = [F.lit(None).cast("string").alias(c) for c in ("title", "abstract", "label")]
+    return told.unionByName(bad.select("pmid", "problem", *none))
+
+
+@query("staged_json_lines", "SELECT doc_id, lang, source, n_chars, md5(text) AS digest, 1 AS seen FROM documents")
+def staged_json_lines(spark, sf):
+    """Documents published as JSON lines and read back: a staged write, a check of the count, and a scan with a declared schema."""
+    path = f"{shared_dir(spark)}/documents"
+    writers.publish(A.table(spark, sf, "documents"), path, lambda n: [guards.record_parity(n, n)])
+    back = readers.json_lines(spark, path, "doc_id long, text string, lang string, source string, n_chars long")
+    return back.select("doc_id", "lang", "source", "n_chars", F.md5(F.col("text").cast("binary")).alias("digest"), F.lit(1).alias("seen"))
+
+
+@query("annotation_files", "SELECT CAST(item_id AS VARCHAR) AS pmid, trim(text) AS title, row_number() OVER (ORDER BY item_id) - 1 AS ord, 2 AS n_spans, 'Disease' AS type FROM benchmark")
+def annotation_files(spark, sf):
+    """Items written as one JSON array of annotation documents and read back, in their order in the file."""
+    path = f"{shared_dir(spark)}/items.json"
+    items = A.table(spark, sf, "benchmark").select("item_id", F.col("item_id").cast("string").alias("pmid"), F.col("text").alias("articleTitle"), F.expr("array(array(variant_get(parse_json('[[0,1],[2,3]]'), '$', 'variant'), variant_get(parse_json('\"Disease\"'), '$', 'variant')))").alias("label"))
+    writers.write_json_array(items, path, "item_id")
+    back = readers.annotation_json(spark, path, "part*")
+    return back.select("pmid", "title", F.col("ord").cast("long").alias("ord"), F.size(F.get("label", F.lit(0)).spans).alias("n_spans"), F.get("label", F.lit(0)).type.alias("type"))
+
+
+_REJECTED = [("r1", "ﬁn", "x"), ("r2", "a–b", " c "), ("", "t", ""), ("r3", "", " "), ("r5", "co­op", "")]
+
+
+@query("ingest_rejects", f"WITH {_DOCS} SELECT pmid, 'no text' AS reason FROM d WHERE title = '' AND abstract = '' UNION ALL SELECT * FROM (VALUES ('', 'no id'), ('r1', 'length changed'), ('r3', 'no text'), ('r5', 'length changed')) AS v(pmid, reason)")
+def ingest_rejects(spark, sf):
+    """Rows that ingestion leaves out, with reasons: the documents, and some made-up ones for each reason."""
+    odd = spark.createDataFrame(_REJECTED, "pmid string, title string, abstract string")
+    return ingest.ingest(ingest.from_lines(A.table(spark, sf, "documents")).unionByName(odd))[1]
+
+
+# Cases of the checks: guard, case, what it should say.
+_VERDICTS = [
+    ("record parity", "100 to 95", "warn"), ("record parity", "1000 to 970", "warn"), ("record parity", "100 to 90", "error"), ("record parity", "unknown to 50", "skip"), ("record parity", "0 to 0", "skip"),
+    ("alignment", "4 of 1000", "pass"), ("alignment", "20 of 1000", "warn"), ("alignment", "10 of 100", "error"), ("alignment", "0 of 0", "skip"),
+    ("vocabulary", "C of C and D", "error"), ("vocabulary", "removal allowed", "warn"), ("vocabulary", "none configured", "skip"),
+    ("head size", "8", "pass"), ("head size", "5", "error"), ("configured types", "same", "pass"), ("configured types", "turned", "error"), ("known types", "Foo", "error"), ("known types", "Disease", "pass"),
+    ("hidden size", "768 and 768", "pass"), ("hidden size", "768 and 1024", "error"), ("predictions", "3 and 3", "pass"), ("predictions", "3 and 2", "error"),
+]
+
+
+@query("guard_verdicts", f"SELECT * FROM (VALUES {', '.join(map(str, _VERDICTS))}) AS v(guard, example, status)")
+def guard_verdicts(spark, sf):
+    """What each check says in its cases."""
+    types = list(A.SPEC.entity_types)
+    made = [
+        guards.record_parity(100, 95), guards.record_parity(1000, 970), guards.record_parity(100, 90), guards.record_parity(None, 50), guards.record_parity(0, 0),
+        guards.alignment(4, 1000), guards.alignment(20, 1000), guards.alignment(10, 100), guards.alignment(0, 0),
+        guards.vocabulary(["C"], ["C", "D"]), guards.vocabulary(["C"], ["C", "D"], True), guards.vocabulary(["C"], []),
+        guards.head_size(8, A.SPEC), guards.head_size(5, A.SPEC), guards.same_types(types, A.SPEC), guards.same_types(types[::-1], A.SPEC), guards.known_types(["Foo"], A.SPEC), guards.known_types(["Disease"], A.SPEC),
+        guards.hidden_size(768, 768), guards.hidden_size(768, 1024), guards.equal_counts("predictions", 3, 3), guards.equal_counts("predictions", 3, 2),
+    ]
+    return spark.createDataFrame([(v.guard, example, v.status) for v, (_, example, _) in zip(made, _VERDICTS, strict=True)], "guard string, example string, status string")
+
+
+@query("loss_mask", f'WITH {_GRID}, z AS (SELECT id, n_words FROM chunks), i AS (SELECT id, n_words, unnest(range(n_words)) AS i FROM z), ij AS (SELECT id, i, unnest(range(n_words)) AS j FROM i) SELECT ij.id, count(*) AS n_cells FROM ij LEFT JOIN grid ON grid.id = ij.id AND grid."row" = i AND grid.col = j WHERE j >= i OR coalesce(label, 0) > 0 GROUP BY 1')
+def loss_mask(spark, sf):
+    """The mask itself, cell by cell, over all cells of every sentence; loss_mask_cells is its closed form."""
+    _, cut, fates = A.labelled(spark, sf)
+    labels = grid.encode(A.entities(cut, fates), A.SPEC).select("id", F.col("row").alias("i"), F.col("col").alias("j"), "label")
+    cells = grid.pair_grid(cut.select("id", F.size("spans").alias("n"))).join(labels, ["id", "i", "j"], "left")
+    return cells.where(grid.in_loss(F.col("i"), F.col("j"), F.coalesce("label", F.lit(0)))).groupBy("id").agg(F.count(F.lit(1)).alias("n_cells"))
 
 
 @query("manifest_hash", None)
 def manifest_hash(spark, sf):
     from .sources.readers import file_hashes
 
-    return file_hashes(spark, f"{sf}/region.parquet").select("length", "sha256")
+    return file_hashes(spark, f"{sf}/documents.parquet").select("length", "sha256")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
