@@ -27,6 +27,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _swap(fs, staging, target, old) -> None:
+    """Move what is there aside, the new into its place, and only then delete the old; it is put back if the move fails."""
+    there = fs.exists(target)
+    if there and not fs.rename(target, old):
+        raise OSError(f"could not move {target} aside")
+    if not fs.rename(staging, target):
+        if there:
+            fs.rename(old, target)
+        raise OSError(f"could not move {staging} to {target}")
+    if there:
+        fs.delete(old, True)
+
+
 def publish(df: DataFrame, path: str, checks: Callable[[int], Iterable[Verdict]] = lambda n: ()) -> int:
     """Write JSON lines to a staging folder, check the number of rows written, then move it into place.
 
@@ -40,9 +53,7 @@ def publish(df: DataFrame, path: str, checks: Callable[[int], Iterable[Verdict]]
         df.observe(seen, F.count(F.lit(1)).alias("n")).write.json(staging)
         n = int(seen.get["n"])
         require(*checks(n))
-        fs.delete(target, True)
-        if not fs.rename(new(staging), target):
-            raise OSError(f"could not move {staging} to {path}")
+        _swap(fs, new(staging), target, new(f"{path}.old-{uuid.uuid4().hex}"))
         return n
     finally:
         fs.delete(new(staging), True)
@@ -55,9 +66,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(staging, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(target, False)
-    if not fs.rename(staging, target):
-        raise OSError(f"could not move {staging} to {path}")
+    _swap(fs, staging, target, new(f"{path}.old-{uuid.uuid4().hex}"))
 
 
 def write_json_array(df: DataFrame, path: str, order: str) -> None:
