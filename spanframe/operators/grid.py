@@ -6,12 +6,14 @@ or below the diagonal, closes an entity of that type.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import distance_bucket
 from ..schemas import LabelSpec
-from .storage import materialise
 
 
 def encode(entities: DataFrame, spec: LabelSpec) -> DataFrame:
@@ -35,32 +37,68 @@ def encode(entities: DataFrame, spec: LabelSpec) -> DataFrame:
     return cells.groupBy("id", F.col("c.row").alias("row"), F.col("c.col").alias("col")).agg(F.max_by(F.col("c.label"), F.struct("entity_ord", "c.last")).cast("int").alias("label"))
 
 
-DECODE_SQL = """
-WITH RECURSIVE e AS (SELECT id, "row" AS a, col AS b FROM grid WHERE label = 1 AND "row" < col),
-t AS (SELECT id, col AS head, "row" AS tail, label FROM grid WHERE label > 1 AND "row" >= col),
-p(id, head, tail, label, at, path, n) AS (
-  SELECT id, head, tail, label, head, CAST(head AS VARCHAR(10000)), 1 FROM t
-  UNION ALL
-  SELECT p.id, p.head, p.tail, p.label, e.b, concat(p.path, ',', CAST(e.b AS VARCHAR(10000))), p.n + 1
-  FROM p JOIN e ON p.id = e.id AND p.at = e.a AND e.b <= p.tail WHERE p.at < p.tail
-)
-SELECT id, head, tail, label, path FROM p WHERE at = tail
-"""
-
-
-def decode(grid: DataFrame, *, max_words: int = 500, max_rows: int = 10_000_000) -> DataFrame:
+def ascending_paths(edges: dict[int, list[int]], head: int, tail: int) -> Iterator[list[int]]:
+    """Every path along ascending edges from head to tail, one after the other; only words that reach the tail are entered."""
+    alive = {tail}
+    for a in sorted((a for a in edges if head <= a < tail), reverse=True):
+        if any(b in alive for b in edges[a]):
+            alive.add(a)
+    if head not in alive:
+        return
+    path, ways = [head], [iter([b for b in edges.get(head, ()) if b in alive] if head != tail else ())]
+    if head == tail:
+        yield [head]
+    while path:
+        b = next(ways[-1], None)
+        if b is None:
+            path.pop()
+            ways.pop()
+        elif b == tail:
+            yield [*path, b]
+        else:
+            path.append(b)
+            ways.append(iter([c for c in edges[b] if c in alive]))
+
+
+def decode(grid: DataFrame) -> DataFrame:
     """(id, head, tail, label, indices) of every ascending path of edges from a head to its tail, each once.
 
-    Edges that lie on no way from a head to a tail are pruned before the recursion.
+    A sentence's cells lie sorted in one task, which gives paths as it finds them: sentences are
+    independent, and neither their number nor that of their paths is held anywhere at once. Repeated
+    cells count once; cells of no use (label 1 on or below the diagonal, others above it) are left out.
     """
-    spark = grid.sparkSession
-    spark.conf.set("spark.sql.cteRecursionLevelLimit", str(max(max_words, int(spark.conf.get("spark.sql.cteRecursionLevelLimit")))))
-    spark.conf.set("spark.sql.cteRecursionRowLimit", str(max(max_rows, int(spark.conf.get("spark.sql.cteRecursionRowLimit")))))
-    grid = materialise(grid)  # each round of the recursion reads the pruned grid again
-    extents = grid.where("label > 1 and row >= col").groupBy("id").agg(F.min("col").alias("lo"), F.max("row").alias("hi"))
-    near = materialise(grid.join(extents, "id").where("(label = 1 and row < col and row >= lo and col <= hi) or (label > 1 and row >= col)").select("id", "row", "col", "label"))
-    paths = spark.sql(DECODE_SQL.replace('"row"', "`row`").replace("VARCHAR(10000)", "STRING").replace("FROM grid", "FROM {grid}"), grid=near)
-    return paths.select("id", "head", "tail", "label", F.transform(F.split("path", ","), lambda x: x.cast("int")).alias("indices")).distinct()
+    useful = grid.where("(label = 1 and row < col) or (label > 1 and row >= col)").select("id", "row", "col", "label")
+    kind = grid.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        types = [pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
+        names = ["id", "head", "tail", "label", "indices"]
+
+        def cells() -> Iterator:
+            for b in batches:
+                yield from zip(*(c.to_pylist() for c in b.columns))
+
+        def found() -> Iterator:
+            for key, rows in itertools.groupby(cells(), lambda x: x[0]):
+                edges, anchors = {}, set()
+                for _, row, col, label in rows:
+                    if label == 1:
+                        edges.setdefault(row, set()).add(col)
+                    else:
+                        anchors.add((col, row, label))
+                ways = {a: sorted(b) for a, b in edges.items()}
+                for head, tail, label in sorted(anchors):
+                    for path in ascending_paths(ways, head, tail):
+                        yield key, head, tail, label, path
+
+        paths = found()
+        while some := list(itertools.islice(paths, 10_000)):
+            ids, *rest = zip(*some)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(list(c), t) for c, t in zip(rest, types))], names=names)
+
+    return useful.repartition("id").sortWithinPartitions("id").mapInArrow(run, f"id {kind}, head int, tail int, label int, indices array<int>")
 
 
 def decode_guarded(grid: DataFrame, *, max_paths: int = 50_000) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,11 +26,14 @@ class Verdict:
 
 
 def require(*verdicts: Verdict) -> list[Verdict]:
-    """The warnings; raises if any verdict is an error."""
+    """The warnings, which are logged; raises if any verdict is an error."""
     errors = [v for v in verdicts if v.status == "error"]
     if errors:
         raise GuardError("; ".join(f"{v.guard}: {v.detail}" for v in errors))
-    return [v for v in verdicts if v.status == "warn"]
+    warned = [v for v in verdicts if v.status == "warn"]
+    for v in warned:
+        logging.getLogger("spanframe").warning("%s: %s", v.guard, v.detail)
+    return warned
 
 
 def rate_status(dropped: Column, total: Column, most: float = MAX_RATE, warn: float = WARN_RATE) -> Column:
@@ -88,8 +92,11 @@ def join_completeness(tokens: DataFrame, predictions: DataFrame, key: str = "id"
     return Verdict("join completeness", "error" if side == "missing" else "warn", f"{n[side]} {side}: {', '.join(first)}")
 
 
-def head_size(head: int, spec: LabelSpec) -> Verdict:
+def head_size(head: int | None, spec: LabelSpec) -> Verdict:
+    """Whether a model scores the specification's labels; rules and others without a head (None) are not judged."""
     n = len(spec.label2id)
+    if head is None:
+        return Verdict("head size", "skip")
     return Verdict("head size", "pass" if head == n else "error", f"{head} outputs, {n} labels")
 
 
@@ -106,6 +113,12 @@ def equal_counts(name: str, a: int, b: int) -> Verdict:
     return Verdict(name, "pass" if a == b else "error", f"{a} against {b}")
 
 
+def unmatched(name: str, stems: DataFrame) -> Verdict:
+    """A warning that names the first ten stems without a partner."""
+    first = [r[0] for r in stems.select("stem").orderBy("stem").limit(10).collect()]
+    return Verdict(name, "warn" if first else "pass", ", ".join(first))
+
+
 def empty(name: str, violations: DataFrame) -> Verdict:
     """An error if there is any violating row."""
     found = violations.limit(1).count()

@@ -6,6 +6,7 @@ A neural one plugs in as a function over Arrow batches (`batch_predictor`), load
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
@@ -37,10 +38,11 @@ def rule_predictor(rules: dict[str, Callable[[Column], Column]], join_runs: bool
     return predict
 
 
-def batch_predictor(load: Callable[[], Any], infer: Callable[[Any, list[list[str]]], list[list[tuple[list[int], str]]]], batch_size: int = 64) -> Predictor:
+def batch_predictor(load: Callable[[], Any], infer: Callable[[Any, list[list[str]]], list[list[tuple[list[int], str]]]], batch_size: int = 64, head: int | None = None) -> Predictor:
     """A model as a predictor: `load` once in each worker, `infer` on batches of sentences.
 
-    infer gives (indices, type) of each sentence's entities, as many lists as it got sentences.
+    infer gives (indices, type) of each sentence's entities, as many lists as it got sentences. head
+    is the number of labels that the model scores, which a flow holds against its specification.
     """
 
     def predict(tokens: DataFrame) -> DataFrame:
@@ -63,4 +65,16 @@ def batch_predictor(load: Callable[[], Any], infer: Callable[[Any, list[list[str
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
         return rows.mapInArrow(run, f"{schema}, entity {ENTITY}")
 
+    predict.head = head
     return predict
+
+
+def word_rules(patterns: dict[str, str]) -> Predictor:
+    """Entities from a pattern for the words of each type."""
+    return rule_predictor({name: lambda w, p=pattern: w.rlike(p) for name, pattern in patterns.items()})
+
+
+def named_predictor(name: str) -> Predictor:
+    """The predictor that a module holds, by `module:name`."""
+    module, _, attribute = name.partition(":")
+    return getattr(importlib.import_module(module), attribute)

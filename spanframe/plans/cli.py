@@ -10,14 +10,20 @@ from pyspark.sql import SparkSession
 
 from ..operators.convert import BC5CDR_TYPES, BIORED_TYPES
 from ..operators.guards import GuardError
-from ..operators.predict import rule_predictor
+from ..operators.predict import Predictor, named_predictor, word_rules
 from ..schemas import LabelSpec
 from .pipeline import Flow, convert_corpus
 
 
+FLOWS = ("convert", "train-data", "predict", "evaluate")
+STEPS = ("ingest", "tokenize", "label", "config", "infer", "postprocess")
+#: Patterns of words by type that predict without a model, for demonstrations.
+DEMO = {"Disease": "(?i)(itis|osis|emia)$", "Chemical": "(?i)(ine|ol|ate)$"}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description=__doc__)
-    p.add_argument("stage", choices=["convert", "train-data", "predict", "evaluate"])
+    p.add_argument("stage", choices=[*FLOWS, *STEPS], help="a flow, or one step over what the steps before it left in the output folder")
     p.add_argument("--output-dir", required=True)
     p.add_argument("--force", action="store_true", help="run stages that are up to date, too")
     p.add_argument("--annotations", help="folder of annotation JSON arrays")
@@ -28,34 +34,49 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--suffix", help="model suffix, such as _biored")
     p.add_argument("--config", help="base model configuration, for train-data")
     p.add_argument("--max-length", type=int, default=500)
+    p.add_argument("--predictor", help="module:name of a predictor, such as one of word_pair_predictor()")
+    p.add_argument("--rules", help="JSON object of patterns for words, by type; without it and --predictor, a demonstration's")
+    p.add_argument("--unknown", help="pattern of words in no supported language; documents with too many are left out")
+    p.add_argument("--most-unknown", type=float, default=0.05, help="largest share of such words")
     return p
 
 
+def _read(path: str):
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def chosen_predictor(a: argparse.Namespace) -> Predictor:
+    if a.predictor:
+        return named_predictor(a.predictor)
+    return word_rules(_read(a.rules) if a.rules else DEMO)
+
+
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("spanframe").getOrCreate()
     flow = Flow(spark, a.output_dir, LabelSpec.load(a.spec) if a.spec else LabelSpec(), a.force, a.suffix, a.max_length)
+    at = {step: f"{a.output_dir}/{step}" for step in STEPS} | {"predict": f"{a.output_dir}/predict"}
+    unknown = (lambda w: w.rlike(a.unknown)) if a.unknown else None
+    steps = {
+        "ingest": lambda: flow.ingest(a.annotations, a.exclude),
+        "tokenize": lambda: flow.tokenize(at["ingest"], unknown=unknown, most_unknown=a.most_unknown),
+        "label": lambda: flow.label(a.annotations, at["tokenize"]),
+        "config": lambda: flow.config(at["label"], _read(a.config)),
+        "infer": lambda: flow.predict(at["tokenize"], chosen_predictor(a)),
+        "postprocess": lambda: flow.postprocess(at["ingest"], at["tokenize"], at["predict"]),
+        "convert": lambda: print(convert_corpus(spark, a.xml, a.output_dir, BIORED_TYPES if a.corpus == "biored" else BC5CDR_TYPES)),
+        "evaluate": lambda: print(flow.evaluate(a.annotations, at["postprocess"])),
+    }
+    flows = {"train-data": ["ingest", "tokenize", "label", *(["config"] if a.config else [])], "predict": ["ingest", "tokenize", "infer", "postprocess"]}
     try:
-        if a.stage == "convert":
-            print(convert_corpus(spark, a.xml, a.output_dir, BIORED_TYPES if a.corpus == "biored" else BC5CDR_TYPES))
-        elif a.stage == "train-data":
-            labelled = flow.label(a.annotations, flow.tokenize(flow.ingest(a.annotations, a.exclude)))
-            if a.config:
-                with open(a.config, encoding="utf-8") as f:
-                    flow.config(labelled, json.load(f))
-        elif a.stage == "predict":
-            ingested = flow.ingest(a.annotations, a.exclude)
-            tokenized = flow.tokenize(ingested)
-            demo = rule_predictor({"Disease": lambda w: w.rlike("(?i)(itis|osis|emia)$"), "Chemical": lambda w: w.rlike("(?i)(ine|ol|ate)$")})
-            flow.postprocess(ingested, tokenized, flow.predict(tokenized, demo))
-        else:
-            print(flow.evaluate(a.annotations, f"{a.output_dir}/postprocess"))
+        for step in flows.get(a.stage, [a.stage]):
+            steps[step]()
     except GuardError as e:
         print(f"check failed: {e}", file=sys.stderr)
         return 1
     return 0
 
 
-
 if __name__ == "__main__":
     sys.exit(main())

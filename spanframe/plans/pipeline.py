@@ -11,12 +11,13 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import align, evaluate, guards, ingest, stats, tokenize, vote
 from ..operators.convert import convert
 from ..operators.predict import Predictor
+from ..operators.storage import materialise
 from ..schemas import INGEST, POSTPROCESS, PREDICT, TOKEN, LabelSpec, ModelConfig
 from ..sources import readers, writers
 
@@ -54,15 +55,25 @@ class Flow:
 
         return self.stage("ingest", [annotations], build)
 
-    def tokenize(self, ingested: str, pieces: tokenize.Pieces = tokenize.piece_count) -> str:
+    def tokenize(self, ingested: str, pieces: tokenize.Pieces = tokenize.piece_count, unknown: Callable[[Column], Column] | None = None, most_unknown: float = 0.05) -> str:
+        """Chunks of all documents; with a condition for unknown words, of those with at most that share of them.
+
+        Documents, not chunks, are held against the input, less those that the filter leaves out.
+        Documents without words have no share; they stay, and give no chunk.
+        """
+
         def build():
             records = self.read(ingested, INGEST)
             guards.require(guards.empty("ids in several files", ingest.duplicate_ids(records, "pmid")))
-            toks = tokenize.sentences(tokenize.tokens(records))
+            toks, before = tokenize.token_rows(records), records.count()
+            if unknown is not None:
+                told = materialise(tokenize.supported_language(toks, unknown(F.col("word")), most_unknown).where("not supported").select("pmid"))
+                before -= told.count()
+                toks = toks.join(told, "pmid", "left_anti")
             cut = tokenize.chunks(toks, self.max_length, pieces)
             placed = align.ordered(cut, "sent_idx", "chunk_idx", partition="pmid").withColumn("ner", F.array().cast("array<struct<indices:array<int>,fragments:array<struct<start_char:int,end_char:int>>,type:string>>"))
-            before = records.count()
-            return placed, lambda n: [guards.record_parity(before, n)]
+            seen = Observation()
+            return placed.observe(seen, F.count_if(F.col("ord") == 0).alias("documents")), lambda n: [guards.record_parity(before, int(seen.get["documents"]))]
 
         return self.stage("tokenize", [ingested], build)
 
@@ -71,6 +82,8 @@ class Flow:
             docs, chunks = readers.annotation_json(self.spark, annotations), self.read(tokenized, TOKEN)
             fates = align.assign_labels(docs, chunks, self.spec, self.suffix)
             c = align.alignment_counts(fates).first()
+            paired = docs.join(chunks.select("pmid").distinct(), "pmid", "left_semi")
+            guards.require(guards.unmatched("annotation files without tokens", readers.unmatched_stems(docs, paired)))
             return align.with_entities(docs, chunks, fates), lambda n: [guards.alignment(c["n_dropped"], c["n_total"]), guards.record_parity(chunks.count(), n)]
 
         return self.stage("label", [annotations, tokenized], build)
@@ -95,8 +108,10 @@ class Flow:
         return stats.class_weights(stats.label_counts(self.spark, records, self.spec), min_background=config.min_bg_weight)
 
     def predict(self, tokenized: str, predictor: Predictor, head: int | None = None) -> str:
+        """Predictions of all chunks; a model's head must have the specification's labels, rules have none."""
+
         def build():
-            guards.require(guards.head_size(head if head is not None else len(self.spec.label2id), self.spec))
+            guards.require(guards.head_size(head if head is not None else getattr(predictor, "head", None), self.spec))
             tokens = self.read(tokenized, TOKEN)
             n_tokens = tokens.count()
             return predictor(tokens), lambda n: [guards.equal_counts("predictions", n_tokens, n)]
@@ -126,15 +141,32 @@ class Flow:
 def convert_corpus(spark: SparkSession, xml: str, out: str, types: dict[str, str]) -> tuple[int, int]:
     """BioC XML to one JSON array of annotation documents; gives the numbers converted and left out."""
     good, bad = convert(readers.bioc_xml(spark, xml), types)
-    label = F.transform("label", lambda x: F.array(F.to_json(F.transform(x.spans, lambda y: F.array(y.s, y.e))), F.to_json(F.array(x.type))))
-    rows = good.select(F.col("pmid").alias("PMID"), F.col("title").alias("articleTitle"), "abstract", label.alias("_l"))
-    pairs = F.concat(F.lit("["), F.array_join(F.transform("_l", lambda x: F.concat(F.lit("["), x[0], F.lit(", "), F.regexp_replace(x[1], r"^\[|\]$", ""), F.lit("]"))), ", "), F.lit("]"))
-    text = rows.select(F.col("PMID").alias("_o"), F.concat(F.regexp_replace(F.to_json(F.struct("PMID", "articleTitle", "abstract")), r"\}$", ""), F.lit(',"label":'), pairs, F.lit("}")).alias("value"))
-    text.orderBy("_o").coalesce(1).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value")).write.mode("overwrite").text(out)
-    return good.count(), bad.count()
+    value = lambda c: F.parse_json(F.to_json(c))
+    label = F.transform("label", lambda x: F.array(value(F.transform(x.spans, lambda y: F.array(y.s, y.e))), F.variant_get(value(F.array(x.type)), "$[0]", "variant")))
+    seen = Observation()
+    rows = good.select(F.col("pmid").alias("_o"), F.col("pmid").alias("PMID"), F.col("title").alias("articleTitle"), "abstract", label.alias("label"))
+    writers.write_json_array(rows.observe(seen, F.count(F.lit(1)).alias("n")), out, "_o")
+    return int(seen.get["n"]), bad.count()
 
 
 def fold(docs: DataFrame, k: int, of: int, key: str = "pmid") -> tuple[DataFrame, DataFrame]:
     """Training and validation documents of fold k, dealt by a hash of their id."""
     own = F.pmod(F.xxhash64(key), F.lit(of)) == k
     return docs.where(~own), docs.where(own)
+
+
+def cross_validate(annotations: DataFrame, tokens: DataFrame, texts: DataFrame, fit: Callable[[DataFrame], Predictor], folds: int = 5, types: list[str] | None = None) -> DataFrame:
+    """(fold, type, tp, .. f1): for each fold, scores of a predictor fitted to the other folds' token records.
+
+    annotations: gold documents; tokens: labelled token records with ord; texts: (pmid, fulltext). A
+    document is in one fold only. Micro averages over folds come from the summed counts.
+    """
+    out = None
+    for k in range(folds):
+        train, held = fold(tokens, k, folds)
+        done = vote.postprocess(held, fit(train)(held), texts)
+        scores = evaluate.evaluate(evaluate.gold_keys(fold(annotations, k, folds)[1]), evaluate.predicted_keys(done), types).select(F.lit(k).alias("fold"), "*")
+        out = scores if out is None else out.unionByName(scores)
+    if out is None:
+        raise ValueError("at least one fold is needed")
+    return out

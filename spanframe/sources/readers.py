@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,11 @@ from ..schemas import BIOC
 _STEM = r"([^/]*?)(?:\.[^/.]*)?$"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def stem(path) -> F.Column:
     return F.regexp_extract(path, _STEM, 1)
 
@@ -47,7 +53,10 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def id_list(spark: SparkSession, path: str | None) -> DataFrame:
-    """(pmid) of a text file with an id on each line; none for no path."""
+    """(pmid) of a text file with an id on each line; none for no path, and with a warning for one that isn't there."""
+    if path is not None and not exists(spark, path):
+        logging.getLogger("spanframe").warning("no id list at %s: nothing is excluded", path)
+        path = None
     if path is None:
         return spark.createDataFrame([], "pmid string")
     return spark.read.text(path).select(strip(F.col("value")).alias("pmid")).where("pmid <> ''").distinct()

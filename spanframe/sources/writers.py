@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.guards import Verdict, require
 from ..schemas import VERSION
-from .readers import file_hashes
+from .readers import exists, file_hashes
 
 
 def _fs(spark: SparkSession, path: str):
@@ -22,11 +22,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def _swap(fs, staging, target, old) -> None:
     """Move what is there aside, the new into its place, and only then delete the old; it is put back if the move fails."""
     there = fs.exists(target)
@@ -70,10 +65,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def write_json_array(df: DataFrame, path: str, order: str) -> None:
-    """All rows as one JSON array in one file, by order: an exchange format, so the rows gather in one task."""
-    rows = df.orderBy(order).select(F.to_json(F.struct(*[c for c in df.columns if c != order])).alias("value"))
-    body = rows.coalesce(1).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("\n]")).alias("value"))
-    body.write.mode("overwrite").text(path)
+    """All rows as one JSON array in one file, by order: an exchange format, so one task sorts and writes them, row by row."""
+    rows = df.select(F.lit(0).alias("_end"), F.col(order).alias("_o"), F.to_json(F.struct(*[c for c in df.columns if c != order])).alias("_v"))
+    end = df.sparkSession.range(1).select(F.lit(1).alias("_end"), F.lit(None).cast(df.schema[order].dataType).alias("_o"), F.lit("]").alias("_v"))
+    placed = rows.unionByName(end).repartition(1).sortWithinPartitions("_end", "_o").withColumn("_k", F.monotonically_increasing_id())
+    before = F.when(F.col("_k") == 0, "[").when(F.col("_end") == 0, ",").otherwise("")
+    placed.select(F.concat(before, "_v").alias("value")).write.mode("overwrite").text(path)
 
 
 def input_hash(spark: SparkSession, path: str) -> str:

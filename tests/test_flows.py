@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from spanframe.operators import guards, ingest
 from spanframe.operators.convert import BIORED_TYPES
-from spanframe.operators.predict import rule_predictor
+from spanframe.operators.predict import batch_predictor, rule_predictor
 from spanframe.plans import cli
-from spanframe.plans.pipeline import Flow, convert_corpus, fold
+from spanframe.plans.pipeline import Flow, convert_corpus, cross_validate, fold
 from spanframe.schemas import LabelSpec
 from spanframe.sources import readers, writers
 from spanframe.streaming.ingest import ingest_new
@@ -132,3 +132,59 @@ def test_folds_and_cli(spark, tmp_path):
 def test_excluded_documents(spark):
     docs = spark.createDataFrame([("1",), ("2",)], "pmid string")
     assert [r[0] for r in ingest.excluded(docs, spark.createDataFrame([("2",)], "pmid string")).collect()] == ["1"]
+
+
+def test_single_steps_filters_and_warnings(spark, tmp_path, caplog):
+    docs_file(tmp_path / "in", "c.json", [{"pmid": "1", "title": "Arthritis", "abstract": "and aspirine.", "label": [[[[0, 9]], "Disease"]]}, {"pmid": "2", "title": "xx xx", "label": []}])
+    docs_file(tmp_path / "in", "d.json", [{"pmid": "3", "title": "xx xx xx", "label": []}])
+    (tmp_path / "rules.json").write_text('{"Disease": "itis$"}')
+    args = ["--output-dir", str(tmp_path / "o"), "--annotations", str(tmp_path / "in"), "--unknown", "^xx$", "--rules", str(tmp_path / "rules.json"), "--exclude", str(tmp_path / "none.txt")]
+    for step in ("ingest", "tokenize", "label", "infer", "postprocess", "evaluate"):
+        assert cli.main([step, *args], spark) == 0
+    assert {r.pmid for r in spark.read.json(str(tmp_path / "o/tokenize")).collect()} == {"1"}
+    scores = json.load(open(tmp_path / "o/metrics.json"))
+    assert scores["overall"]["tp"] == 1 and scores["overall"]["fp"] == 0
+    told = " ".join(r.getMessage() for r in caplog.records)
+    assert "no id list" in told and "annotation files without tokens: d" in told
+
+
+def test_lost_documents_are_an_error(spark, tmp_path, monkeypatch):
+    docs_file(tmp_path / "in", "c.json", [{"pmid": str(k), "title": "One. Two. Three. Four."} for k in range(4)])
+    flow = Flow(spark, str(tmp_path / "o"), LabelSpec())
+    ingested = flow.ingest(str(tmp_path / "in"))
+    from spanframe.operators import tokenize
+
+    whole = tokenize.token_rows
+    monkeypatch.setattr(tokenize, "token_rows", lambda docs: whole(docs).where("pmid <> '3'"))
+    with pytest.raises(guards.GuardError, match="record parity"):
+        flow.tokenize(ingested)
+
+
+def test_a_model_must_score_the_labels(spark, tmp_path):
+    docs_file(tmp_path / "in", "c.json", [{"pmid": "1", "title": "One"}])
+    flow = Flow(spark, str(tmp_path / "o"), LabelSpec())
+    tokenized = flow.tokenize(flow.ingest(str(tmp_path / "in")))
+    with pytest.raises(guards.GuardError, match="head size"):
+        flow.predict(tokenized, batch_predictor(lambda: None, lambda m, b: [[] for _ in b], head=5))
+    assert spark.read.json(flow.predict(tokenized, batch_predictor(lambda: None, lambda m, b: [[] for _ in b], head=8))).count() == 1
+
+
+def test_cross_validation(spark):
+    docs = [(str(k), 0, "a", [([(0, 1)], "Disease")] if k % 2 else []) for k in range(12)]
+    notes = spark.createDataFrame(docs, "pmid string, ord int, title string, label array<struct<spans:array<struct<s:int,e:int>>,type:string>>")
+    words = ["a" if k % 2 else "b" for k in range(12)]
+    tokens = spark.createDataFrame([(f"{k}_0", str(k), [w], [(0, 1)], k) for k, w in enumerate(words)], "id string, pmid string, sentence array<string>, spans array<struct<s:int,e:int>>, ord long")
+    texts = spark.createDataFrame([(str(k), w) for k, w in enumerate(words)], "pmid string, fulltext string")
+    sizes = []
+
+    def fit(train):
+        sizes.append(train.count())
+        return rule_predictor({"Disease": lambda w: w == "a"})
+
+    rows = [r for r in cross_validate(notes, tokens, texts, fit, 3).collect() if r.type == "overall"]
+    assert sorted(r.fold for r in rows) == [0, 1, 2] and sum(r.tp for r in rows) == 6 and sum(r.fp + r.fn for r in rows) == 0 and sum(sizes) == 24
+
+
+def test_arrays_of_no_rows(spark, tmp_path):
+    writers.write_json_array(spark.createDataFrame([], "o int, v string"), str(tmp_path / "arr"), "o")
+    assert json.load(open(glob.glob(str(tmp_path / "arr/part*"))[0])) == []
