@@ -369,7 +369,7 @@ def maxpool_words(spark, sf):
 
 
 # Each vector of 64 as 8 words of 8 numbers; the weights of three labels are a rule of their place.
-_WORDS = "v AS (SELECT vec_id, CAST(i AS INT) AS i, list_transform(embedding[i * 8 + 1 : i * 8 + 8], x -> x::DOUBLE) AS x FROM (SELECT vec_id, embedding, unnest(range(8)) AS i FROM embeddings))"
+_WORDS = "v AS (SELECT vec_id, CAST(i AS INT) AS i, list_transform(embedding[i * 8 + 1 : i * 8 + 8], lambda x: x::DOUBLE) AS x FROM (SELECT vec_id, embedding, unnest(range(8)) AS i FROM embeddings))"
 _WEIGHT = "((o * 5 + a * 3 + b * 7) % 11 - 5) / 4.0"
 
 
@@ -388,7 +388,7 @@ def _of_words(spark, sf, scores: Callable, schema: str) -> DataFrame:
     return A.table(spark, sf, "embeddings").select("vec_id", "embedding").mapInArrow(run, schema).withColumn("value", F.round("value", 4))
 
 
-@query("pair_norm", f"WITH {_WORDS}, n AS (SELECT vec_id, i, x, list_avg(x) AS m FROM v), c AS (SELECT vec_id, i, list_transform(x, y -> y - m) AS c FROM n), u AS (SELECT vec_id, i, list_transform(c, y -> y / sqrt(list_avg(list_transform(c, z -> z * z)) + 1e-12)) AS u FROM c), p AS (SELECT a.vec_id, a.i, v.i AS j, unnest(range(8)) AS d, unnest(u) AS u, unnest(x) AS y FROM u a JOIN v ON a.vec_id = v.vec_id) SELECT vec_id, i, j, round(sum(u * (1 + 0.5 * y) + (0.25 * y - 0.125) * (d + 1)), 4) AS value FROM p GROUP BY ALL")
+@query("pair_norm", f"WITH {_WORDS}, n AS (SELECT vec_id, i, x, list_avg(x) AS m FROM v), c AS (SELECT vec_id, i, list_transform(x, lambda y: y - m) AS c FROM n), u AS (SELECT vec_id, i, list_transform(c, lambda y: y / sqrt(list_avg(list_transform(c, lambda z: z * z)) + 1e-12)) AS u FROM c), p AS (SELECT a.vec_id, a.i, v.i AS j, unnest(range(8)) AS d, unnest(u) AS u, unnest(x) AS y FROM u a JOIN v ON a.vec_id = v.vec_id) SELECT vec_id, i, j, round(sum(u * (1 + 0.5 * y) + (0.25 * y - 0.125) * (d + 1)), 4) + 0.0 AS value FROM p GROUP BY ALL")
 def pair_norm(spark, sf):
     """Conditional normalisation of every pair of words, added up over dimensions: scale 1 + y / 2, shift (y / 4 - 1 / 8) times the dimension."""
     import numpy as np
@@ -404,7 +404,7 @@ def pair_norm(spark, sf):
     return _of_words(spark, sf, cells, "vec_id long, i int, j int, value double")
 
 
-@query("pair_scores", f"WITH {_WORDS}, k AS (SELECT vec_id, i, list_append(x, 1.0) AS x FROM v), e AS (SELECT vec_id, i, unnest(range(9)) AS a, unnest(x) AS x FROM k), w AS (SELECT CAST(o AS INT) AS o, a, b, {_WEIGHT} AS w FROM range(3) t(o), range(9) s(a), range(9) r(b)), h AS (SELECT vec_id, i, o, b, sum(x * w) AS h FROM e JOIN w USING (a) GROUP BY ALL) SELECT h.vec_id, h.i, e.i AS j, h.o AS label, round(sum(h * x), 4) AS value FROM h JOIN e ON e.vec_id = h.vec_id AND e.a = h.b GROUP BY ALL")
+@query("pair_scores", f"WITH {_WORDS}, k AS (SELECT vec_id, i, list_append(x, 1.0) AS x FROM v), e AS (SELECT vec_id, i, unnest(range(9)) AS a, unnest(x) AS x FROM k), w AS (SELECT CAST(o AS INT) AS o, a, b, {_WEIGHT} AS w FROM range(3) t(o), range(9) s(a), range(9) r(b)), h AS (SELECT vec_id, i, o, b, sum(x * w) AS h FROM e JOIN w USING (a) GROUP BY ALL) SELECT h.vec_id, h.i, e.i AS j, h.o AS label, round(sum(h * x), 4) + 0.0 AS value FROM h JOIN e ON e.vec_id = h.vec_id AND e.a = h.b GROUP BY ALL")
 def pair_scores(spark, sf):
     """Biaffine scores of every pair of words for three labels."""
     import numpy as np
