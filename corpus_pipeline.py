@@ -26,9 +26,10 @@ READ, REST = ("doc_id", "text", "source"), "_others"
 
 
 def _bare(docs: DataFrame) -> DataFrame:
-    """The columns that operators read, and the others as one struct."""
+    """The columns that operators read, and the others as one struct; a table without sources has the null source."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in READ]
-    return docs.select(*READ, F.struct(*others, F.lit(0).alias("_end_of_row")).alias(REST))
+    read = [F.col(c) if c in docs.columns or c != "source" else F.lit(None).cast("string").alias(c) for c in READ]
+    return docs.select(*read, F.struct(*others, F.lit(0).alias("_end_of_row")).alias(REST))
 
 
 def _like(out: DataFrame, docs: DataFrame) -> DataFrame:
@@ -57,9 +58,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     comes first. Rows without an id or without words are linked with nothing and stay.
     """
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        order = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id()).alias("_row")
-        rows = cut(_bare(docs).orderBy("doc_id", F.xxhash64("text")).select("*", order))
-        gone = near_duplicates(rows, num=80, id_col="_row").where("not kept").select(F.col("doc_id").alias("_gone"))
+        rows = cut(_bare(docs).withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())))
+        order = F.struct("doc_id", F.xxhash64("text").alias("h"), "_row")
+        found = near_duplicates(rows.select("_row", "text"), num=80, id_col="_row").where("doc_id is not null").select(F.col("doc_id").alias("_row"), "component_id")
+        best = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+        several = cut(found.join(best, "component_id").join(rows.select("_row", order.alias("order")), "_row"))
+        stays = several.groupBy("component_id").agg(F.min("order").alias("least")).select(F.col("least._row").alias("_stays"))
+        gone = several.select(F.col("_row").alias("_gone")).join(stays, F.col("_gone") == F.col("_stays"), "left_anti")
         return _like(rows.join(gone, rows["_row"] == gone["_gone"], "left_anti"), docs)
     gone = near_duplicates(docs.select("doc_id", "text"), num=80).where("not kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -179,7 +179,8 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
     Rows are linked if den * |intersection| >= num * |union| of their sets of shingles; a component's
     id is the smallest id in it, and the row with that id is kept. Null, empty and blank texts have
     no shingles and are linked with nothing. A null id is linked with nothing and kept. Rows that
-    share an id are one vertex with the links of all their texts. Other columns are not read.
+    share an id are one vertex with the links of all their texts. Ids are whole numbers, or of a type that
+    casts to them: one that doesn't fails the job. An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     small_batches(spark)

@@ -102,7 +102,8 @@ def pack(
     with `ids`, the piece's ids too, as little-endian unsigned 32-bit integers. A sequence holds at
     most max_docs pieces and max_attention of summed squared lengths; by default neither binds
     before the tokens do. Null and empty texts are one piece of the end id. Null or repeated ids are
-    no matter: each row is a document, and an empty table gives no rows. Other columns are not read.
+    no matter: each row is a document, ids may be of any type that a string can hold, rows whose ids tie
+    are told apart by their place in the input, and an empty table gives no rows. Other columns are not read.
 
     Documents are dealt over shards of about shard_docs by a hash of their place in the input, and
     each shard is packed on its own, so no task grows with the input; only lengths, checksums and
@@ -129,7 +130,7 @@ def pack(
         bins, offset, _ = best_fit(length, capacity, weights, score)
         out = pd.DataFrame(
             {
-                "doc_id": pdf["doc_id"].astype("Int64").repeat(count).array if kind == "bigint" else pdf["doc_id"].repeat(count).to_numpy(), "piece": piece, "start": np.where(piece == 0, 0, head + (piece - 1) * size), "length": length,
+                "doc_id": pdf["doc_id"].repeat(count).to_numpy(), "piece": piece, "start": np.where(piece == 0, 0, head + (piece - 1) * size), "length": length,
                 "ids_crc32": np.concatenate(pdf["crcs"].to_list()), "sequence_id": (shard << 32) + bins, "offset": offset,
             }
         )
@@ -139,9 +140,11 @@ def pack(
             out["ids"] = [x for row in pdf["ids"] for x in row]
         return out
 
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long" + (", ids binary" if ids else "")
+    # ids pass through pandas as strings: it would make floats of whole numbers beside a null
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long" + (", ids binary" if ids else "")
     dealt = told.repartition(min(shards, MAX_TASKS), "_shard")  # a given number, so that small rows aren't put together in a few tasks
-    placed = cut(dealt.groupBy("_shard").applyInPandas(place, f"{schema}, _fill long, _docs long, _cost long"))
+    placed = dealt.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("_shard").applyInPandas(place, f"{schema}, _fill long, _docs long, _cost long")
+    placed = cut(placed.withColumn("doc_id", F.col("doc_id").cast(kind)))
     loose = placed.where((F.col("offset") == 0) & (F.col("_fill") < int(LOOSE * size))).select("sequence_id", "_fill", "_docs", "_cost")
     again = -(-loose.count() // shard_docs)
     if not again or shards == 1:

@@ -35,7 +35,7 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
     rows without any id beside them. Equality is that of SHA-1 and length. Spark's text writer does
     the writing, records apart by its line separator, so any store that Spark reaches will do; a
     compressed archive is compressed as a whole, not record by record. An empty table gives archives
-    without a record.
+    without a record. Ids are whole numbers, or of a type that casts to them: one that doesn't fails the job.
     """
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), html.alias("html")).withColumns(

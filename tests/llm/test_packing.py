@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
@@ -78,3 +78,12 @@ def test_pack_round_trip(spark):
         assert sum(len(d) for d in docs.values()) == len(rows)
         assert shard_docs == 3 or len(seqs) <= 1.1 * sum(r.length for r in rows) / 128 + 1
     assert pack(df.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("kind, big", [("long", (1 << 60) + 1), ("string", "x-1")])
+def test_ids_keep_their_value_and_type(spark, kind, big):
+    """Whole numbers above 2^53 beside a null, and strings."""
+    ids = [big, None, big + 2 if kind == "long" else "x-2"]
+    got = pack(spark.createDataFrame([(i, "a b") for i in ids], f"doc_id {kind}, text string").coalesce(1), PATH)
+    assert dict(got.dtypes)["doc_id"] == ("bigint" if kind == "long" else kind)
+    assert Counter(r.doc_id for r in got.collect()) == Counter(ids)

@@ -89,3 +89,19 @@ def test_run_and_empty_table(spark, stages, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert shared_dir(spark) != shared_dir(spark)
+
+
+@pytest.mark.parametrize("repeat", [False, True])
+def test_stages_take_only_the_columns_that_are_there(spark, repeat):
+    """No source and no other column, with and without ids that repeat; a group's smallest id stays, of rows that share it one."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(900)}" for _ in range(200)]
+    near = lambda k: " ".join([*base[:k], f"new{k}", *base[k + 1 :]])
+    other = lambda: " ".join(f"v{rng.randrange(900)}" for _ in range(80))
+    data = [(7, near(3)), (5, near(90)), (9, near(150)), (None, near(20)), (11, other()), (12, other())] + ([(5, near(120)), (12, other())] if repeat else [])
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(2)
+    for _, f in corpus_pipeline.STAGES[:4]:
+        assert f(spark, docs, "").columns == docs.columns
+    kept = Counter(r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect())
+    assert kept == Counter({5: 1, None: 1, 11: 1, 12: 2 if repeat else 1})
+    assert corpus_pipeline.packing(spark, docs, "").count() == len(data)
