@@ -16,6 +16,9 @@ _QUERIES = {
     "op8_language_mixture": ("langid", "op8_language_mixture"),
     "op9_toxicity_chain": ("toxicity", "op9_toxicity_chain"),
     "op10_token_counts": ("tokens", "op10_token_counts"),
+    "op11_flow_resharding": ("resharding", "op11_flow_resharding"),
+    "op12_embedding_whitening": ("whitening", "op12_embedding_whitening"),
+    "op13_conversation_trie": ("trie", "op13_conversation_trie"),
 }
 
 
@@ -30,4 +33,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": _load("exactdup", "ORACLE_OP4"), "op5_warc_boundary_chain": _load("warc", "ORACLE_OP5"), "op7_quality_rules": _load("quality", "ORACLE_OP7")}
+    return {"op4_exact_dedup": _load("exactdup", "ORACLE_OP4"), "op5_warc_boundary_chain": _load("warc", "ORACLE_OP5"), "op7_quality_rules": _load("quality", "ORACLE_OP7"), "op13_conversation_trie": _load("trie", "ORACLE_OP13")}
