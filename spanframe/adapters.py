@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import fulltext
@@ -31,8 +31,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token records with ord, their place in the document."""
-    cut = tokenize.chunks(tokens(spark, sf_dir), CHUNK, word_limit=12)
-    return align.ordered(cut, "sent_idx", "chunk_idx", partition="pmid")
+    return tokenize.token_records(documents(spark, sf_dir), CHUNK, word_limit=12)
 
 
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,14 +39,12 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Types go by the token's length, among them an alias and an unknown one.
     """
-    w = Window.partitionBy("pmid").orderBy("ord")
-    n = F.char_length("word")
-    kind = F.when(n % 7 == 0, "Foo").when(n % 3 == 0, "ChemicalEntity").when(n % 3 == 1, "Disease").otherwise("Species")
-    each = tokens(spark, sf_dir).withColumns({"s2": F.lead("s", 2).over(w), "e2": F.lead("e", 2).over(w)}).where(F.col("word").rlike("tion$") & F.col("s2").isNotNull())
-    spans = F.array(F.struct("s", "e"), F.struct(F.col("s2").alias("s"), F.col("e2").alias("e")))
-    label = F.array_sort(F.collect_list(F.struct("ord", spans.alias("spans"), kind.alias("type"))))
-    told = each.groupBy("pmid").agg(label.alias("l"))
-    return told.select("pmid", F.lit(0).alias("ord"), F.transform("l", lambda x: F.struct(x.spans.alias("spans"), x.type.alias("type"))).alias("label"))
+    told = tokenize.token_arrays(documents(spark, sf_dir))
+    at = F.filter(F.sequence(F.lit(0), F.size("words") - 3), lambda k: F.get("words", k).endswith("tion"))
+    n = lambda k: F.char_length(F.get("words", k))
+    kind = lambda k: F.when(n(k) % 7 == 0, "Foo").when(n(k) % 3 == 0, "ChemicalEntity").when(n(k) % 3 == 1, "Disease").otherwise("Species")
+    label = F.transform(at, lambda k: F.struct(F.array(F.get("spans", k), F.get("spans", k + 2)).alias("spans"), kind(k).alias("type")))
+    return told.where(F.size("words") > 2).select("pmid", F.lit(0).alias("ord"), label.alias("label")).where(F.size("label") > 0)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

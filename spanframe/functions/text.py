@@ -67,9 +67,8 @@ def record_id(*parts: Column) -> Column:
     return F.concat_ws("_", *[p.cast("string") for p in parts])
 
 
-def long_word(word: Column, limit: int) -> Column:
-    """A placeholder for words of more than `limit` characters."""
-    return F.when(F.char_length(word) > limit, F.lit("LONG_WORD")).otherwise(word)
+#: What stands for a word that is too long.
+LONG_WORD = "LONG_WORD"
 
 
 def distance_bucket(d: Column) -> Column:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import LabelSpec
 
+#: Characters of a bucket of offsets, about as many as a short chunk has.
+BUCKET = 256
+
 
 def label_ids(spark: SparkSession, spec: LabelSpec) -> DataFrame:
     """(label_id, type) in the specification's order."""
@@ -34,32 +37,56 @@ def join_by_id(tokens: DataFrame, predictions: DataFrame, order: str = "ord") ->
     return tokens.join(last_wins(predictions, "id", order).drop(order), "id")
 
 
-def first_containing(labels: DataFrame, chunks: DataFrame, id_col: str = "pmid") -> DataFrame:
+def first_containing(labels: DataFrame, chunks: DataFrame, id_col: str = "pmid", bucket: int = BUCKET) -> DataFrame:
     """Each label with the first chunk (by ord) whose range holds all its spans; chunk columns null if none does.
 
     labels: (id, label_ord, spans); chunks: (id, ord, s, e). All spans lie in a range if their extent
-    does; labels without spans are in the first chunk. An equi-join on the document with the range
-    as a further condition, then one minimum for each label: no window, partial before the shuffle.
+    does; labels without spans are in the first chunk. The line of offsets is cut in buckets: a chunk
+    stands in each that it touches, a label in that where it begins, so an equi-join on document and
+    bucket meets a label with the few chunks about it, and a large document is spread over tasks.
+    One minimum for each label follows: no window, partial before the shuffle.
     """
     lo, hi = F.array_min(F.transform("spans", lambda x: x.s)), F.array_max(F.transform("spans", lambda x: x.e))
     told = labels.withColumns({"_lo": lo, "_hi": hi})
+    place = lambda c: F.floor(c / bucket)
     c = chunks.select(F.col(id_col).alias("_cid"), F.struct("ord", "s", "e").alias("_c"))
-    inside = (F.col(id_col) == F.col("_cid")) & (F.col("_lo").isNull() | ((F.col("_c.s") <= F.col("_lo")) & (F.col("_hi") <= F.col("_c.e"))))
-    hit = told.join(c, inside).groupBy(id_col, "label_ord").agg(F.min("_c").alias("_c"))
+    spread = c.withColumn("_bucket", F.explode(F.sequence(place(F.col("_c.s")), F.greatest(place(F.col("_c.s")), place(F.col("_c.e"))))))
+    met = told.where("_lo is not null").withColumn("_at", place(F.col("_lo"))).join(spread, (F.col(id_col) == F.col("_cid")) & (F.col("_at") == F.col("_bucket")) & (F.col("_c.s") <= F.col("_lo")) & (F.col("_hi") <= F.col("_c.e")))
+    hit = met.groupBy(id_col, "label_ord").agg(F.min("_c").alias("_c"))
+    bare = told.where("_lo is null").select(id_col, "label_ord").join(c.groupBy(F.col("_cid").alias(id_col)).agg(F.min("_c").alias("_c")), id_col)
+    hit = hit.unionByName(bare)
     return labels.join(hit, [id_col, "label_ord"], "left").select(*labels.columns, F.col("_c.ord").alias("chunk_ord"), F.col("_c.s").alias("chunk_s"), F.col("_c.e").alias("chunk_e"))
 
 
-def resolve_fragments(spans: Column, words: Column) -> Column:
+def boundary_index(words: Column) -> Column:
+    """A chunk's words (s, e) as (starts, ends, n): their offsets in order, each with its word's place, made once for the chunk."""
+    side = lambda part: F.array_sort(F.transform(words, lambda w, k: F.struct(part(w).alias("at"), k.alias("word"))))
+    return F.struct(side(lambda w: w.s).alias("starts"), side(lambda w: w.e).alias("ends"), F.size(words).alias("n"))
+
+
+def _word_at(index: Column, offset: Column) -> Column:
+    """The last word of an index's offset, by binary search; null if no word has it."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(index).cast("double") + 1)).cast("int"))
+    start = F.struct(F.lit(-1).alias("lo"), F.size(index).alias("hi"))  # the last place whose offset is not above lies in [lo, hi)
+
+    def halve(a: Column, _: Column) -> Column:
+        mid = F.floor((a.lo + a.hi) / 2).cast("int")
+        low = F.get(index, mid).getField("at") <= offset
+        return F.when(a.hi - a.lo > 1, F.struct(F.when(low, mid).otherwise(a.lo).alias("lo"), F.when(low, a.hi).otherwise(mid).alias("hi"))).otherwise(a)
+
+    last = F.get(index, F.greatest(F.aggregate(steps, start, halve).getField("lo"), F.lit(0)))
+    return F.when(last.getField("at") == offset, last.getField("word"))
+
+
+def resolve_fragments(spans: Column, index: Column) -> Column:
     """Word indices that the fragments cover, or null if one starts or ends off a word boundary.
 
-    `words` is the chunk's array of (s, e). Where boundaries repeat, the last word counts. The
-    indices are the sorted union of the fragments' ranges. Without fragments the result is null.
+    `index` is boundary_index() of the chunk's words; each boundary costs the logarithm of the words.
+    Where boundaries repeat, the last word counts. The indices are the sorted union of the fragments'
+    ranges. Without fragments the result is null.
     """
-    n = F.size(words)
-    starts = F.reverse(F.transform(words, lambda w: w.s))
-    ends = F.reverse(F.transform(words, lambda w: w.e))
-    pairs = F.transform(spans, lambda x: F.struct((n - F.array_position(starts, x.s)).cast("int").alias("a"), (n - F.array_position(ends, x.e)).cast("int").alias("b")))
-    good = (F.size(spans) > 0) & F.forall(pairs, lambda p: (p.a < n) & (p.b < n) & (p.a <= p.b))
+    pairs = F.transform(spans, lambda x: F.struct(_word_at(index.getField("starts"), x.s).alias("a"), _word_at(index.getField("ends"), x.e).alias("b")))
+    good = (F.size(spans) > 0) & F.forall(pairs, lambda p: F.coalesce(p.a <= p.b, F.lit(False)))
     ranges = F.transform(F.filter(pairs, lambda p: p.a <= p.b), lambda p: F.sequence(p.a, p.b))
     return F.when(good, F.array_sort(F.array_distinct(F.flatten(ranges))))
 
@@ -75,7 +102,7 @@ def assign_labels(annotations: DataFrame, chunks: DataFrame, spec: LabelSpec, su
     told = told.select("pmid", "label_ord", F.col("l.spans").alias("spans"), canonical_type(F.col("l.type"), spec).alias("type"))
     ranged = chunks.where(F.size("spans") > 0).select("pmid", "ord", F.get("spans", F.lit(0)).s.alias("s"), F.element_at("spans", -1).e.alias("e"))
     placed = first_containing(told, ranged)
-    words = chunks.select(F.col("pmid").alias("_p"), F.col("ord").alias("_o"), "id", F.col("spans").alias("words"))
+    words = chunks.select(F.col("pmid").alias("_p"), F.col("ord").alias("_o"), "id", boundary_index(F.col("spans")).alias("words"))
     found = placed.join(words, (F.col("pmid") == F.col("_p")) & (F.col("chunk_ord") == F.col("_o")), "left")
     indices = resolve_fragments(F.col("spans"), F.col("words"))
     status = F.when(F.col("type").isNull(), "unknown").when(~type_included(F.col("type"), spec, suffix), "filtered").when(indices.isNull(), "dropped").otherwise("assigned")

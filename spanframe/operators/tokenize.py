@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import IS_TOKEN, TILE, TOKEN, long_word, record_id
+from ..functions.text import IS_TOKEN, LONG_WORD, TILE, TOKEN, record_id
 from ..schemas import VERSION
+from .pieces import Vocabulary
 
 Pieces = Callable[[Column], Column]
+_MARKS = frozenset(".?!")
+#: Words that a task holds before it hands them on, so that many documents of a batch don't add up.
+FLUSH_WORDS = 200_000
 
 
 def piece_count(word: Column) -> Column:
@@ -80,15 +85,6 @@ def token_rows(docs: DataFrame, id_col: str = "pmid", text_col: str = "fulltext"
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, ord int, word string, s int, e int, sent_idx int")
 
 
-def sentences(toks: DataFrame, id_col: str = "pmid") -> DataFrame:
-    """Tokens with sent_idx: a sentence ends with a full stop, question or exclamation mark.
-
-    A rule that stands in for a statistical splitter; pass other rows with sent_idx to use one.
-    """
-    before = Window.partitionBy(id_col).orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
-    return toks.withColumn("sent_idx", F.coalesce(F.sum(F.col("word").isin(".", "?", "!").cast("int")).over(before), F.lit(0)).cast("int"))
-
-
 def greedy_breaks(sizes: Column, limit: Column | int) -> Column:
     """Positions (from 0) at which a new chunk begins, for an array of piece counts.
 
@@ -105,25 +101,108 @@ def greedy_breaks(sizes: Column, limit: Column | int) -> Column:
     return F.aggregate(sizes, start, step, lambda a: a.breaks)
 
 
-def chunks(sent: DataFrame, max_length: int = 500, pieces: Pieces = piece_count, id_col: str = "pmid", word_limit: int | None = None) -> DataFrame:
-    """Token records of sentences cut greedily: (id, document_id, pmid, sent_idx, chunk_idx, sentence, spans).
+class Splitter(Protocol):
+    """Ends of sentences among a text's tokens (word, s, e)."""
+
+    def ends(self, toks: list[tuple[str, int, int]]) -> set[int]: ...
+
 
-    The words of a sentence are gathered in one row, as the cut is sequential; a sentence is never
-    spread over more. Words over `word_limit` characters keep their span under a placeholder.
+class EveryMark:
+    """The rule that needs no model: every full stop, question or exclamation mark ends a sentence."""
+
+    def ends(self, toks: list[tuple[str, int, int]]) -> set[int]:
+        return {k for k, t in enumerate(toks) if t[0] in _MARKS}
+
+
+def chunk_of_words(sizes: Iterable[int], ends: set[int], limit: int) -> list[tuple[int, int, int, int]]:
+    """(sentence, chunk, first, end) of the greedy chunks of a document's words, in order.
+
+    A chunk closes with its sentence, or when the next word, with two places for the ends, would
+    exceed the limit; a word that exceeds it alone is a chunk.
+    """
+    out, sent, chunk, first, total, k = [], 0, 0, 0, 0, -1
+    for k, n in enumerate(sizes):
+        if total and total + n + 2 > limit:
+            out.append((sent, chunk, first, k))
+            chunk, first, total = chunk + 1, k, 0
+        total += n
+        if k in ends:
+            out.append((sent, chunk, first, k + 1))
+            sent, chunk, first, total = sent + 1, 0, k + 1, 0
+    if first <= k:
+        out.append((sent, chunk, first, k + 1))
+    return out
+
+
+def token_records(
+    docs: DataFrame, max_length: int = 500, *, id_col: str = "pmid", text_col: str = "fulltext", word_limit: int | None = None, vocabulary: Vocabulary | None = None, splitter: Splitter | None = None,
+    unknown: str | None = None, most_unknown: float | None = None,
+) -> DataFrame:
+    """Token records (schema_version, id, document_id, pmid, sent_idx, chunk_idx, sentence, spans, ord) of documents, in one pass.
+
+    A document's words, sentences, piece counts and chunks are made together from its text, so
+    nothing is shuffled, tokens are never rows, and ord, the place in the document, comes with them.
+    Pieces are the vocabulary's, or else those of piece_count(); sentences the splitter's, or else end at
+    every mark. Words over `word_limit` characters keep their span under a placeholder, of which the
+    vocabulary counts the pieces.
+
+    With `most_unknown`, documents are left out whose share of unknown pieces is larger: those that
+    the vocabulary lacks, or words that match the pattern `unknown`. Such a document is one record
+    with a null id, so that a caller can count it. Documents without words give no record. Null
+    texts are empty.
     """
-    gathered = sent.groupBy(id_col, "sent_idx").agg(F.array_sort(F.collect_list(F.struct("ord", "word", "s", "e", pieces(F.col("word")).alias("n")))).alias("w"))
-    cut = gathered.withColumn("breaks", greedy_breaks(F.transform("w", lambda x: x.n), max_length))
-    bounds = F.transform(F.concat(F.array(F.lit(0)), "breaks"), lambda a, k: F.struct(a.alias("a"), F.coalesce(F.get("breaks", k), F.size("w")).alias("b")))
-    return cut.select(id_col, "sent_idx", "w", F.posexplode(bounds).alias("chunk_idx", "x")).select(
-        F.lit(VERSION).alias("schema_version"),
-        record_id(F.col(id_col), F.col("sent_idx"), F.col("chunk_idx")).alias("id"),
-        F.col(id_col).alias("document_id"),
-        F.col(id_col).alias("pmid"),
-        "sent_idx",
-        "chunk_idx",
-        F.transform(F.slice("w", F.col("x.a") + 1, F.col("x.b") - F.col("x.a")), lambda t: long_word(t.word, word_limit or max_length)).alias("sentence"),
-        F.transform(F.slice("w", F.col("x.a") + 1, F.col("x.b") - F.col("x.a")), lambda t: F.struct(t.s.alias("s"), t.e.alias("e"))).alias("spans"),
-    )
+    longest = word_limit or max_length
+    split = splitter or EveryMark()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import regex
+
+        find = regex.compile(TOKEN).finditer
+        odd = regex.compile(unknown).search if unknown else None
+        span = pa.struct([("s", pa.int32()), ("e", pa.int32())])
+
+        def flush():
+            at = pa.array(offsets, pa.int32())
+            spans = pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], fields=list(span)))
+            ints = [pa.array(x, pa.int32()) for x in (sents, chunks, ords)]
+            return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), *ints, pa.ListArray.from_arrays(at, pa.array(words, pa.string())), spans], names=["pmid", "sent_idx", "chunk_idx", "ord", "sentence", "spans"])
+
+        for b in batches:
+            rows, sents, chunks, ords, offsets, words, starts, stops = [], [], [], [], [0], [], [], []
+            for k, t in enumerate(b.column(1).to_pylist()):
+                toks = [(m[0], *m.span()) for m in find(t or "")]
+                told = [w if len(w) <= longest else LONG_WORD for w, _, _ in toks]
+                if vocabulary is not None:
+                    pieces = [vocabulary.pieces(w) for w in told]
+                    sizes, n_odd = [max(1, len(x)) for x in pieces], sum(x.count(None) for x in pieces)
+                else:
+                    sizes, n_odd = [max(1, -(-len(w) // 4)) for w, _, _ in toks], sum(odd(w) is not None for w, _, _ in toks) if odd else 0
+                n = sum(sizes) if vocabulary is not None else len(toks)
+                if n and most_unknown is not None and n_odd / n > most_unknown:
+                    rows.append(k)
+                    for x in (sents, chunks, ords):
+                        x.append(None)
+                    offsets.append(len(words))
+                    continue
+                for o, (sent, chunk, first, end) in enumerate(chunk_of_words(sizes, split.ends(toks), max_length)):
+                    rows.append(k)
+                    sents.append(sent)
+                    chunks.append(chunk)
+                    ords.append(o)
+                    words += told[first:end]
+                    starts += [x[1] for x in toks[first:end]]
+                    stops += [x[2] for x in toks[first:end]]
+                    offsets.append(len(words))
+                if len(words) > FLUSH_WORDS:
+                    yield flush()
+                    rows, sents, chunks, ords, offsets, words, starts, stops = [], [], [], [], [0], [], [], []
+            yield flush()
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    made = docs.select(F.col(id_col).alias("pmid"), text_col).mapInArrow(run, f"pmid {kind}, sent_idx int, chunk_idx int, ord int, sentence array<string>, spans array<struct<s:int,e:int>>")
+    name = F.when(F.col("ord").isNotNull(), record_id(F.col("pmid"), F.col("sent_idx"), F.col("chunk_idx")))
+    return made.select(F.lit(VERSION).alias("schema_version"), name.alias("id"), F.col("pmid").alias("document_id"), "pmid", "sent_idx", "chunk_idx", "sentence", "spans", "ord")
 
 
 def supported_language(toks: DataFrame, unknown: Column, threshold: float = 0.05, id_col: str = "pmid") -> DataFrame:

@@ -8,10 +8,12 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from ..operators import pieces, sentences
 from ..operators.convert import BC5CDR_TYPES, BIORED_TYPES
 from ..operators.guards import GuardError
 from ..operators.predict import Predictor, named_predictor, word_rules
-from ..schemas import LabelSpec
+from ..schemas import INGEST, LabelSpec
+from ..sources.readers import json_lines
 from .pipeline import Flow, convert_corpus
 
 
@@ -36,8 +38,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-length", type=int, default=500)
     p.add_argument("--predictor", help="module:name of a predictor, such as one of word_pair_predictor()")
     p.add_argument("--rules", help="JSON object of patterns for words, by type; without it and --predictor, a demonstration's")
-    p.add_argument("--unknown", help="pattern of words in no supported language; documents with too many are left out")
-    p.add_argument("--most-unknown", type=float, default=0.05, help="largest share of such words")
+    p.add_argument("--vocabulary", help="file of word pieces, a piece on each line or a tokenizer's JSON; documents with too many unknown pieces are left out")
+    p.add_argument("--learn-sentences", action="store_true", help="learn abbreviations from the documents, and end sentences by them instead of at every mark")
+    p.add_argument("--unknown", help="pattern of words in no supported language, where there is no vocabulary")
+    p.add_argument("--most-unknown", type=float, default=0.05, help="largest share of unknown pieces or words")
     return p
 
 
@@ -52,15 +56,20 @@ def chosen_predictor(a: argparse.Namespace) -> Predictor:
     return word_rules(_read(a.rules) if a.rules else DEMO)
 
 
+def models(spark: SparkSession, a: argparse.Namespace, ingested: str) -> tuple[pieces.Vocabulary | None, sentences.Boundaries | None]:
+    """The vocabulary and the sentence splitter that the options ask for."""
+    known = pieces.Vocabulary.of(pieces.vocabulary_file(spark, a.vocabulary)) if a.vocabulary else None
+    return known, sentences.learn(json_lines(spark, ingested, INGEST)).splitter() if a.learn_sentences else None
+
+
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("spanframe").getOrCreate()
     flow = Flow(spark, a.output_dir, LabelSpec.load(a.spec) if a.spec else LabelSpec(), a.force, a.suffix, a.max_length)
     at = {step: f"{a.output_dir}/{step}" for step in STEPS} | {"predict": f"{a.output_dir}/predict"}
-    unknown = (lambda w: w.rlike(a.unknown)) if a.unknown else None
     steps = {
         "ingest": lambda: flow.ingest(a.annotations, a.exclude),
-        "tokenize": lambda: flow.tokenize(at["ingest"], unknown=unknown, most_unknown=a.most_unknown),
+        "tokenize": lambda: flow.tokenize(at["ingest"], *models(spark, a, at["ingest"]), unknown=a.unknown, most_unknown=a.most_unknown),
         "label": lambda: flow.label(a.annotations, at["tokenize"]),
         "config": lambda: flow.config(at["label"], _read(a.config)),
         "infer": lambda: flow.predict(at["tokenize"], chosen_predictor(a)),

@@ -11,13 +11,13 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import align, evaluate, guards, ingest, stats, tokenize, vote
 from ..operators.convert import convert
+from ..operators.pieces import Vocabulary
 from ..operators.predict import Predictor
-from ..operators.storage import materialise
 from ..schemas import INGEST, POSTPROCESS, PREDICT, TOKEN, LabelSpec, ModelConfig
 from ..sources import readers, writers
 
@@ -55,8 +55,8 @@ class Flow:
 
         return self.stage("ingest", [annotations], build)
 
-    def tokenize(self, ingested: str, pieces: tokenize.Pieces = tokenize.piece_count, unknown: Callable[[Column], Column] | None = None, most_unknown: float = 0.05) -> str:
-        """Chunks of all documents; with a condition for unknown words, of those with at most that share of them.
+    def tokenize(self, ingested: str, vocabulary: Vocabulary | None = None, splitter: tokenize.Splitter | None = None, unknown: str | None = None, most_unknown: float = 0.05) -> str:
+        """Chunks of all documents, in one pass; with a vocabulary or a pattern of unknown words, of those with at most that share of them.
 
         Documents, not chunks, are held against the input, less those that the filter leaves out.
         Documents without words have no share; they stay, and give no chunk.
@@ -65,15 +65,12 @@ class Flow:
         def build():
             records = self.read(ingested, INGEST)
             guards.require(guards.empty("ids in several files", ingest.duplicate_ids(records, "pmid")))
-            toks, before = tokenize.token_rows(records), records.count()
-            if unknown is not None:
-                told = materialise(tokenize.supported_language(toks, unknown(F.col("word")), most_unknown).where("not supported").select("pmid"))
-                before -= told.count()
-                toks = toks.join(told, "pmid", "left_anti")
-            cut = tokenize.chunks(toks, self.max_length, pieces)
-            placed = align.ordered(cut, "sent_idx", "chunk_idx", partition="pmid").withColumn("ner", F.array().cast("array<struct<indices:array<int>,fragments:array<struct<start_char:int,end_char:int>>,type:string>>"))
-            seen = Observation()
-            return placed.observe(seen, F.count_if(F.col("ord") == 0).alias("documents")), lambda n: [guards.record_parity(before, int(seen.get["documents"]))]
+            limit = most_unknown if vocabulary is not None or unknown is not None else None
+            made = tokenize.token_records(records, self.max_length, vocabulary=vocabulary, splitter=splitter, unknown=unknown, most_unknown=limit)
+            seen, before = Observation(), records.count()
+            made = made.observe(seen, F.count_if(F.coalesce(F.col("ord"), F.lit(0)) == 0).alias("documents")).where("id is not null")
+            placed = made.withColumn("ner", F.array().cast("array<struct<indices:array<int>,fragments:array<struct<start_char:int,end_char:int>>,type:string>>"))
+            return placed, lambda n: [guards.record_parity(before, int(seen.get["documents"]))]
 
         return self.stage("tokenize", [ingested], build)
 

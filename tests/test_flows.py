@@ -154,8 +154,8 @@ def test_lost_documents_are_an_error(spark, tmp_path, monkeypatch):
     ingested = flow.ingest(str(tmp_path / "in"))
     from spanframe.operators import tokenize
 
-    whole = tokenize.token_rows
-    monkeypatch.setattr(tokenize, "token_rows", lambda docs: whole(docs).where("pmid <> '3'"))
+    whole = tokenize.token_records
+    monkeypatch.setattr(tokenize, "token_records", lambda docs, *a, **b: whole(docs, *a, **b).where("pmid <> '3'"))
     with pytest.raises(guards.GuardError, match="record parity"):
         flow.tokenize(ingested)
 

@@ -68,7 +68,7 @@ def test_greedy_chunks(spark):
 def test_fragments_and_islands(spark):
     words = [(0, 4), (5, 8), (9, 12), (13, 17), (18, 22)]
     cases = {((5, 8), (13, 17)): [1, 3], ((5, 17),): [1, 2, 3], ((99, 110),): None, ((5, 9),): None, (): None}
-    got = one(spark, align.resolve_fragments(F.col("f"), F.col("w")), [(list(f), words) for f in cases], f"f {SPANS}, w {SPANS}")
+    got = one(spark, align.resolve_fragments(F.col("f"), align.boundary_index(F.col("w"))), [(list(f), words) for f in cases], f"f {SPANS}, w {SPANS}")
     assert got == list(cases.values())
     islands = [[], [1], [1, 2], [1, 3], [0, 2, 4], [2, 0, 1]]
     got = one(spark, vote.island_spans(F.col("i"), F.col("w")), [(i, words) for i in islands], f"i array<int>, w {SPANS}")
