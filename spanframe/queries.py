@@ -24,14 +24,18 @@ d0 AS (SELECT CAST(doc_id AS VARCHAR) AS pmid, coalesce(text, '') AS t FROM docu
 d AS (SELECT pmid, regexp_replace(split_part(t, chr(10), 1), '^\s+|\s+$', '', 'g') AS title,
       regexp_replace(substr(t, length(split_part(t, chr(10), 1)) + 2), '^\s+|\s+$', '', 'g') AS abstract FROM d0),
 f AS (SELECT pmid, title, abstract, concat_ws(' ', nullif(title, ''), nullif(abstract, '')) AS fulltext FROM d)"""
-_TOK = rf"""{_DOCS},
+TOK = rf"""{_DOCS},
 p0 AS (SELECT pmid, regexp_extract_all(fulltext, '{_WORD}|(?s:.)') AS x FROM f),
 p1 AS (SELECT pmid, unnest(range(len(x))) AS ord, unnest(x) AS word FROM p0),
 p2 AS (SELECT *, CAST(sum(length(word)) OVER (PARTITION BY pmid ORDER BY ord) AS INT) AS e FROM p1),
 tok AS MATERIALIZED (SELECT pmid, ord, word, e - length(word) AS s, e FROM p2 WHERE regexp_matches(word, '^({_WORD})$'))"""
-_CHUNK = rf"""RECURSIVE {_TOK},
-s0 AS (SELECT *, CAST(coalesce(sum(CAST(word IN ('.', '?', '!') AS INT)) OVER (PARTITION BY pmid ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS sent FROM tok),
-s1 AS (SELECT *, row_number() OVER (PARTITION BY pmid, sent ORDER BY ord) - 1 AS i, greatest(1, CAST(ceil(length(word) / 4.0) AS INT)) AS n FROM s0),
+
+
+def chunked(sentences: str, sizes: str) -> str:
+    """SQL of the greedy chunks of words with their sentences (s0, from `sentences`) and sizes (s1, from `sizes`)."""
+    return rf"""RECURSIVE {TOK},
+{sentences},
+{sizes},
 s2 AS (SELECT *, sum(n) OVER (PARTITION BY pmid, sent ORDER BY i) AS cum FROM s1),
 s3 AS (SELECT a.pmid, a.sent, a.i, greatest(a.i + 1, coalesce(b.i, 1000000000)) AS nxt
        FROM (SELECT *, cum - n + {A.CHUNK} - 2 AS thr FROM s2) a ASOF LEFT JOIN s2 b ON a.pmid = b.pmid AND a.sent = b.sent AND a.thr < b.cum),
@@ -40,6 +44,11 @@ c0 AS (SELECT pmid, sent, i, nxt, 0 AS chunk FROM s3 WHERE i = 0
 words AS MATERIALIZED (SELECT c0.pmid, c0.sent, c0.chunk, s2.i - c0.i AS w, s2.word, s2.s, s2.e, s2.ord FROM c0 JOIN s2 ON s2.pmid = c0.pmid AND s2.sent = c0.sent AND s2.i >= c0.i AND s2.i < c0.nxt),
 chunks AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY sent, chunk) - 1 AS c FROM
           (SELECT pmid, sent, chunk, concat_ws('_', pmid, sent, chunk) AS id, count(*) AS n_words, min(s) AS s, max(e) AS e FROM words GROUP BY ALL))"""
+
+
+EVERY_MARK = "s0 AS (SELECT *, CAST(coalesce(sum(CAST(word IN ('.', '?', '!') AS INT)) OVER (PARTITION BY pmid ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS sent FROM tok)"
+FOURS = "s1 AS (SELECT *, row_number() OVER (PARTITION BY pmid, sent ORDER BY ord) - 1 AS i, greatest(1, CAST(ceil(length(word) / 4.0) AS INT)) AS n FROM s0)"
+_CHUNK = chunked(EVERY_MARK, FOURS)
 _LABELS = f"""{_CHUNK},
 l0 AS (SELECT *, lead(s, 2) OVER (PARTITION BY pmid ORDER BY ord) AS s2, lead(e, 2) OVER (PARTITION BY pmid ORDER BY ord) AS e2 FROM tok),
 l1 AS (SELECT pmid, row_number() OVER (PARTITION BY pmid ORDER BY ord) - 1 AS label_ord, s, e, s2, e2,
@@ -112,19 +121,19 @@ def nfkc_normalize(spark, sf):
     return out.select("pmid", F.md5(F.col("title").cast("binary")).alias("title"), "length_ok")
 
 
-@query("tokenize_offsets", f"WITH {_TOK} SELECT pmid, count(*) AS n, CAST(sum(s) AS BIGINT) AS sum_s, CAST(sum(e) AS BIGINT) AS sum_e, md5(string_agg(word, ' ' ORDER BY ord)) AS digest FROM tok GROUP BY pmid")
+@query("tokenize_offsets", f"WITH {TOK} SELECT pmid, count(*) AS n, CAST(sum(s) AS BIGINT) AS sum_s, CAST(sum(e) AS BIGINT) AS sum_e, md5(string_agg(word, ' ' ORDER BY ord)) AS digest FROM tok GROUP BY pmid")
 def tokenize_offsets(spark, sf):
     words = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "word"))), lambda x: x.word), " ")
     return tokenize.tokens(A.documents(spark, sf)).groupBy("pmid").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("sum_s"), F.sum("e").alias("sum_e"), F.md5(words.cast("binary")).alias("digest"))
 
 
-@query("tokenize_arrow", f"WITH {_TOK} SELECT pmid, count(*) AS n, CAST(sum(s) AS BIGINT) AS sum_s, CAST(sum(e) AS BIGINT) AS sum_e FROM tok GROUP BY pmid")
+@query("tokenize_arrow", f"WITH {TOK} SELECT pmid, count(*) AS n, CAST(sum(s) AS BIGINT) AS sum_s, CAST(sum(e) AS BIGINT) AS sum_e FROM tok GROUP BY pmid")
 def tokenize_arrow(spark, sf):
     total = lambda k: F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x[k])
     return tokenize.token_arrays(A.documents(spark, sf)).where(F.size("words") > 0).select("pmid", F.size("words").cast("long").alias("n"), total("s").alias("sum_s"), total("e").alias("sum_e"))
 
 
-@query("unk_language_filter", f"WITH {_TOK} SELECT pmid, avg(CAST(regexp_matches(word, '[^a-zA-Z.,]') AS DOUBLE)) AS unk_rate, avg(CAST(regexp_matches(word, '[^a-zA-Z.,]') AS DOUBLE)) <= 0.05 AS supported FROM tok GROUP BY pmid")
+@query("unk_language_filter", f"WITH {TOK} SELECT pmid, avg(CAST(regexp_matches(word, '[^a-zA-Z.,]') AS DOUBLE)) AS unk_rate, avg(CAST(regexp_matches(word, '[^a-zA-Z.,]') AS DOUBLE)) <= 0.05 AS supported FROM tok GROUP BY pmid")
 def unk_language_filter(spark, sf):
     return tokenize.supported_language(A.tokens(spark, sf), F.col("word").rlike("[^a-zA-Z.,]"))
 
@@ -219,7 +228,7 @@ def offset_rebase(spark, sf):
     return at.select("pmid", "o", rebase(F.col("o"), F.col("tl"), F.col("tl") + 3).alias("r"))
 
 
-_KEYS = f"""{_TOK}, g AS (SELECT DISTINCT pmid, s, e, CASE WHEN length(word) % 2 = 0 THEN 'Chemical' ELSE 'Disease' END AS type FROM tok WHERE regexp_matches(word, '^[a-z]{{7,}}$')),
+_KEYS = f"""{TOK}, g AS (SELECT DISTINCT pmid, s, e, CASE WHEN length(word) % 2 = 0 THEN 'Chemical' ELSE 'Disease' END AS type FROM tok WHERE regexp_matches(word, '^[a-z]{{7,}}$')),
 p AS (SELECT DISTINCT pmid, s, e, CASE WHEN length(word) % 2 = 0 AND NOT word LIKE '%s' THEN 'Chemical' ELSE 'Disease' END AS type FROM tok WHERE regexp_matches(word, '^[a-z]{{8,}}$')),
 m AS (SELECT coalesce(g.type, p.type) AS type, g.pmid IS NOT NULL AS g, p.pmid IS NOT NULL AS p FROM g FULL JOIN p ON g.pmid = p.pmid AND g.s = p.s AND g.e = p.e AND g.type = p.type)"""
 _PRF = "CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall"
@@ -242,7 +251,7 @@ def evaluation_totals(spark, sf):
     return evaluate.totals(_keys(spark, sf, 7, False), _keys(spark, sf, 8, True))
 
 
-@query("cell_macro_f1", rf"""WITH {_TOK}, y AS (SELECT CASE WHEN length(word) < 4 THEN 0 ELSE length(word) % 3 END AS t, CASE WHEN length(word) < 5 THEN 0 ELSE length(word) % 3 END AS p FROM tok),
+@query("cell_macro_f1", rf"""WITH {TOK}, y AS (SELECT CASE WHEN length(word) < 4 THEN 0 ELSE length(word) % 3 END AS t, CASE WHEN length(word) < 5 THEN 0 ELSE length(word) % 3 END AS p FROM tok),
 l AS (SELECT DISTINCT t AS k FROM y UNION SELECT DISTINCT p FROM y), c AS (SELECT k, (SELECT count(*) FROM y WHERE t = k AND p = k) AS tp, (SELECT count(*) FROM y WHERE p = k AND t <> k) AS fp, (SELECT count(*) FROM y WHERE t = k AND p <> k) AS fn FROM l),
 r AS (SELECT *, {_PRF} FROM c), q AS (SELECT *, {_F1} FROM r) SELECT avg(precision) AS macro_precision, avg(recall) AS macro_recall, avg(f1) AS macro_f1, sum(tp) / sum(tp + fn) AS micro_f1 FROM q""")
 def cell_macro_f1(spark, sf):
@@ -290,22 +299,22 @@ def distance_buckets(spark, sf):
     return spark.range(1000).select(F.col("id").alias("d"), distance_bucket(F.col("id")).cast("long").alias("bucket"))
 
 
-_ITEMS = rf"p0 AS (SELECT item_id, regexp_extract_all(text, '{_WORD}|(?s:.)') AS x FROM benchmark), w AS (SELECT item_id, ord, word FROM (SELECT item_id, unnest(range(len(x))) AS ord, unnest(x) AS word FROM p0) WHERE regexp_matches(word, '^({_WORD})$'))"
+ITEMS = rf"b0 AS (SELECT item_id, regexp_extract_all(text, '{_WORD}|(?s:.)') AS x FROM benchmark), w AS (SELECT item_id, ord, word FROM (SELECT item_id, unnest(range(len(x))) AS ord, unnest(x) AS word FROM b0) WHERE regexp_matches(word, '^({_WORD})$'))"
 
 
-def _items(spark, sf):
+def item_words(spark, sf):
     return tokenize.tokens(A.table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text"), "id", "text")
 
 
-@query("pair_grid", f"WITH {_ITEMS}, n AS (SELECT item_id AS id, count(*) AS n FROM w GROUP BY 1), i AS (SELECT id, n, unnest(range(n)) AS i FROM n), c AS (SELECT id, i, unnest(range(n)) AS j FROM i) SELECT id, CASE WHEN i = j THEN 19 WHEN j > i THEN least(9, length(bin(j - i))) + 9 ELSE least(9, length(bin(i - j))) END AS dist, CASE WHEN j > i THEN 1 ELSE 2 END AS region, count(*) AS cells FROM c GROUP BY ALL")
+@query("pair_grid", f"WITH {ITEMS}, n AS (SELECT item_id AS id, count(*) AS n FROM w GROUP BY 1), i AS (SELECT id, n, unnest(range(n)) AS i FROM n), c AS (SELECT id, i, unnest(range(n)) AS j FROM i) SELECT id, CASE WHEN i = j THEN 19 WHEN j > i THEN least(9, length(bin(j - i))) + 9 ELSE least(9, length(bin(i - j))) END AS dist, CASE WHEN j > i THEN 1 ELSE 2 END AS region, count(*) AS cells FROM c GROUP BY ALL")
 def pair_grid(spark, sf):
-    sizes = _items(spark, sf).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = item_words(spark, sf).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     return grid.pair_grid(sizes).groupBy("id", F.col("dist").cast("long").alias("dist"), "region").agg(F.count(F.lit(1)).alias("cells"))
 
 
-@query("piece_alignment", f"WITH {_ITEMS}, n AS (SELECT *, greatest(1, CAST(ceil(length(word) / 4.0) AS INT)) AS n FROM w), u AS (SELECT *, sum(n) OVER (PARTITION BY item_id ORDER BY ord) AS u FROM n) SELECT item_id AS id, ord, CAST(u - n + 1 AS INT) AS first_piece, CAST(u AS INT) AS last_piece FROM u")
+@query("piece_alignment", f"WITH {ITEMS}, n AS (SELECT *, greatest(1, CAST(ceil(length(word) / 4.0) AS INT)) AS n FROM w), u AS (SELECT *, sum(n) OVER (PARTITION BY item_id ORDER BY ord) AS u FROM n) SELECT item_id AS id, ord, CAST(u - n + 1 AS INT) AS first_piece, CAST(u AS INT) AS last_piece FROM u")
 def piece_alignment(spark, sf):
-    return tokenize.piece_alignment(_items(spark, sf)).withColumn("ord", F.col("ord").cast("long"))
+    return tokenize.piece_alignment(item_words(spark, sf)).withColumn("ord", F.col("ord").cast("long"))
 
 
 @query("grid_encode", f'WITH {_GRID} SELECT id, "row", col, label FROM grid')
@@ -633,3 +642,6 @@ def manifest_hash(spark, sf):
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_postprocess_evaluate(spark, sf_dir)
+
+
+from . import queries_text as _text  # noqa: E402, F401  registers its queries; it needs what stands above
