@@ -7,13 +7,15 @@ or below the diagonal, closes an entity of that type.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import distance_bucket
 from ..schemas import LabelSpec
+from .storage import materialise
 
 
 def encode(entities: DataFrame, spec: LabelSpec) -> DataFrame:
@@ -60,73 +62,128 @@ def ascending_paths(edges: dict[int, list[int]], head: int, tail: int) -> Iterat
             ways.append(iter([c for c in edges[b] if c in alive]))
 
 
-def decode(grid: DataFrame) -> DataFrame:
-    """(id, head, tail, label, indices) of every ascending path of edges from a head to its tail, each once.
+_USEFUL = "(label = 1 and row < col) or (label > 1 and row >= col)"
+#: Counts of paths stop here: no anchor's number grows beyond what a long holds.
+MOST_PATHS = 1 << 62
+
 
-    A sentence's cells lie sorted in one task, which gives paths as it finds them: sentences are
-    independent, and neither their number nor that of their paths is held anywhere at once. Repeated
+def _by_sentence(grid: DataFrame, found: Callable[[dict[int, list[int]], list[tuple[int, int, int]]], Iterator[tuple]], names: list[str], schema: str) -> DataFrame:
+    """What `found` gives for each sentence's edges and anchors (head, tail, label), after its id.
+
+    A sentence's cells lie sorted in one task, which gives rows as it finds them: sentences are
+    independent, and neither their number nor that of their rows is held anywhere at once. Repeated
     cells count once; cells of no use (label 1 on or below the diagonal, others above it) are left out.
     """
-    useful = grid.where("(label = 1 and row < col) or (label > 1 and row >= col)").select("id", "row", "col", "label")
+    useful = grid.where(_USEFUL).select("id", "row", "col", "label")
     kind = grid.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        types = [pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
-        names = ["id", "head", "tail", "label", "indices"]
+        known = {"head": pa.int32(), "tail": pa.int32(), "label": pa.int32(), "indices": pa.list_(pa.int32()), "n_paths": pa.int64(), "longest": pa.int32(), "branching": pa.int32()}
 
         def cells() -> Iterator:
             for b in batches:
                 yield from zip(*(c.to_pylist() for c in b.columns))
 
-        def found() -> Iterator:
-            for key, rows in itertools.groupby(cells(), lambda x: x[0]):
+        def rows() -> Iterator:
+            for key, own in itertools.groupby(cells(), lambda x: x[0]):
                 edges, anchors = {}, set()
-                for _, row, col, label in rows:
+                for _, row, col, label in own:
                     if label == 1:
                         edges.setdefault(row, set()).add(col)
                     else:
                         anchors.add((col, row, label))
-                ways = {a: sorted(b) for a, b in edges.items()}
-                for head, tail, label in sorted(anchors):
-                    for path in ascending_paths(ways, head, tail):
-                        yield key, head, tail, label, path
+                for x in found({a: sorted(b) for a, b in edges.items()}, sorted(anchors)):
+                    yield key, *x
 
-        paths = found()
-        while some := list(itertools.islice(paths, 10_000)):
+        all_rows = rows()
+        while some := list(itertools.islice(all_rows, 10_000)):
             ids, *rest = zip(*some)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(list(c), t) for c, t in zip(rest, types))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(list(c), known[n]) for c, n in zip(rest, names))], names=["id", *names])
 
-    return useful.repartition("id").sortWithinPartitions("id").mapInArrow(run, f"id {kind}, head int, tail int, label int, indices array<int>")
+    return useful.repartition("id").sortWithinPartitions("id").mapInArrow(run, f"id {kind}, {schema}")
 
 
-def decode_guarded(grid: DataFrame, *, max_paths: int = 50_000) -> tuple[DataFrame, DataFrame]:
-    """decode() of the anchors with at most max_paths paths, and a warning for each other one.
+def decode(grid: DataFrame) -> DataFrame:
+    """(id, head, tail, label, indices) of every ascending path of edges from a head to its tail, each once."""
+
+    def found(ways: dict[int, list[int]], anchors: list[tuple[int, int, int]]) -> Iterator[tuple]:
+        for head, tail, label in anchors:
+            for path in ascending_paths(ways, head, tail):
+                yield head, tail, label, path
+
+    return _by_sentence(grid, found, ["head", "tail", "label", "indices"], "head int, tail int, label int, indices array<int>")
+
+
+def path_counts(ways: dict[int, list[int]], head: int) -> dict[int, tuple[int, int]]:
+    """For each word that ascending paths from head reach, their number (MOST_PATHS at most) and the words of the longest."""
+    told = {head: (1, 1)}
+    for a in sorted(ways):
+        if a in told:
+            n, longest = told[a]
+            for b in ways[a]:
+                m, other = told.get(b, (0, 0))
+                told[b] = min(MOST_PATHS, m + n), max(other, longest + 1)
+    return told
+
+
+def widest(ways: dict[int, list[int]], reached: Iterable[int], tail: int) -> int:
+    """The most ways that lead on from one word towards the tail."""
+    alive, most = {tail}, 0
+    for a in sorted((a for a in ways if a < tail), reverse=True):
+        n = sum(b in alive for b in ways[a])
+        if n:
+            alive.add(a)
+            if a in reached:
+                most = max(most, n)
+    return most
 
-    Path counts come first, by adding up along the edges in one task for each sentence, so an
-    explosion is found before it happens. Anchors are judged one by one; none is cut short.
-    """
 
-    def count(pdf):
-        import pandas as pd
+@dataclass
+class Guarded:
+    """decoded: every path of the anchors that may be decoded; partial: for each other one, its first path, as
+    (id, head, tail, label, indices); warnings: (id, head, tail, message, stats) of those others."""
 
-        edges = pdf[(pdf["label"] == 1) & (pdf["row"] < pdf["col"])].sort_values("row")
-        out = []
-        for row, col in pdf[(pdf["label"] > 1) & (pdf["row"] >= pdf["col"])][["row", "col"]].itertuples(index=False):
-            n = {int(col): 1}
-            for a, b in zip(edges["row"], edges["col"]):
-                if a in n and b <= row:
-                    n[int(b)] = n.get(int(b), 0) + n[a]
-            out.append((pdf["id"].iloc[0], int(col), int(row), float(n.get(int(row), 0))))
-        return pd.DataFrame(out, columns=["id", "head", "tail", "n_paths"])
+    decoded: DataFrame
+    partial: DataFrame
+    warnings: DataFrame
+
+    @property
+    def all(self) -> DataFrame:
+        return self.decoded.unionByName(self.partial)
+
+
+def decode_guarded(grid: DataFrame, *, max_paths: int = 50_000, max_path_len: int = 30, max_branching: int = 128) -> Guarded:
+    """decode() of the anchors that do not explode, with a warning and one path for each that does.
+
+    An anchor explodes if it has more than max_paths paths, or if its longest path has more than
+    max_path_len words and some word on the way more than max_branching ways on. All that is known before
+    any path is made: one pass over a sentence's edges for each head adds up the paths to all its
+    tails, in whole numbers that stop at MOST_PATHS. Anchors are judged one by one. Of one that explodes, the
+    path of the smallest words is kept as evidence, beside the warning.
+    """
+
+    def found(ways: dict[int, list[int]], anchors: list[tuple[int, int, int]]) -> Iterator[tuple]:
+        for head, group in itertools.groupby(anchors, lambda x: x[0]):
+            told = path_counts(ways, head)
+            for _, tail, label in group:
+                n, longest = told.get(tail, (0, 0))
+                wide = widest(ways, told, tail) if n > max_paths or longest > max_path_len else 0
+                if n > max_paths or (longest > max_path_len and wide > max_branching):
+                    yield head, tail, label, next(ascending_paths(ways, head, tail)), n, longest, wide
+                else:
+                    for path in ascending_paths(ways, head, tail):
+                        yield head, tail, label, path, None, None, None
 
-    counts = grid.groupBy("id").applyInPandas(count, "id string, head int, tail int, n_paths double")
-    over = counts.where(F.col("n_paths") > max_paths)
-    anchors = over.select("id", F.col("tail").alias("row"), F.col("head").alias("col"))
-    safe = grid.where("label = 1").unionByName(grid.where("label <> 1").join(anchors, ["id", "row", "col"], "left_anti").select(*grid.columns))
-    warnings = over.select("id", "head", "tail", F.lit("too many paths").alias("message"), F.create_map(F.lit("n_paths"), F.col("n_paths").cast("long"), F.lit("max_paths"), F.lit(max_paths).cast("long")).alias("stats"))
-    return decode(safe), warnings
+    names = ["head", "tail", "label", "indices", "n_paths", "longest", "branching"]
+    rows = materialise(_by_sentence(grid, found, names, "head int, tail int, label int, indices array<int>, n_paths long, longest int, branching int"))
+    over, plain = F.col("n_paths").isNotNull(), ["id", "head", "tail", "label", "indices"]
+    stat = lambda c: [F.lit(c), F.col(c).cast("long")]
+    message = F.when(F.col("n_paths") > max_paths, "too many paths").otherwise("long and wide")
+    stats = F.create_map(*stat("n_paths"), *stat("longest"), *stat("branching"), F.lit("max_paths"), F.lit(max_paths).cast("long"))
+    warnings = rows.where(over).select("id", "head", "tail", message.alias("message"), stats.alias("stats"))
+    return Guarded(rows.where(~over).select(*plain), rows.where(over).select(*plain), warnings)
 
 
 def entities(decoded: DataFrame, words: DataFrame, spec: LabelSpec) -> DataFrame:
@@ -177,8 +234,8 @@ def argmax(scores: Column) -> Column:
 
 
 def padded(records: DataFrame, value: str, batch_size: int, order: str = "ord") -> DataFrame:
-    """Records with batch, length, and `value` padded with zeros to the batch's longest."""
-    batched = records.withColumn("batch", F.floor(F.col(order) / batch_size)).withColumn("length", F.size(value))
+    """Records with batch, length, and `value` padded with zeros to the batch's longest; order is a dense ordinal, as with_ordinal() gives."""
+    batched = records.withColumn("batch", F.expr(f"`{order}` div {int(batch_size)}")).withColumn("length", F.size(value))
     longest = batched.groupBy("batch").agg(F.max("length").alias("width"))
     joined = batched.join(longest, "batch")
     return joined.withColumn(value, F.concat(F.col(value), F.array_repeat(F.lit(0), F.col("width") - F.col("length"))))

@@ -105,13 +105,21 @@ class Flow:
         return stats.class_weights(stats.label_counts(self.spark, records, self.spec), min_background=config.min_bg_weight)
 
     def predict(self, tokenized: str, predictor: Predictor, head: int | None = None) -> str:
-        """Predictions of all chunks; a model's head must have the specification's labels, rules have none."""
+        """Predictions of all chunks; a model's head must have the specification's labels, rules have none.
+
+        What a model's decoder warns of is published beside the predictions, as predict-warnings, and is a
+        warning of the flow; it doesn't stop it.
+        """
 
         def build():
             guards.require(guards.head_size(head if head is not None else getattr(predictor, "head", None), self.spec))
             tokens = self.read(tokenized, TOKEN)
-            n_tokens = tokens.count()
-            return predictor(tokens), lambda n: [guards.equal_counts("predictions", n_tokens, n)]
+            n_tokens, made = tokens.count(), predictor(tokens)
+            told = getattr(predictor, "warnings", None)
+            if told is not None:
+                n = writers.publish(told, f"{self.out}/predict-warnings")
+                guards.require(guards.Verdict("decoding", "warn" if n else "pass", f"{n} anchors with too many paths, listed in predict-warnings"))
+            return made, lambda n: [guards.equal_counts("predictions", n_tokens, n)]
 
         return self.stage("predict", [tokenized], build)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import adapters as A
 from .functions.text import distance_bucket, map_dashes, rebase, record_id, slice_text
 from .operators import align, convert, evaluate, grid, guards, ingest, stats, tokenize, vote
+from .operators.ordinals import with_ordinal
 from .operators.predict import rule_predictor
 from .operators.storage import materialise, shared_dir
 from .sources import readers, writers
@@ -349,13 +350,21 @@ def loss_mask_cells(spark, sf):
     return grid.loss_cells(grid.encode(A.entities(cut, fates), A.SPEC), cut.select("id", F.size("spans").cast("long").alias("n")))
 
 
-@query("batch_padding", "WITH d AS (SELECT doc_id, doc_id // 8 AS batch, list_transform(string_split(text, chr(10)), lambda x: length(x)) AS v FROM documents), w AS (SELECT *, max(len(v)) OVER (PARTITION BY batch) AS width FROM d) SELECT doc_id, batch, len(v) AS length, width, md5(concat_ws(',', array_to_string(v, ','), CASE WHEN width > len(v) THEN array_to_string(list_transform(range(width - len(v)), lambda x: 0), ',') END)) AS digest FROM w")
+@query("batch_padding", "WITH d AS (SELECT doc_id, (row_number() OVER (ORDER BY source NULLS FIRST, doc_id) - 1) // 8 AS batch, list_transform(string_split(text, chr(10)), lambda x: length(x)) AS v FROM documents), w AS (SELECT *, max(len(v)) OVER (PARTITION BY batch) AS width FROM d) SELECT doc_id, batch, len(v) AS length, width, md5(concat_ws(',', array_to_string(v, ','), CASE WHEN width > len(v) THEN array_to_string(list_transform(range(width - len(v)), lambda x: 0), ',') END)) AS digest FROM w")
 def batch_padding(spark, sf):
-    records = A.table(spark, sf, "documents").select("doc_id", F.transform(F.split("text", "\n"), lambda x: F.char_length(x)).alias("v"))
-    out = grid.padded(records, "v", 8, "doc_id")
+    """Batches of exactly eight records, in an order over the whole table."""
+    records = A.table(spark, sf, "documents").select("doc_id", "source", F.transform(F.split("text", "\n"), lambda x: F.char_length(x)).alias("v"))
+    out = grid.padded(with_ordinal(records, "source", "doc_id"), "v", 8)
     return out.select("doc_id", "batch", F.col("length").cast("long").alias("length"), F.col("width").cast("long").alias("width"), F.md5(_joined(F.col("v")).cast("binary")).alias("digest"))
 
 
+@query("table_ordinal", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey) - 1 AS ord FROM orders")
+def table_ordinal(spark, sf):
+    """A dense place of every order, by few different priorities first."""
+    rows = A.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", (-F.col("o_totalprice")).alias("down"))
+    return with_ordinal(rows, "o_orderpriority", "down", "o_orderkey").select("o_orderkey", "ord")
+
+
 _EPOCHS = [(1, 0.1), (2, 0.3), (3, 0.3), (4, 0.2), (5, 0.35), (6, 0.1), (7, 0.2), (8, 0.3), (9, 0.9)]
 
 
@@ -518,28 +527,39 @@ def decoded_entities(spark, sf):
     return told.select("id", _joined(F.col("x.indices")).alias("indices"), F.array_join("x.text", " ").alias("txt"), F.col("x.type").alias("type"))
 
 
-# Cells of one made-up sentence for each customer, of k diamonds in a row: 2 ^ k paths from its head to its tail.
-_LATTICE = """c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_custkey % 7 + 1 AS INT) AS k FROM customer)"""
+# Cells of one made-up sentence for each customer: k diamonds in a row, 2 ^ k paths from head to tail, 100 of them for some;
+# or, for others, a way of 40 words that ends in a fan of 12 and meets again: few paths, but long and wide.
+_LATTICE = """c AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 50 = 0 THEN 100 WHEN c_custkey % 50 = 1 THEN 0 ELSE CAST(c_custkey % 7 + 1 AS INT) END AS k FROM customer)"""
+_LIMITS = {"max_paths": 20, "max_path_len": 30, "max_branching": 10}
 
 
-@query("path_explosion", f"WITH {_LATTICE} SELECT id, 0 AS head, CAST(3 * k AS INT) AS tail, CAST(pow(2, k) AS BIGINT) AS n_paths, 'too many paths' AS message FROM c WHERE pow(2, k) > 20")
+@query("path_explosion", f"""WITH {_LATTICE} SELECT id, 0 AS head, CAST(3 * k AS INT) AS tail, CASE WHEN k < 62 THEN CAST(pow(2, k) AS BIGINT) ELSE 4611686018427387904 END AS n_paths, CAST(2 * k + 1 AS BIGINT) AS longest, 2 AS branching,
+'too many paths' AS message, array_to_string(flatten([[0], flatten(list_transform(range(k), lambda j: [3 * j + 1, 3 * j + 3]))]), ',') AS partial FROM c WHERE k > 4
+UNION ALL SELECT id, 0, 52, 12, 42, 12, 'long and wide', array_to_string(list_append(range(41), 52), ',') FROM c WHERE k = 0""")
 def path_explosion(spark, sf):
-    """Warnings of the guarded decoder: anchors with more than 20 paths."""
-    return grid.decode_guarded(_lattices(spark, sf), max_paths=20)[1].select("id", "head", "tail", F.col("stats")["n_paths"].alias("n_paths"), "message")
+    """Warnings of the guarded decoder, each with the one path that it keeps: too many paths, or long and wide ones."""
+    told = grid.decode_guarded(_lattices(spark, sf), **_LIMITS)
+    stat = lambda c: F.col("stats")[c].alias(c)
+    kept = told.partial.select("id", "head", "tail", _joined(F.col("indices")).alias("partial"))
+    return told.warnings.join(kept, ["id", "head", "tail"]).select("id", "head", "tail", stat("n_paths"), stat("longest"), stat("branching"), "message", "partial")
 
 
-@query("branching_paths", f"WITH {_LATTICE}, p AS (SELECT id, k, unnest(range(CAST(pow(2, k) AS BIGINT))) AS x FROM c WHERE pow(2, k) <= 20) SELECT id, 0 AS head, CAST(3 * k AS INT) AS tail, 2 AS label, array_to_string(list_concat([0], flatten(list_transform(range(k), lambda j: [3 * j + 1 + (x >> j) % 2, 3 * j + 3]))), ',') AS indices FROM p")
+@query("branching_paths", f"WITH {_LATTICE}, p AS (SELECT id, k, unnest(range(CAST(pow(2, k) AS BIGINT))) AS x FROM c WHERE k BETWEEN 1 AND 4) SELECT id, 0 AS head, CAST(3 * k AS INT) AS tail, 2 AS label, array_to_string(list_concat([0], flatten(list_transform(range(k), lambda j: [3 * j + 1 + (x >> j) % 2, 3 * j + 3]))), ',') AS indices FROM p")
 def branching_paths(spark, sf):
     """Every path of the anchors that the guard lets through: 3 to 9 words, branching at every third."""
-    return grid.decode_guarded(_lattices(spark, sf), max_paths=20)[0].select("id", "head", "tail", "label", _joined(F.col("indices")).alias("indices"))
+    return grid.decode_guarded(_lattices(spark, sf), **_LIMITS).decoded.select("id", "head", "tail", "label", _joined(F.col("indices")).alias("indices"))
 
 
 def _lattices(spark, sf) -> DataFrame:
-    ids = A.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"), (F.col("c_custkey") % 7 + 1).cast("int").alias("k"))
+    key = F.col("c_custkey")
+    ids = A.table(spark, sf, "customer").select(key.cast("string").alias("id"), F.when(key % 50 == 0, 100).when(key % 50 == 1, 0).otherwise(key % 7 + 1).cast("int").alias("k"))
     edge = lambda a, b: F.struct(a.cast("int").alias("row"), b.cast("int").alias("col"), F.lit(1).alias("label"))
+    anchor = lambda tail: F.array(F.struct(tail.cast("int").alias("row"), F.lit(0).alias("col"), F.lit(2).alias("label")))
     diamonds = F.flatten(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.array(edge(3 * j, 3 * j + 1), edge(3 * j, 3 * j + 2), edge(3 * j + 1, 3 * j + 3), edge(3 * j + 2, 3 * j + 3))))
-    anchor = F.array(F.struct((3 * F.col("k")).cast("int").alias("row"), F.lit(0).alias("col"), F.lit(2).alias("label")))
-    return ids.select("id", F.explode(F.concat(diamonds, anchor)).alias("c")).select("id", "c.*")
+    # words 0 to 39 in a row, 40 to 51 beside each other, then 52
+    way = F.concat(F.transform(F.sequence(F.lit(0), F.lit(38)), lambda j: edge(j, j + 1)), F.flatten(F.transform(F.sequence(F.lit(40), F.lit(51)), lambda j: F.array(edge(F.lit(39), j), edge(j, F.lit(52))))))
+    cells = F.when(F.col("k") > 0, F.concat(diamonds, anchor(3 * F.col("k")))).otherwise(F.concat(way, anchor(F.lit(52))))
+    return ids.select("id", F.explode(cells).alias("c")).select("id", "c.*")
 
 
 _BIOC_TYPES = {"ChemicalEntity": "Chemical", "DiseaseOrPhenotypicFeature": "Disease"}

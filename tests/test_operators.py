@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from spanframe.functions.text import distance_bucket, fulltext, map_dashes, rebase, strip
 from spanframe.operators import align, convert, evaluate, grid, guards, ingest, stats, tokenize, vote
+from spanframe.operators.ordinals import batches, with_ordinal
 from spanframe.operators.predict import batch_predictor, rule_predictor
 from spanframe.schemas import BIOC, LabelSpec, ModelConfig
 
@@ -144,8 +145,45 @@ def test_grid_paths_and_explosions(spark):
                         want.add((str(k), mid))
     assert {(r.id, tuple(r.indices)) for r in grid.decode(grid.grid_of(spark, rows)).collect()} == want
     full = [("f", a, b, 1) for a in range(30) for b in range(a + 1, 30)] + [("f", 29, 0, 2), ("f", 5, 4, 3)]
-    good, warned = grid.decode_guarded(grid.grid_of(spark, full), max_paths=1000)
-    assert [tuple(r.indices) for r in good.collect()] == [(4, 5)] and [(r.head, r.tail, r.stats["n_paths"]) for r in warned.collect()] == [(0, 29, 2**28)]
+    told = grid.decode_guarded(grid.grid_of(spark, full), max_paths=1000)
+    assert [tuple(r.indices) for r in told.decoded.collect()] == [(4, 5)] and [(r.head, r.tail, r.stats["n_paths"]) for r in told.warnings.collect()] == [(0, 29, 2**28)]
+    assert [tuple(r.indices) for r in told.partial.collect()] == [tuple(range(30))]
+
+
+def test_explosions_do_not_overflow(spark):
+    """70 and 2,000 diamonds in a row: more paths than a long holds."""
+    for k in (61, 70, 2000):
+        cells = [("d", a, b, 1) for j in range(k) for a, b in ((3 * j, 3 * j + 1), (3 * j, 3 * j + 2), (3 * j + 1, 3 * j + 3), (3 * j + 2, 3 * j + 3))] + [("d", 3 * k, 0, 2)]
+        told = grid.decode_guarded(grid.grid_of(spark, cells))
+        r = told.warnings.first()
+        assert r.stats["n_paths"] == min(2**k, grid.MOST_PATHS) and r.stats["longest"] == 2 * k + 1 and r.stats["branching"] == 2
+        assert told.decoded.count() == 0 and told.partial.first().indices[:5] == [0, 1, 3, 4, 6]
+
+
+def test_long_and_wide(spark):
+    """The second rule needs both; a fan that doesn't reach the tail is no branching; heads share tails."""
+    chain = [("a", k, k + 1, 1) for k in range(9)]
+    fan = [("a", 3, k, 1) for k in range(20, 30)]
+    meet = [("a", k, 40, 1) for k in range(20, 30)] + [("a", 9, 40, 1)]
+    warned = lambda cells, **kw: sorted((r.head, r.tail, r.stats["longest"], r.stats["branching"]) for r in grid.decode_guarded(grid.grid_of(spark, cells), **kw).warnings.collect())
+    to9, to40 = [("a", 9, 0, 2)], [("a", 40, 0, 2), ("a", 40, 5, 3), ("a", 40, 3, 3)]
+    assert warned(chain + fan + meet + to9 + to40, max_path_len=5, max_branching=5) == [(0, 40, 11, 11), (3, 40, 8, 11)]
+    assert warned(chain + fan + meet + to9 + to40, max_path_len=11, max_branching=5) == [] and warned(chain + fan + to9, max_path_len=5, max_branching=5) == []
+
+
+def test_ordinals(spark):
+    rng = random.Random(5)
+    data = [(None if k % 3 == 0 else rng.randrange(4), k, "x") for k in range(500)] + [(1, 7, "same")] * 3
+    df = spark.createDataFrame(data, "a int, b int, ord string").repartition(5)
+    got = with_ordinal(df, "a", "b").collect()
+    assert sorted(r.ord for r in got) == list(range(503)) and got[0].asDict().keys() == {"a", "b", "ord"}
+    told = [(r.a, r.b) for r in sorted(got, key=lambda r: r.ord)]
+    assert told == sorted(((a, b) for a, b, _ in data), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    assert with_ordinal(df.limit(0), "a").count() == 0
+    sizes = {r["batch"]: r["count"] for r in batches(df, 50, "a", "b").groupBy("batch").count().collect()}
+    assert sizes == {k: 50 for k in range(10)} | {10: 3}
+    one = df.withColumn("a", F.lit(1)).drop("ord")  # a single value: its rows are still in several ranges
+    assert one.sparkSession.conf.get("spark.sql.shuffle.partitions") == "4" and sorted(r.ord for r in with_ordinal(one, "a").collect()) == list(range(503))
 
 
 def test_grid_features(spark):
