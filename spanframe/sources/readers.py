@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..schemas import BIOC
+from .json_arrays import json_elements
 
 _STEM = r"([^/]*?)(?:\.[^/.]*)?$"
 
@@ -33,10 +34,10 @@ def annotation_json(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
     """(stem, ord, pmid, title, abstract, label) of files that hold a JSON array of annotation documents.
 
     Names of keys are matched exactly: PMID or pmid, articleTitle or title, abstract or text; of the
-    two the first that is not empty. ord is the place in the file. A file is one row while it is parsed.
+    two the first that is not empty. ord is the place in the file. A file of any size is read by many
+    tasks, and only its documents are rows.
     """
-    files = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True).select(stem(F.col("_metadata.file_path")).alias("stem"), F.parse_json("value").alias("v"))
-    rows = files.select("stem", F.posexplode(F.variant_get("v", "$", "array<variant>")).alias("ord", "d"))
+    rows = json_elements(spark, path, glob).select(stem(F.col("file")).alias("stem"), F.col("ord").cast("int").alias("ord"), F.parse_json("value").alias("d"))
     text = lambda *keys: F.coalesce(*[F.nullif(F.variant_get("d", f"$.{k}", "string"), F.lit("")) for k in keys], F.lit(""))
     pairs = F.coalesce(F.variant_get("d", "$.label", "array<array<variant>>"), F.array().cast("array<array<variant>>"))
     rows = rows.select("stem", "ord", strip(text("PMID", "pmid")).alias("pmid"), strip(text("articleTitle", "title")).alias("title"), strip(text("abstract", "text")).alias("abstract"), pairs.alias("_l"))
