@@ -74,3 +74,8 @@ LONG_WORD = "LONG_WORD"
 def distance_bucket(d: Column) -> Column:
     """0, then 1 + the binary logarithm rounded down, at most 9."""
     return F.when(d <= 0, F.lit(0)).otherwise(F.least(F.lit(9), 1 + F.floor(F.log2(d.cast("double")) + F.lit(1e-12)).cast("int"))).cast("int")
+
+
+def plain_path(uri: Column) -> Column:
+    """The path that a file's URI tells, without its escapes."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))

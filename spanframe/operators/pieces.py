@@ -11,6 +11,7 @@ that it has met, and so needs no shuffle at all.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from functools import lru_cache
 
@@ -40,6 +41,10 @@ class Vocabulary:
             raise ValueError(f"a vocabulary of more than {MOST_PIECES} pieces is not for tasks to hold; use word_pieces()")
         return Vocabulary(frozenset(r["piece"] for r in rows if r["begins"]), frozenset(r["piece"] for r in rows if not r["begins"]))
 
+    def __repr__(self) -> str:
+        text = "\n".join([*sorted(self.begins), "", *sorted(self.goes_on)])
+        return f"Vocabulary({hashlib.sha256(text.encode()).hexdigest()})"
+
     def __getstate__(self):
         return self.begins, self.goes_on, self.longest
 

@@ -8,6 +8,7 @@ its own texts first, so that what is shuffled grows with different words, not wi
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -153,6 +154,10 @@ class Boundaries:
     starters: frozenset[str] = field(default_factory=frozenset)
     collocations: frozenset[tuple[str, str]] = field(default_factory=frozenset)
 
+    def __repr__(self) -> str:
+        text = str([sorted(self.abbreviations), sorted(self.starters), sorted(self.collocations)])
+        return f"Boundaries({hashlib.sha256(text.encode()).hexdigest()})"
+
     def ends(self, toks: list[tuple[str, int, int]]) -> set[int]:
         out = set()
         for k, (word, s, e) in enumerate(toks):

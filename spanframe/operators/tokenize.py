@@ -136,7 +136,7 @@ def chunk_of_words(sizes: Iterable[int], ends: set[int], limit: int) -> list[tup
 
 def token_records(
     docs: DataFrame, max_length: int = 500, *, id_col: str = "pmid", text_col: str = "fulltext", word_limit: int | None = None, vocabulary: Vocabulary | None = None, splitter: Splitter | None = None,
-    unknown: str | None = None, most_unknown: float | None = None,
+    unknown: str | None = None, most_unknown: float | None = None, keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Token records (schema_version, id, document_id, pmid, sent_idx, chunk_idx, sentence, spans, ord) of documents, in one pass.
 
@@ -149,7 +149,7 @@ def token_records(
     With `most_unknown`, documents are left out whose share of unknown pieces is larger: those that
     the vocabulary lacks, or words that match the pattern `unknown`. Such a document is one record
     with a null id, so that a caller can count it. Documents without words give no record. Null
-    texts are empty.
+    texts are empty. Columns in `keep` go with each record.
     """
     longest = word_limit or max_length
     split = splitter or EveryMark()
@@ -166,7 +166,8 @@ def token_records(
             at = pa.array(offsets, pa.int32())
             spans = pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], fields=list(span)))
             ints = [pa.array(x, pa.int32()) for x in (sents, chunks, ords)]
-            return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), *ints, pa.ListArray.from_arrays(at, pa.array(words, pa.string())), spans], names=["pmid", "sent_idx", "chunk_idx", "ord", "sentence", "spans"])
+            own = [b.column(c).take(pa.array(rows, pa.int64())) for c in (0, *range(2, 2 + len(keep)))]
+            return pa.RecordBatch.from_arrays([own[0], *ints, pa.ListArray.from_arrays(at, pa.array(words, pa.string())), spans, *own[1:]], names=["pmid", "sent_idx", "chunk_idx", "ord", "sentence", "spans", *keep])
 
         for b in batches:
             rows, sents, chunks, ords, offsets, words, starts, stops = [], [], [], [], [0], [], [], []
@@ -200,9 +201,10 @@ def token_records(
             yield flush()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    made = docs.select(F.col(id_col).alias("pmid"), text_col).mapInArrow(run, f"pmid {kind}, sent_idx int, chunk_idx int, ord int, sentence array<string>, spans array<struct<s:int,e:int>>")
+    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    made = docs.select(F.col(id_col).alias("pmid"), text_col, *keep).mapInArrow(run, f"pmid {kind}, sent_idx int, chunk_idx int, ord int, sentence array<string>, spans array<struct<s:int,e:int>>{kept}")
     name = F.when(F.col("ord").isNotNull(), record_id(F.col("pmid"), F.col("sent_idx"), F.col("chunk_idx")))
-    return made.select(F.lit(VERSION).alias("schema_version"), name.alias("id"), F.col("pmid").alias("document_id"), "pmid", "sent_idx", "chunk_idx", "sentence", "spans", "ord")
+    return made.select(F.lit(VERSION).alias("schema_version"), name.alias("id"), F.col("pmid").alias("document_id"), "pmid", "sent_idx", "chunk_idx", "sentence", "spans", "ord", *keep)
 
 
 def supported_language(toks: DataFrame, unknown: Column, threshold: float = 0.05, id_col: str = "pmid") -> DataFrame:

@@ -1,7 +1,8 @@
 """The flows: conversion, training data, prediction, evaluation. Each stage is published only if its checks pass.
 
-Stages are folders of JSON lines with a manifest; one whose inputs' digest is unchanged is not run
-again unless forced. A failing check stops the flow and leaves what was published before.
+Stages are folders of JSON lines, a part for each input file, with a manifest. Files whose digest is unchanged
+are not run again unless forced, and those that vanished go. A failing check stops the flow and leaves what was
+published before.
 """
 
 from __future__ import annotations
@@ -18,8 +19,12 @@ from ..operators import align, evaluate, guards, ingest, stats, tokenize, vote
 from ..operators.convert import convert
 from ..operators.pieces import Vocabulary
 from ..operators.predict import Predictor
+from ..operators.storage import materialise
 from ..schemas import INGEST, POSTPROCESS, PREDICT, TOKEN, LabelSpec, ModelConfig
-from ..sources import readers, writers
+from ..sources import increments, readers, writers
+
+#: Changed annotation files that are named to the reader; beyond that it reads the folder.
+FEW_FILES = 10_000
 
 
 @dataclass
@@ -31,29 +36,44 @@ class Flow:
     suffix: str | None = None
     max_length: int = 500
 
-    def stage(self, name: str, inputs: list[str], build: Callable[[], tuple[DataFrame, Callable[[int], list[guards.Verdict]]]]) -> str:
-        """Run and publish a stage unless it is up to date; gives its folder."""
+    def stage(self, name: str, sources: list[str], inputs: list[DataFrame], build: Callable[[increments.Changes], tuple[DataFrame, Callable[[int], list[guards.Verdict]]]], parameters: str = "") -> str:
+        """Run and publish a stage for the files whose input changed, drop those whose input is gone; gives its folder.
+
+        inputs: (stem, digest) of each input's files; a stem must be in all of them. build gives the rows, with
+        their stem, of the changed files.
+        """
         path = f"{self.out}/{name}"
-        digest = "+".join(writers.input_hash(self.spark, p) for p in inputs)
-        if not self.force and writers.up_to_date(self.spark, path, digest):
+        now = materialise(increments.combined(inputs, parameters))
+        found = increments.changes(self.spark, path, now, self.force)
+        if not found.n_todo and not found.n_gone and readers.exists(self.spark, path):
             return path
-        rows, checks = build()
-        n = writers.publish(rows, path, checks)
-        writers.write_manifest(self.spark, path, name, inputs, digest, n)
+        rows, checks = build(found)
+        _, n = increments.publish_files(rows, path, found.todo, now, checks if found.n_todo else lambda n: [], self.force)
+        digest = now.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("digest")), ","), 256)).first()[0]
+        writers.write_manifest(self.spark, path, name, sources, digest, n)
         return path
 
+    def done(self, path: str) -> DataFrame:
+        return increments.done_files(self.spark, path)
+
     def read(self, path: str, schema: str) -> DataFrame:
-        return readers.json_lines(self.spark, path, schema + ", ord long" if "ord long" not in schema else schema)
+        """A published stage's rows, with the stem of the file that they come from and their place."""
+        return self.spark.read.schema(schema + ", ord long, stem string").option("mode", "FAILFAST").json(path)
 
     def ingest(self, annotations: str, exclude: str | None = None) -> str:
-        def build():
-            docs = readers.annotation_json(self.spark, annotations)
+        files = materialise(increments.file_digests(self.spark, annotations))
+        left_out = readers.id_list(self.spark, exclude)
+        listed = left_out.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("pmid")), ","), 256)).first()[0]
+
+        def build(found: increments.Changes):
+            few = [r[0] for r in found.pick(files).select("path").limit(FEW_FILES + 1).collect()]
+            docs = found.pick(readers.annotation_json(self.spark, few if 0 < len(few) <= FEW_FILES else annotations))
             guards.require(guards.empty("duplicate ids", ingest.duplicate_ids(docs.where("pmid <> ''"), "stem", "pmid")))
-            good, _ = ingest.ingest(docs.select("stem", "ord", "pmid", "title", "abstract"), readers.id_list(self.spark, exclude))
+            good, _ = ingest.ingest(docs.select("stem", "ord", "pmid", "title", "abstract"), left_out)
             guards.require(guards.empty("fulltext", ingest.inconsistent(good)))
             return good, lambda n: []
 
-        return self.stage("ingest", [annotations], build)
+        return self.stage("ingest", [annotations], [files], build, listed)
 
     def tokenize(self, ingested: str, vocabulary: Vocabulary | None = None, splitter: tokenize.Splitter | None = None, unknown: str | None = None, most_unknown: float = 0.05) -> str:
         """Chunks of all documents, in one pass; with a vocabulary or a pattern of unknown words, of those with at most that share of them.
@@ -62,28 +82,31 @@ class Flow:
         Documents without words have no share; they stay, and give no chunk.
         """
 
-        def build():
-            records = self.read(ingested, INGEST)
-            guards.require(guards.empty("ids in several files", ingest.duplicate_ids(records, "pmid")))
+        def build(found: increments.Changes):
+            every = self.read(ingested, INGEST)
+            guards.require(guards.empty("ids in several files", ingest.duplicate_ids(every, "pmid")))
+            records = found.pick(every)
             limit = most_unknown if vocabulary is not None or unknown is not None else None
-            made = tokenize.token_records(records, self.max_length, vocabulary=vocabulary, splitter=splitter, unknown=unknown, most_unknown=limit)
+            made = tokenize.token_records(records, self.max_length, vocabulary=vocabulary, splitter=splitter, unknown=unknown, most_unknown=limit, keep=("stem",))
             seen, before = Observation(), records.count()
             made = made.observe(seen, F.count_if(F.coalesce(F.col("ord"), F.lit(0)) == 0).alias("documents")).where("id is not null")
             placed = made.withColumn("ner", F.array().cast("array<struct<indices:array<int>,fragments:array<struct<start_char:int,end_char:int>>,type:string>>"))
             return placed, lambda n: [guards.record_parity(before, int(seen.get["documents"]))]
 
-        return self.stage("tokenize", [ingested], build)
+        return self.stage("tokenize", [ingested], [self.done(ingested)], build, f"{self.max_length} {unknown} {most_unknown} {vocabulary} {splitter}")
 
     def label(self, annotations: str, tokenized: str) -> str:
-        def build():
-            docs, chunks = readers.annotation_json(self.spark, annotations), self.read(tokenized, TOKEN)
-            fates = align.assign_labels(docs, chunks, self.spec, self.suffix)
+        files = materialise(increments.file_digests(self.spark, annotations))
+        guards.require(guards.unmatched("annotation files without tokens", readers.unmatched_stems(files, self.done(tokenized).where("rows > 0"))))
+
+        def build(found: increments.Changes):
+            docs, chunks = found.pick(readers.annotation_json(self.spark, annotations)), found.pick(self.read(tokenized, TOKEN))
+            fates = materialise(align.assign_labels(docs, chunks, self.spec, self.suffix))
             c = align.alignment_counts(fates).first()
-            paired = docs.join(chunks.select("pmid").distinct(), "pmid", "left_semi")
-            guards.require(guards.unmatched("annotation files without tokens", readers.unmatched_stems(docs, paired)))
-            return align.with_entities(docs, chunks, fates), lambda n: [guards.alignment(c["n_dropped"], c["n_total"]), guards.record_parity(chunks.count(), n)]
+            annotated = chunks.join(docs.select("pmid").distinct(), "pmid", "left_semi").count()
+            return align.with_entities(docs, chunks, fates), lambda n: [guards.alignment(c["n_dropped"], c["n_total"]), guards.record_parity(annotated, n)]
 
-        return self.stage("label", [annotations, tokenized], build)
+        return self.stage("label", [annotations, tokenized], [files, self.done(tokenized)], build, f"{self.suffix} {self.spec}")
 
     def config(self, labelled: str, base: dict[str, Any], encoder_size: int | None = None, allow_removal: bool = False) -> ModelConfig:
         """The base configuration with the types of this flow's suffix, checked against what was observed; written as config.json."""
@@ -111,27 +134,32 @@ class Flow:
         warning of the flow; it doesn't stop it.
         """
 
-        def build():
+        def build(found: increments.Changes):
             guards.require(guards.head_size(head if head is not None else getattr(predictor, "head", None), self.spec))
-            tokens = self.read(tokenized, TOKEN)
-            n_tokens, made = tokens.count(), predictor(tokens)
+            tokens = found.pick(self.read(tokenized, TOKEN))
+            n_tokens, made = tokens.count(), predictor(tokens.drop("stem"))
             told = getattr(predictor, "warnings", None)
             if told is not None:
                 n = writers.publish(told, f"{self.out}/predict-warnings")
                 guards.require(guards.Verdict("decoding", "warn" if n else "pass", f"{n} anchors with too many paths, listed in predict-warnings"))
-            return made, lambda n: [guards.equal_counts("predictions", n_tokens, n)]
+            return made.join(tokens.select("id", "stem"), "id"), lambda n: [guards.equal_counts("predictions", n_tokens, n)]
 
-        return self.stage("predict", [tokenized], build)
+        return self.stage("predict", [tokenized], [self.done(tokenized)], build, str(getattr(predictor, "name", "")))
 
     def postprocess(self, ingested: str, tokenized: str, predicted: str) -> str:
-        def build():
-            tokens, predictions = self.read(tokenized, TOKEN), self.read(predicted, PREDICT)
+        """Entities of the documents; files that lack predictions, or predictions that lack tokens or texts, are a warning."""
+        inputs = [self.done(p) for p in (ingested, tokenized, predicted)]
+        for name, left, right in (("predictions without texts", 2, 0), ("predictions without tokens", 2, 1), ("tokens without predictions", 1, 2)):
+            guards.require(guards.unmatched(name, readers.unmatched_stems(inputs[left], inputs[right])))
+
+        def build(found: increments.Changes):
+            tokens, predictions = found.pick(self.read(tokenized, TOKEN)), found.pick(self.read(predicted, PREDICT))
             guards.require(guards.join_completeness(tokens, predictions))
-            done = vote.postprocess(tokens, predictions, self.read(ingested, INGEST).select("pmid", "fulltext", "ord"))
+            done = vote.postprocess(tokens, predictions, found.pick(self.read(ingested, INGEST)).select("pmid", "fulltext", "ord"))
             before = tokens.where(F.size("spans") > 0).count()
-            return done, lambda n: [guards.record_parity(before, n)]
+            return done.join(tokens.select("pmid", "stem").distinct(), "pmid"), lambda n: [guards.record_parity(before, n)]
 
-        return self.stage("postprocess", [ingested, tokenized, predicted], build)
+        return self.stage("postprocess", [ingested, tokenized, predicted], inputs, build)
 
     def evaluate(self, annotations: str, postprocessed: str, types: list[str] | None = None) -> str:
         """Metrics as JSON text, also written as metrics.json."""

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import plain_path
 from ..operators.storage import materialise
 
 #: Splits whose states are broadcast; more are joined by a shuffle.
@@ -41,9 +42,9 @@ def scan(piece: str, inside: bool) -> tuple[bool, int]:
     return opened >= 0, bare.count("{") + bare.count("[") - bare.count("]")
 
 
-def _pieces(spark: SparkSession, path: str, glob: str) -> DataFrame:
+def _pieces(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
     text = spark.read.option("lineSep", "}").option("pathGlobFilter", glob).text(path)
-    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
+    return text.select(plain_path(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
 
 
 def _effects(batches: Iterator) -> Iterator:
@@ -135,7 +136,7 @@ def _elements(batches: Iterator) -> Iterator:
         yield batch()
 
 
-def json_elements(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def json_elements(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
     """(file, ord, value) of each element of the arrays in files, as JSON text; ord is its place in the file.
 
     Elements are objects, and files are JSON in UTF-8; what isn't fails when it is parsed. The rows are

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import plain_path, strip
 from ..schemas import BIOC
 from .json_arrays import json_elements
 
@@ -30,7 +30,7 @@ def bioc_xml(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", "document").schema(BIOC).load(path)
 
 
-def annotation_json(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def annotation_json(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
     """(stem, ord, pmid, title, abstract, label) of files that hold a JSON array of annotation documents.
 
     Names of keys are matched exactly: PMID or pmid, articleTitle or title, abstract or text; of the
@@ -50,7 +50,7 @@ def annotation_json(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of JSON lines with their file's stem; blank lines are no rows."""
     read = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return read.select("*", stem(F.col("_metadata.file_path")).alias("stem"))
+    return read.select("*", stem(plain_path(F.col("_metadata.file_path"))).alias("stem"))
 
 
 def id_list(spark: SparkSession, path: str | None) -> DataFrame:

@@ -62,3 +62,64 @@ def test_annotations_over_splits(spark, tmp_path, splits):
     whole = sorted(map(str, readers.annotation_json(spark, str(tmp_path)).collect()))
     splits(100)
     assert sorted(map(str, readers.annotation_json(spark, str(tmp_path)).collect())) == whole and len(whole) == 60
+
+
+def write(folder, name, docs):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{name}.json").write_text(json.dumps(docs))
+
+
+def test_one_changed_file_runs_alone(spark, tmp_path, monkeypatch, caplog):
+    from spanframe.operators.predict import word_rules
+    from spanframe.plans.pipeline import Flow
+    from spanframe.schemas import LabelSpec
+    from spanframe.sources import increments
+
+    doc = lambda k, text: [{"pmid": str(k), "title": f"Arthritis {text}", "abstract": "and more.", "label": [[[[0, 9]], "Disease"]]}]
+    for k in range(6):
+        write(tmp_path / "in", f"0{k} x", doc(k, "one"))
+    flow, ann = Flow(spark, str(tmp_path / "out"), LabelSpec()), str(tmp_path / "in")
+    done = []
+    changes = increments.changes
+    monkeypatch.setattr(increments, "changes", lambda *a: (x := changes(*a), done.append((sorted(r[0] for r in x.todo.select("stem").collect()), x.n_gone)))[0])
+
+    def run():
+        done.clear()
+        a = flow.ingest(ann)
+        b = flow.tokenize(a)
+        flow.label(ann, b)
+        c = flow.predict(b, word_rules({"Disease": "itis$"}))
+        d = flow.postprocess(a, b, c)
+        return {r.pmid: (r.stem, r.sentence_str) for r in flow.read(d, "pmid string, sentence_str string").where("sentence_str like 'Arthritis%'").collect()}
+
+    first = run()
+    assert len(first) == 6 and first["3"][0] == "03 x" and all(len(x) == 6 for x, _ in done)
+    stamp = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/postprocess").rglob("part*.json")}
+    assert run() == first and all(x == ([], 0) for x in done)
+    # one changes, one comes, one goes
+    write(tmp_path / "in", "03 x", doc(3, "two"))
+    write(tmp_path / "in", "new", doc(9, "three"))
+    (tmp_path / "in/05 x.json").unlink()
+    second = run()
+    assert done == [(["03 x", "new"], 1)] * 5
+    assert second == {k: v for k, v in first.items() if k not in ("3", "5")} | {"3": ("03 x", "Arthritis two and more."), "9": ("new", "Arthritis three and more.")}
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/postprocess").rglob("part*.json")}
+    assert sum(stamp.get(p) == t for p, t in kept.items()) == 4
+    assert json.loads((tmp_path / "out/postprocess.meta.json").read_text())["record_count"] == 6
+    # predictions of a file without tokens are a warning
+    flow.tokenize(flow.ingest(ann), unknown="two", most_unknown=0.1)
+    flow.postprocess(*(str(tmp_path / "out" / x) for x in ("ingest", "tokenize", "predict")))
+    assert "record_count" in (tmp_path / "out/tokenize.meta.json").read_text()
+
+
+def test_large_files_have_digests(spark, tmp_path, monkeypatch):
+    from spanframe.sources import increments
+
+    monkeypatch.setattr(increments, "WHOLE_BYTES", 50)
+    write(tmp_path / "in", "a", [{"k": k} for k in range(30)])
+    write(tmp_path / "in", "b", [])
+    digests = lambda: {r.stem: r.digest for r in increments.file_digests(spark, str(tmp_path / "in")).collect()}
+    first = digests()
+    assert first.keys() == {"a", "b"} and digests() == first
+    write(tmp_path / "in", "a", [{"k": k} for k in range(29)] + [{"k": 31}])
+    assert digests()["a"] != first["a"] and digests()["b"] == first["b"]
