@@ -35,20 +35,23 @@ def _swap(fs, staging, target, old) -> None:
         fs.delete(old, True)
 
 
-def publish(df: DataFrame, path: str, checks: Callable[[int], Iterable[Verdict]] = lambda n: ()) -> int:
+def publish(df: DataFrame, path: str, checks: Callable[[int], Iterable[Verdict]] = lambda n: (), *, staging: str | None = None) -> int:
     """Write JSON lines to a staging folder, check the number of rows written, then move it into place.
 
-    A failing check or job leaves what was there before; the staging folder goes in either case.
+    A failing check or job leaves what was there before; the staging folder goes in either case. It lies
+    beside the target, or where `staging` says, if that folder is read as a whole; what a run that was
+    killed left there is replaced.
     """
     spark = df.sparkSession
-    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    given, staging = staging, staging or f"{path}.staging-{uuid.uuid4().hex}"
     fs, target, new = _fs(spark, path)
     seen = Observation()
     try:
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.json(staging)
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(staging)
         n = int(seen.get["n"])
         require(*checks(n))
-        _swap(fs, new(staging), target, new(f"{path}.old-{uuid.uuid4().hex}"))
+        fs.mkdirs(target.getParent())
+        _swap(fs, new(staging), target, new(f"{given or path}.old-{uuid.uuid4().hex}"))
         return n
     finally:
         fs.delete(new(staging), True)
@@ -65,12 +68,21 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def write_json_array(df: DataFrame, path: str, order: str) -> None:
-    """All rows as one JSON array in one file, by order: an exchange format, so one task sorts and writes them, row by row."""
+    """All rows as one JSON array in one file, by order: an exchange format, so one task sorts and writes them, row by row.
+
+    The file is staged, and what was there stays until it is whole.
+    """
     rows = df.select(F.lit(0).alias("_end"), F.col(order).alias("_o"), F.to_json(F.struct(*[c for c in df.columns if c != order])).alias("_v"))
     end = df.sparkSession.range(1).select(F.lit(1).alias("_end"), F.lit(None).cast(df.schema[order].dataType).alias("_o"), F.lit("]").alias("_v"))
     placed = rows.unionByName(end).repartition(1).sortWithinPartitions("_end", "_o").withColumn("_k", F.monotonically_increasing_id())
     before = F.when(F.col("_k") == 0, "[").when(F.col("_end") == 0, ",").otherwise("")
-    placed.select(F.concat(before, "_v").alias("value")).write.mode("overwrite").text(path)
+    staging, spark = f"{path}.staging-{uuid.uuid4().hex}", df.sparkSession
+    fs, target, new = _fs(spark, path)
+    try:
+        placed.select(F.concat(before, "_v").alias("value")).write.text(staging)
+        _swap(fs, new(staging), target, new(f"{path}.old-{uuid.uuid4().hex}"))
+    finally:
+        fs.delete(new(staging), True)
 
 
 def input_hash(spark: SparkSession, path: str) -> str:
@@ -84,6 +96,11 @@ def write_manifest(spark: SparkSession, path: str, stage: str, inputs: list[str]
     write_text(spark, f"{path}.meta.json", json.dumps(told, indent=2, ensure_ascii=False))
 
 
+def batch_manifest(stage: str, batch: int, count: int, rejected: int) -> str:
+    """What a batch held, as JSON text."""
+    return json.dumps({"schema_version": VERSION, "stage": stage, "batch": batch, "record_count": count, "rejected": rejected, "timestamp": datetime.datetime.now(datetime.UTC).isoformat()})
+
+
 def up_to_date(spark: SparkSession, path: str, digest: str) -> bool:
     """Whether the output is there and its manifest tells the same input digest."""
     fs, p, new = _fs(spark, f"{path}.meta.json")

@@ -13,7 +13,6 @@ from spanframe.plans import cli
 from spanframe.plans.pipeline import Flow, convert_corpus, cross_validate, fold
 from spanframe.schemas import LabelSpec
 from spanframe.sources import readers, writers
-from spanframe.streaming.ingest import ingest_new
 
 XML = """<?xml version="1.0" encoding="UTF-8"?>
 <collection><source>s</source>
@@ -107,16 +106,6 @@ def test_readers(spark, tmp_path):
     assert json.load(open(glob.glob(str(tmp_path / "arr/part*"))[0], encoding="utf-8")) == [{"v": "a"}, {"v": "é"}]
 
 
-def test_streamed_ingestion(spark, tmp_path):
-    src, out, ck = (tmp_path / "src"), str(tmp_path / "sink"), str(tmp_path / "ck")
-    src.mkdir()
-    (src / "1.json").write_text('{"pmid":"1","title":"a","abstract":"b"}\n{"pmid":"","title":"x"}\n')
-    ingest_new(spark, str(src), out, ck).awaitTermination()
-    (src / "2.json").write_text('{"pmid":"2","title":"c"}\n')
-    ingest_new(spark, str(src), out, ck).awaitTermination()
-    assert sorted(r.fulltext for r in spark.read.json(out).collect()) == ["a b", "c"]
-
-
 def test_folds_and_cli(spark, tmp_path):
     docs = spark.range(200).select(F.col("id").cast("string").alias("pmid"))
     parts = [fold(docs, k, 5) for k in range(5)]

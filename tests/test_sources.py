@@ -123,3 +123,67 @@ def test_large_files_have_digests(spark, tmp_path, monkeypatch):
     assert first.keys() == {"a", "b"} and digests() == first
     write(tmp_path / "in", "a", [{"k": k} for k in range(29)] + [{"k": 31}])
     assert digests()["a"] != first["a"] and digests()["b"] == first["b"]
+
+
+def lines(path, *docs):
+    path.write_text("".join(json.dumps(dict(zip(("pmid", "title", "abstract"), d))) + "\n" for d in docs))
+
+
+def test_a_stream_publishes_once(spark, tmp_path, monkeypatch):
+    """A run that dies between staging and publishing, or right after publishing, loses and repeats nothing."""
+    from spanframe.sources import writers
+    from spanframe.streaming import ingest as stream
+
+    src, out, ck = tmp_path / "src", str(tmp_path / "sink"), str(tmp_path / "ck")
+    src.mkdir()
+    run = lambda: stream.ingest_new(spark, str(src), out, ck).awaitTermination()
+    told = lambda: sorted((r.pmid, r.fulltext) for r in stream.published(spark, out).collect())
+    lines(src / "1.json", ("1", "a", "b"), ("", "x", ""), ("2", "c", ""), ("2", "c", ""))
+    run()
+    assert told() == [("1", "a b"), ("2", "c")]
+    assert sorted(tuple(r) for r in stream.rejected(spark, out).collect()) == [("", "no id", 0), ("2", "repeated in its batch", 0)]
+    assert json.loads((tmp_path / "sink.batches/0.json").read_text()) | {"timestamp": 0} == {"schema_version": "1", "stage": "ingest", "batch": 0, "record_count": 4, "rejected": 2, "timestamp": 0}
+    # dies when the rows are staged, and nothing is moved yet
+    lines(src / "2.json", ("3", "d", ""), ("1", "again", ""))
+    swap = writers._swap
+
+    def dies(fs, staging, target, old):
+        if target.toString().endswith("batch=1") and "rejects" not in target.toString():
+            raise OSError("killed")
+        swap(fs, staging, target, old)
+
+    monkeypatch.setattr(writers, "_swap", dies)
+    with pytest.raises(Exception):
+        run()
+    monkeypatch.setattr(writers, "_swap", swap)
+    assert told() == [("1", "a b"), ("2", "c")]
+    # dies when the batch is published, and the stream doesn't know it yet
+    publish = stream.publish_batch
+
+    def dies_late(*a, **b):
+        publish(*a, **b)
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(stream, "publish_batch", dies_late)
+    with pytest.raises(Exception):
+        run()
+    monkeypatch.setattr(stream, "publish_batch", publish)
+    for _ in range(2):
+        run()
+        assert told() == [("1", "a b"), ("2", "c"), ("3", "d")]
+    assert ("1", "published before", 1) in {tuple(r) for r in stream.rejected(spark, out).collect()}
+
+
+def test_a_batch_that_loses_rows_is_not_published(spark, tmp_path, monkeypatch):
+    from spanframe.operators.guards import GuardError
+    from spanframe.streaming import ingest as stream
+
+    docs = spark.createDataFrame([("1", "a", ""), ("2", "b", "")], "pmid string, title string, abstract string")
+    whole = stream.ingest
+    monkeypatch.setattr(stream, "ingest", lambda d, **kw: whole(d.where("pmid <> '2'"), **kw))
+    with pytest.raises(GuardError, match="documents of a batch"):
+        stream.publish_batch(docs, 0, str(tmp_path / "sink"))
+    assert stream.published(spark, str(tmp_path / "sink")).count() == 0
+    monkeypatch.setattr(stream, "ingest", whole)
+    stream.publish_batch(docs.limit(0), 1, str(tmp_path / "sink"))
+    assert stream.published(spark, str(tmp_path / "sink")).count() == 0
