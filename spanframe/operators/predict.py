@@ -78,3 +78,8 @@ def named_predictor(name: str) -> Predictor:
     """The predictor that a module holds, by `module:name`."""
     module, _, attribute = name.partition(":")
     return getattr(importlib.import_module(module), attribute)
+
+
+def named_fit(name: str) -> Callable[[DataFrame], Predictor]:
+    """The function of training records that gives a predictor, by `module:name`, for cross-validation."""
+    return named_predictor(name)

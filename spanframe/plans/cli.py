@@ -11,14 +11,14 @@ from pyspark.sql import SparkSession
 from ..operators import pieces, sentences
 from ..operators.convert import BC5CDR_TYPES, BIORED_TYPES
 from ..operators.guards import GuardError
-from ..operators.predict import Predictor, named_predictor, word_rules
+from ..operators.predict import Predictor, named_fit, named_predictor, word_rules
 from ..schemas import INGEST, LabelSpec
-from ..sources.readers import json_lines
-from .pipeline import Flow, convert_corpus
+from ..sources.readers import json_lines, subfolders
+from .pipeline import Flow, convert_corpus, cross_validate_flows
 
 
-FLOWS = ("convert", "train-data", "predict", "evaluate")
-STEPS = ("ingest", "tokenize", "label", "config", "infer", "postprocess")
+FLOWS = ("convert", "train-data", "predict", "evaluate", "cross-validate")
+STEPS = ("ingest", "tokenize", "label", "config", "weights", "infer", "postprocess")
 #: Patterns of words by type that predict without a model, for demonstrations.
 DEMO = {"Disease": "(?i)(itis|osis|emia)$", "Chemical": "(?i)(ine|ol|ate)$"}
 
@@ -36,6 +36,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--suffix", help="model suffix, such as _biored")
     p.add_argument("--config", help="base model configuration, for train-data")
     p.add_argument("--max-length", type=int, default=500)
+    p.add_argument("--folds", help="folder of folds, each a folder with train and val annotations, for cross-validate; without it --annotations are dealt over --n-folds")
+    p.add_argument("--n-folds", type=int, default=5)
     p.add_argument("--predictor", help="module:name of a predictor, such as one of word_pair_predictor()")
     p.add_argument("--rules", help="JSON object of patterns for words, by type; without it and --predictor, a demonstration's")
     p.add_argument("--vocabulary", help="file of word pieces, a piece on each line or a tokenizer's JSON; documents with too many unknown pieces are left out")
@@ -62,6 +64,17 @@ def models(spark: SparkSession, a: argparse.Namespace, ingested: str) -> tuple[p
     return known, sentences.learn(json_lines(spark, ingested, INGEST)).splitter() if a.learn_sentences else None
 
 
+def run_folds(spark: SparkSession, a: argparse.Namespace, spec: LabelSpec) -> str:
+    """Scores of every fold and over all of them, as JSON text, also written as cross_validation.json."""
+    found = named_fit(a.predictor) if a.predictor else lambda train: chosen_predictor(a)
+    if a.folds:
+        names = subfolders(spark, a.folds)
+        parts = [(f"{a.folds}/{x}/train", f"{a.folds}/{x}/val") for x in names]
+    else:
+        names, parts = [str(k) for k in range(a.n_folds)], [(a.annotations, (k, a.n_folds)) for k in range(a.n_folds)]
+    return cross_validate_flows(spark, a.output_dir, spec, names, parts, found, a.suffix, a.max_length)
+
+
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("spanframe").getOrCreate()
@@ -72,6 +85,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         "tokenize": lambda: flow.tokenize(at["ingest"], *models(spark, a, at["ingest"]), unknown=a.unknown, most_unknown=a.most_unknown),
         "label": lambda: flow.label(a.annotations, at["tokenize"]),
         "config": lambda: flow.config(at["label"], _read(a.config)),
+        "weights": lambda: print(flow.write_weights(at["label"], _read(f"{a.output_dir}/config.json"))),
+        "cross-validate": lambda: print(run_folds(spark, a, flow.spec)),
         "infer": lambda: flow.predict(at["tokenize"], chosen_predictor(a)),
         "postprocess": lambda: flow.postprocess(at["ingest"], at["tokenize"], at["predict"]),
         "convert": lambda: print(convert_corpus(spark, a.xml, a.output_dir, BIORED_TYPES if a.corpus == "biored" else BC5CDR_TYPES)),

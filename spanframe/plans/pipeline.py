@@ -127,6 +127,13 @@ class Flow:
         records = self.read(labelled, TOKEN).select("id", F.size("sentence").alias("n_words"), "ner")
         return stats.class_weights(stats.label_counts(self.spark, records, self.spec), min_background=config.min_bg_weight)
 
+    def write_weights(self, labelled: str, config: dict[str, Any]) -> str:
+        """Class weights by label, as JSON text, also written as class_weights.json."""
+        rows = self.weights(labelled, ModelConfig.of(config)).orderBy("label_id").collect()
+        text = json.dumps({str(r["label_id"]): r["weight"] for r in rows}, indent=2)
+        writers.write_text(self.spark, f"{self.out}/class_weights.json", text)
+        return text
+
     def predict(self, tokenized: str, predictor: Predictor, head: int | None = None) -> str:
         """Predictions of all chunks; a model's head must have the specification's labels, rules have none.
 
@@ -196,10 +203,48 @@ def cross_validate(annotations: DataFrame, tokens: DataFrame, texts: DataFrame,
     """
     out = None
     for k in range(folds):
-        train, held = fold(tokens, k, folds)
-        done = vote.postprocess(held, fit(train)(held), texts)
-        scores = evaluate.evaluate(evaluate.gold_keys(fold(annotations, k, folds)[1]), evaluate.predicted_keys(done), types).select(F.lit(k).alias("fold"), "*")
+        scores = cross_validate_fold(annotations, tokens, texts, fit, k, folds, types).select(F.lit(k).alias("fold"), "*")
         out = scores if out is None else out.unionByName(scores)
     if out is None:
         raise ValueError("at least one fold is needed")
     return out
+
+
+def cross_validate_flows(
+    spark: SparkSession, out: str, spec: LabelSpec, names: list[str], parts: list[tuple[str, str | tuple[int, int]]], fit: Callable[[DataFrame], Predictor], suffix: str | None = None, max_length: int = 500
+) -> str:
+    """Scores of each fold and their sums, as JSON text, also written as cross_validation.json.
+
+    parts: for each fold, the folder of training annotations, and either that of the held-out ones or (k, n),
+    which deals one folder's documents over n folds by a hash of their id. Each fold has its own folder of stages,
+    so a fold whose files are unchanged is not prepared again. `fit` gets the labelled token records of the training side.
+    """
+    told, every = {}, None
+    for name, (train, held) in zip(names, parts, strict=True):
+        flow = Flow(spark, f"{out}/all" if isinstance(held, tuple) else f"{out}/{name}/train", spec, suffix=suffix, max_length=max_length)
+        labelled = flow.read(flow.label(train, flow.tokenize(flow.ingest(train))), TOKEN)
+        if isinstance(held, tuple):
+            scores = cross_validate_fold(readers.annotation_json(spark, train), labelled, flow.read(f"{flow.out}/ingest", INGEST), fit, *held)
+        else:
+            other = Flow(spark, f"{out}/{name}/val", spec, suffix=suffix, max_length=max_length)
+            ingested = other.ingest(held)
+            tokens = other.read(other.tokenize(ingested), TOKEN)
+            done = vote.postprocess(tokens, fit(labelled)(tokens.drop("stem")), other.read(ingested, INGEST).select("pmid", "fulltext"))
+            scores = evaluate.evaluate(evaluate.gold_keys(readers.annotation_json(spark, held)), evaluate.predicted_keys(done))
+        scores = materialise(scores)
+        told[name] = [r.asDict() for r in scores.collect()]
+        every = scores if every is None else every.unionByName(scores)
+    if every is None:
+        raise ValueError("at least one fold is needed")
+    summed = evaluate.scored(every.groupBy("type").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")]))
+    both = {"folds": {k: json.loads(writers.metrics_json(v, {})) for k, v in told.items()}, "all": json.loads(writers.metrics_json([r.asDict() for r in summed.collect()], {}))}
+    text = json.dumps(both, indent=2)
+    writers.write_text(spark, f"{out}/cross_validation.json", text)
+    return text
+
+
+def cross_validate_fold(annotations: DataFrame, tokens: DataFrame, texts: DataFrame, fit: Callable[[DataFrame], Predictor], k: int, folds: int, types: list[str] | None = None) -> DataFrame:
+    """(type, tp, .. f1) of fold k: a predictor fitted to the other folds' token records, scored on this one's."""
+    train, held = fold(tokens, k, folds)
+    done = vote.postprocess(held, fit(train)(held.drop("stem")), texts.select("pmid", "fulltext"))
+    return evaluate.evaluate(evaluate.gold_keys(fold(annotations, k, folds)[1]), evaluate.predicted_keys(done), types)

@@ -63,7 +63,7 @@ fates AS MATERIALIZED (SELECT *, CASE WHEN type IS NULL THEN 'unknown' WHEN i1 I
 _GRID = f"""{_LABELS},
 ent AS (SELECT id, label_ord, i1, i2, n_words, CASE type WHEN 'Chemical' THEN 2 WHEN 'Disease' THEN 3 ELSE 5 END AS label FROM fates WHERE status = 'assigned'),
 cells AS (SELECT id, i1 AS "row", i2 AS col, 1 AS label, label_ord, 0 AS last FROM ent UNION ALL SELECT id, i2, i1, label, label_ord, 1 FROM ent),
-grid AS (SELECT id, CAST("row" AS INT) AS "row", CAST(col AS INT) AS col, arg_max(label, label_ord * 2 + last) AS label FROM cells GROUP BY ALL)"""
+grid AS MATERIALIZED (SELECT id, CAST("row" AS INT) AS "row", CAST(col AS INT) AS col, arg_max(label, label_ord * 2 + last) AS label FROM cells GROUP BY ALL)"""
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -594,8 +594,8 @@ def bioc_convert(spark, sf):
 @query("staged_json_lines", "SELECT doc_id, lang, source, n_chars, md5(text) AS digest, 1 AS seen FROM documents")
 def staged_json_lines(spark, sf):
     """Documents published as JSON lines and read back: a staged write, a check of the count, and a scan with a declared schema."""
-    path = f"{shared_dir(spark)}/documents"
-    writers.publish(A.table(spark, sf, "documents"), path, lambda n: [guards.record_parity(n, n)])
+    path, docs = f"{shared_dir(spark)}/documents", A.table(spark, sf, "documents")
+    writers.publish(docs, path, lambda n: [guards.record_parity(docs.count(), n)])
     back = readers.json_lines(spark, path, "doc_id long, text string, lang string, source string, n_chars long")
     return back.select("doc_id", "lang", "source", "n_chars", F.md5(F.col("text").cast("binary")).alias("digest"), F.lit(1).alias("seen"))
 
@@ -664,4 +664,69 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_postprocess_evaluate(spark, sf_dir)
 
 
+@query("label_suffix_filter", f"WITH {_LABELS} SELECT pmid, label_ord, CASE WHEN status <> 'unknown' AND type = 'Species' THEN 'filtered' ELSE status END AS status FROM fates")
+def label_suffix_filter(spark, sf):
+    """Fates of the labels under a model suffix that leaves types out."""
+    notes, cut = A.annotations(spark, sf), A.chunks(spark, sf)
+    return align.assign_labels(notes, cut, A.SPEC, "_bc5cdr").select("pmid", F.col("label_ord").cast("long").alias("label_ord"), "status")
+
+
+@query("empty_surfaces", f"WITH {_CHUNK} SELECT id, CAST(NULL AS VARCHAR) AS txt FROM chunks WHERE c % 2 = 0 UNION ALL SELECT chunks.id, word FROM chunks JOIN words USING (pmid, sent, chunk) WHERE w = 0 AND c % 2 = 1")
+def empty_surfaces(spark, sf):
+    """Records of predictions without words, alone or beside one with a word: only the latter keep an entity."""
+    tokens = materialise(A.chunks(spark, sf))
+    entity = lambda *k: F.struct(F.array(F.lit("x")).alias("text"), F.array(*map(F.lit, k)).cast("array<int>").alias("indices"), F.lit("Disease").alias("type"))
+    some = F.when(F.col("ord") % 2 == 1, F.array(entity(0), entity())).otherwise(F.array(entity(), entity()))
+    done = vote.postprocess(tokens, tokens.select("id", "ord", some.alias("entity")), A.documents(spark, sf).select("pmid", "fulltext"))
+    return done.select("id", F.explode_outer("entity").alias("x")).select("id", F.col("x.text_str").alias("txt"))
+
+
+@query("bioc_xml_scan", f"WITH {_DOCS} SELECT pmid, md5(title) AS title, md5(abstract) AS abstract, '0-1:Chemical;' || (length(title) + 1) || '-' || (length(title) + 3) || ':Disease' AS label FROM f WHERE title <> '' AND abstract <> '' AND CAST(pmid AS BIGINT) % 4 <> 0")
+def bioc_xml_scan(spark, sf):
+    """Documents written as BioC XML, read back by many tasks and converted; every fourth has no abstract and is left out."""
+    path, docs = f"{shared_dir(spark)}/bioc", A.documents(spark, sf).where("title <> '' and abstract <> ''")
+    infon = lambda k: F.array(F.struct(F.lit(k).alias("_VALUE"), F.lit("type").alias("_key"))).alias("infon")
+    note = lambda k, kind, offset, n: F.array(F.struct(F.lit(k).alias("_id"), infon(kind), F.array(F.struct(F.lit(n).alias("_length"), offset.cast("int").alias("_offset"))).alias("location"), F.lit("x").alias("text"))).alias("annotation")
+    part = lambda kind, offset, text, notes: F.struct(infon(kind), offset.cast("int").alias("offset"), text.alias("text"), notes)
+    begins = F.char_length("title") + 1
+    title = part("title", F.lit(0), F.col("title"), note("1", "ChemicalEntity", F.lit(0), 1))
+    abstract = part("abstract", begins, F.col("abstract"), note("2", "DiseaseOrPhenotypicFeature", begins, 2))
+    passage = F.when(F.col("pmid").cast("long") % 4 == 0, F.array(title)).otherwise(F.array(title, abstract))
+    docs.select(F.col("pmid").alias("id"), passage.alias("passage")).write.format("xml").option("rootTag", "collection").option("rowTag", "document").save(path)
+    good, _ = convert.convert(readers.bioc_xml(spark, path), _BIOC_TYPES)
+    spans = lambda x: F.array_join(F.transform(x.spans, lambda y: F.concat_ws("-", y.s.cast("string"), y.e.cast("string"))), ",")
+    md5 = lambda c: F.md5(F.col(c).cast("binary")).alias(c)
+    return good.select("pmid", md5("title"), md5("abstract"), F.array_join(F.transform("label", lambda x: F.concat_ws(":", spans(x), x.type)), ";").alias("label"))
+
+
+@query("orders_early_stop", "WITH v AS (SELECT CAST(year(o_orderdate) * 12 + month(o_orderdate) AS INT) AS epoch, CAST(max(o_totalprice) AS DOUBLE) AS f1 FROM orders GROUP BY 1), a AS (SELECT *, f1 > coalesce(max(f1) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS improved, max(f1) OVER (ORDER BY epoch) AS best FROM v), b AS (SELECT *, epoch - max(CASE WHEN improved THEN epoch END) OVER (ORDER BY epoch) AS waited FROM a) SELECT *, coalesce(max(CAST(waited >= 3 AS INT)) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 AS stopped FROM b")
+def orders_early_stop(spark, sf):
+    """Patience over the best order of each month."""
+    months = A.table(spark, sf, "orders").groupBy((F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("int").alias("epoch")).agg(F.max("o_totalprice").cast("double").alias("f1"))
+    return stats.early_stop(months, 3)
+
+
+@query("orders_learning_rates", "WITH s AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS step, count(*) OVER () AS n FROM orders) SELECT o_orderkey, CASE WHEN step < n // 10 THEN step / CAST(n // 10 AS DOUBLE) ELSE greatest(0.0::DOUBLE, (n - step) / CAST(n - n // 10 AS DOUBLE)) END AS rate FROM s")
+def orders_learning_rates(spark, sf):
+    """The rate of each order's training step, in the order of keys."""
+    orders = A.table(spark, sf, "orders").select("o_orderkey")
+    return with_ordinal(orders, "o_orderkey", name="step").join(stats.learning_rates(spark, orders.count(), 0.1), "step").select("o_orderkey", "rate")
+
+
+@query("table_verdicts", """WITH n AS (SELECT (SELECT count(*) FROM documents) AS docs, (SELECT count(*) FROM labels) AS labels, (SELECT count(DISTINCT doc_id) FROM documents) AS ids, (SELECT count(DISTINCT event_type) FROM events) AS kinds, (SELECT max(len(embedding)) FROM embeddings) AS wide, (SELECT count(*) FROM documents WHERE text IS NULL) AS lost)
+SELECT 'equal counts' AS guard, CASE WHEN docs = labels THEN 'pass' ELSE 'error' END AS status FROM n UNION ALL SELECT 'same ids', CASE WHEN docs = ids THEN 'pass' ELSE 'error' END FROM n UNION ALL SELECT 'head size', CASE WHEN kinds + 2 = 8 THEN 'pass' ELSE 'error' END FROM n
+UNION ALL SELECT 'hidden size', CASE WHEN wide = 64 THEN 'pass' ELSE 'error' END FROM n UNION ALL SELECT 'record parity', CASE WHEN lost = 0 THEN 'pass' WHEN lost / docs > 0.05 THEN 'error' WHEN lost / docs > 0.01 THEN 'warn' ELSE 'pass' END FROM n
+UNION ALL SELECT 'known types', 'error' FROM n WHERE kinds > 0 UNION ALL SELECT 'configured types', 'error' FROM n WHERE kinds > 0 UNION ALL SELECT 'fulltext', 'pass'""")
+def table_verdicts(spark, sf):
+    """What the checks of sizes, counts, types and texts say of the tables."""
+    t = lambda name: A.table(spark, sf, name)
+    docs, kinds = t("documents").count(), [r[0] for r in t("events").select("event_type").distinct().orderBy("event_type").limit(1000).collect()]
+    made = {
+        "equal counts": guards.equal_counts("labels", docs, t("labels").count()), "same ids": guards.equal_counts("ids", docs, t("documents").select("doc_id").distinct().count()), "head size": guards.head_size(len(kinds) + 2, A.SPEC),
+        "hidden size": guards.hidden_size(t("embeddings").agg(F.max(F.size("embedding"))).first()[0], 64), "record parity": guards.record_parity(docs, t("documents").where("text is not null").count()),
+        "known types": guards.known_types(kinds, A.SPEC), "configured types": guards.same_types(kinds, A.SPEC), "fulltext": guards.empty("fulltext", ingest.inconsistent(A.documents(spark, sf))),
+    }
+    return spark.createDataFrame([(k, v.status) for k, v in made.items()], "guard string, status string")
+
+
 from . import queries_text as _text  # noqa: E402, F401  registers its queries; it needs what stands above

@@ -21,6 +21,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return sorted(s.getPath().getName() for s in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p) if s.isDirectory())
+
+
 def stem(path) -> F.Column:
     return F.regexp_extract(path, _STEM, 1)
 

@@ -187,3 +187,28 @@ def test_a_batch_that_loses_rows_is_not_published(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(stream, "ingest", whole)
     stream.publish_batch(docs.limit(0), 1, str(tmp_path / "sink"))
     assert stream.published(spark, str(tmp_path / "sink")).count() == 0
+
+
+def test_cross_validation_and_weights_by_command(spark, tmp_path, capsys):
+    from spanframe.plans import cli
+
+    doc = lambda k: {"pmid": str(k), "title": "Arthritis and pain", "abstract": "", "label": [[[[0, 9]], "Disease"]] + [[[[14, 18]], "Disease"]] * (k % 2)}
+    for fold in ("fold_0", "fold_1"):
+        for part, n in (("train", 4), ("val", 2)):
+            (tmp_path / "folds" / fold / part).mkdir(parents=True)
+            write(tmp_path / "folds" / fold / part, "x", [doc(k) for k in range(n)])
+    (tmp_path / "rules.json").write_text('{"Disease": "itis$"}')
+    rules = ["--rules", str(tmp_path / "rules.json")]
+    assert cli.main(["cross-validate", "--output-dir", str(tmp_path / "cv"), "--folds", str(tmp_path / "folds"), *rules], spark) == 0
+    told = json.loads((tmp_path / "cv/cross_validation.json").read_text())
+    assert told["folds"].keys() == {"fold_0", "fold_1"} and told["folds"]["fold_1"]["overall"]["fn"] == 1
+    assert {k: told["all"]["overall"][k] for k in ("tp", "fp", "fn", "recall")} == {"tp": 4, "fp": 0, "fn": 2, "recall": 0.6667}
+    one = ["--output-dir", str(tmp_path / "o"), "--annotations", str(tmp_path / "folds/fold_0/train")]
+    assert cli.main(["cross-validate", *one, *rules, "--n-folds", "2"], spark) == 0
+    assert json.loads((tmp_path / "o/cross_validation.json").read_text())["all"]["overall"]["tp"] == 4
+    base = dict.fromkeys("bert_hid_size lstm_hid_size conv_hid_size biaffine_size ffnn_hid_size dist_emb_size type_emb_size epochs seed batch_size".split(), 8)
+    base |= dict.fromkeys("emb_dropout conv_dropout out_dropout learning_rate bert_learning_rate weight_decay clip_grad_norm warm_factor".split(), 0.1)
+    (tmp_path / "base.json").write_text(json.dumps(base | {"bert_name": "x", "use_bert_last_4_layers": True, "dilation": [1]}))
+    assert cli.main(["train-data", *one, "--config", str(tmp_path / "base.json")], spark) == 0 and cli.main(["weights", *one], spark) == 0
+    weights = json.loads((tmp_path / "o/class_weights.json").read_text())
+    assert len(weights) == 8 and weights["3"] < weights["4"]
