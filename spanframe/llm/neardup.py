@@ -13,6 +13,10 @@ is checked as a whole by a product of its shingle incidence matrix, in blocks of
 gives a row for each linked member. What then still has several components in a large bucket, or in
 a small one of a group that took several blocks, is compared block against block (everything outside the largest component against everything), which
 loses no link and ships each block's sets only where sketches agree.
+
+A bucket that would take many blocks is first dealt anew. Its rows' shingles have one order, the rare ones
+first, and two sets over the threshold always share one of the few that come first in each: so rows
+meet by those, and rows that have only frequent shingles in common meet no more.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, cut, shared_dir, small_batches, table
@@ -29,6 +33,10 @@ from .components import components
 
 #: Members of a bucket that is grouped in one piece, and of one block of a larger one.
 SMALL, BLOCK = 32, 128
+#: Shingles of the sets of one block; blocks of a bucket above which its rows meet by rare shingles instead.
+HASHES, WIDE = 1 << 21, 32
+#: Bits of a shingle's hash by which its frequency is told: a table of fixed size.
+RARITY_BITS = 18
 #: A set or vertex is hot above so many rows, and above this share of all rows: at most 1 / HOT_SHARE are.
 HOT_ROWS, HOT_SHARE = 500, 1e-4
 #: Centres of groups of several parts are broadcast up to this number.
@@ -173,7 +181,50 @@ def linked_sets(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     return linked
 
 
-def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK) -> DataFrame:
+def rare_prefix(hashes: np.ndarray, level: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The shingles of a set that come first by level, then hash: two sets with den * intersection >= num * union share one."""
+    n = len(hashes)
+    order = np.lexsort((hashes, level[(hashes >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]))
+    return hashes[order[: n - -(-num * n // den) + 1]]
+
+
+def by_rare_shingles(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, id, label, size) of rows (id, label, size, hashes) that share a shingle of their prefixes and differ in label.
+
+    About (1 - num / den) of a row's shingles are entries, and only those that a row of another label has too are
+    kept. Of keys with the same rows one is kept, told by their number and two 64-bit hashes.
+    """
+
+    def tally(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        total = np.zeros(1 << RARITY_BITS, np.int64)
+        for b in batches:
+            h = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64)
+            total += np.bincount((h >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["slot", "n"])
+
+    counts = rows.select("hashes").mapInArrow(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # 2 ** RARITY_BITS rows at most
+    level = np.zeros(1 << RARITY_BITS, np.uint8)
+    level[counts["slot"].to_numpy()] = np.ceil(4 * np.log2(counts["n"].to_numpy())).astype(np.uint8)
+
+    def entries(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            keys = [rare_prefix(np.frombuffer(h, np.uint64), level, num, den).view(np.int64) for h in b.column("hashes").to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]), pa.int64())
+            cols = [b.column(c).take(at) for c in ("id", "label", "size")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else [], pa.int64()), *cols], names=["key", "id", "label", "size"])
+
+    all_ = cut(rows.select("id", "label", "size", "hashes").mapInArrow(entries, "key long, id long, label long, size long"))
+    told = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")]
+    mixed = all_.groupBy("key").agg(*told, F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return all_.join(mixed.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
+def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK, wide: int = WIDE) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row.
 
     Rows are linked if den * |intersection| >= num * |union| of their sets of shingles; a component's
@@ -222,16 +273,19 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
         classes = cut(ranked.withColumn("v", F.when(F.col("k") == 1, F.col("rep")).otherwise(F.lit(top + 1) + F.monotonically_increasing_id())).select("digest", "rep", "v"))
     words = ["s0", "s1", "s2", "s3"]
     reps = cut(
-        signs.where("n > 0").join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("rep"))).select(F.col("v").alias("id"), "bands", *words).dropDuplicates(["id"])
+        signs.where("n > 0").join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("rep"))).select(F.col("v").alias("id"), "bands", *words, F.col("n").alias("size")).dropDuplicates(["id"])
     )
-    sketches = reps.select("id", *words)
+    sketches = reps.select("id", *words, "size")
+
+    def n_blocks(n: Column, size: Column) -> Column:
+        return F.ceil(F.greatest(n / block, size / HASHES)).cast("long")
 
     entries = reps.select("id", F.explode("bands").alias("key"))
     buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
     members = cut(entries.join(buckets, "key"))
 
     def near(rows: list[tuple]) -> Iterator[tuple]:
-        """(centre, member) of each group of sketches that agree, of a bucket's (key, id, s0 .. s3)."""
+        """(centre, member, size) of each group of sketches that agree, of a bucket's (key, id, s0 .. s3, size)."""
         ids = [r[1] for r in rows]
         o = np.array([r[2:6] for r in rows], np.int64).view(np.uint64)  # counts would take absolute values
         differ = np.bitwise_count(o[:, None, :] ^ o[None, :, :]).sum(2)
@@ -239,19 +293,19 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
         for k, x in enumerate(label):
             c = min(i for i, y in zip(ids, label) if y == x)
             if ids[k] != c:
-                yield c, ids[k]
+                yield c, ids[k], rows[k][6]
 
-    few = members.where(F.col("n") <= small).select("key", "id").join(sketches, "id").select("key", "id", *words)
-    pairs = _by_groups(few, ["key"], near, "centre long, id long")
+    few = members.where(F.col("n") <= small).select("key", "id").join(sketches, "id").select("key", "id", *words, "size")
+    pairs = _by_groups(few, ["key"], near, "centre long, id long, size long")
     far = sketches.select(F.col("id").alias("first"), *[F.col(w).alias(f"f{k}") for k, w in enumerate(words)])
     bits = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"f{k}"))) for k, w in enumerate(words)), F.lit(0))
     many = members.where(F.col("n") > small).select("key", "id", "first")
-    stars = many.select("id", "first").distinct().where("id <> first").join(sketches, "id").join(far, "first").where(bits <= most).select(F.col("first").alias("centre"), "id")
+    stars = many.select("id", "first").distinct().where("id <> first").join(sketches, "id").join(far, "first").where(bits <= most).select(F.col("first").alias("centre"), "id", "size")
     groups = cut(pairs.unionByName(stars).distinct())
-    size = groups.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("parts"))
+    size = groups.groupBy("centre").agg(n_blocks(F.count(F.lit(1)), F.sum("size")).alias("parts"))
     size = cut(size)
-    wide = broadcast_if_small(size.where("parts > 1").withColumnRenamed("centre", "c"), BROADCAST_ROWS)
-    sized = groups.join(wide, F.col("centre") == F.col("c"), "left")
+    several_parts = broadcast_if_small(size.where("parts > 1").withColumnRenamed("centre", "c"), BROADCAST_ROWS)
+    sized = groups.join(several_parts, F.col("centre") == F.col("c"), "left")
     placed = sized.select("centre", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).alias("part"), "id")
     placed = placed.unionByName(size.select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("centre").alias("id")))
 
@@ -295,17 +349,28 @@ def near_duplicates(docs: DataFrame, *, num: int = 80, den: int = 100, shingle:
         links = cut(links.unionByName(signs.select("id", "digest").join(several, "id").join(classes, "digest").select(F.col("id").alias("a"), F.col("v").alias("b")).distinct()))
     labels = components(links)
 
-    at = cut(large.join(labels.withColumnRenamed("v", "id"), "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")))
-    per = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    open_ = cut(per.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total"), F.max(F.struct("n", "label")).alias("top")).where("parts > 1"))
+    main = F.when(F.col("top.n") > block, F.col("top.label"))
+
+    def opened(at: DataFrame) -> DataFrame:
+        """Buckets of several components, the largest of each, and the number of blocks of the rows outside and inside it."""
+        per = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+        kinds = per.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "label", "size")).alias("top")).where("parts > 1").withColumn("main", main)
+        inside = lambda c: F.when(F.col("main").isNotNull(), F.col(f"top.{c}")).otherwise(0)
+        n_in = F.when(F.col("main").isNotNull(), n_blocks(F.col("top.n"), F.col("top.size"))).otherwise(0)
+        return cut(kinds.select("key", "main", n_blocks(F.col("n") - inside("n"), F.col("size") - inside("size")).alias("n_out"), n_in.cast("long").alias("n_in")))
+
+    at = cut(large.join(labels.withColumnRenamed("v", "id"), "id", "left").join(reps.select("id", "size"), "id").select("key", "id", F.coalesce("label", "id").alias("label"), "size"))
+    open_ = opened(at)
+    split = open_.where(F.col("n_out") > wide).select("key")
+    if split.limit(1).count():
+        loose = at.join(split, "key", "left_semi").select("id", "label", "size").distinct()
+        anew = by_rare_shingles(loose.join(sets.select("id", "hashes"), "id"), num, den)
+        at = cut(at.join(split, "key", "left_anti").unionByName(anew))
+        open_ = opened(at)
     if open_.limit(1).count():
-        main = F.when(F.col("top.n") > block, F.col("top.label"))
         rest = (
             at.join(open_, "key")
-            .withColumn("main", main)
             .withColumn("inside", F.coalesce(F.col("label") == F.col("main"), F.lit(False)))
-            .withColumn("n_out", F.ceil((F.col("total") - F.when(F.col("main").isNotNull(), F.col("top.n")).otherwise(0)) / block).cast("long"))
-            .withColumn("n_in", F.when(F.col("main").isNotNull(), F.ceil(F.col("top.n") / block)).otherwise(0).cast("long"))
             .withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("inside"), F.col("n_in")).otherwise(F.col("n_out"))))
         )
         outs, ins = F.sequence(F.lit(0).cast("long"), F.col("n_out") - 1), F.when(F.col("n_in") > 0, F.sequence(F.lit(0).cast("long"), F.col("n_in") - 1)).otherwise(F.array().cast("array<bigint>"))

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from spanframe.llm.components import components
-from spanframe.llm.neardup import linked_sets, n_bands, near_duplicates, shingle_hashes, signature, sketch_cut
+from spanframe.llm import neardup
+from spanframe.llm.neardup import linked_sets, n_bands, near_duplicates, rare_prefix, shingle_hashes, signature, sketch_cut
 
 
 def brute(data, num, n=5):
@@ -49,11 +50,11 @@ def corpus(seed=0):
     return data
 
 
-@pytest.mark.parametrize("num, small, block", [(85, 32, 128), (80, 4, 8), (85, 2, 16)])
-def test_equals_brute_force(spark, num, small, block):
+@pytest.mark.parametrize("num, small, block, wide", [(85, 32, 128, 32), (80, 4, 8, 32), (85, 2, 16, 32), (80, 2, 4, 1)])
+def test_equals_brute_force(spark, num, small, block, wide):
     data = corpus()
     df = spark.createDataFrame([(i, t, "x") for i, t in data], "doc_id long, text string, n_shingles string").repartition(3)
-    got = sorted(map(tuple, near_duplicates(df, num=num, small=small, block=block).collect()), key=str)
+    got = sorted(map(tuple, near_duplicates(df, num=num, small=small, block=block, wide=wide).collect()), key=str)
     assert got == brute(data, num)
 
 
@@ -74,6 +75,53 @@ def test_small_buckets_of_a_group_in_several_parts(spark, small, block, pairs):
     assert sorted(map(tuple, near_duplicates(df, num=85, small=small, block=block).collect()), key=str) == want
 
 
+def loose_bucket(n, rng):
+    """Documents that share most of their words with all others, and are linked in threes only."""
+    runs = [" ".join(f"t{j}w{i}" for i in range(12)) for j in range(40)]
+    data = []
+    for k in range(0, n, 3):
+        own = [f"o{k}w{i}" for i in range(160)]
+        for m in range(3):
+            w = list(own)
+            w[rng.randrange(160)] = f"x{k}y{m}"
+            data.append((k + m, " ".join(runs + w)))
+    return data
+
+
+def test_loose_bucket_meets_by_rare_shingles(spark, monkeypatch):
+    """Every document is in buckets of all the others; entries grow with rows, not with their square."""
+    dealt = []
+    real = neardup.by_rare_shingles
+
+    def counted(rows, num, den):
+        out = neardup.cut(real(rows, num, den))
+        widest = out.groupBy("key").count().agg({"count": "max"}).first()[0] or 0
+        dealt.append((rows.count(), out.count(), widest))
+        return out
+
+    monkeypatch.setattr(neardup, "by_rare_shingles", counted)
+    data = loose_bucket(360, random.Random(3))
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, near_duplicates(df, num=85, small=2, block=4, wide=4).collect()), key=str)
+    assert got == brute(data, 85)
+    (rows, entries, widest), = dealt
+    assert rows > 200 and entries <= rows * 130 and widest < rows / 4
+
+
+def test_rare_prefixes_of_linked_sets_meet():
+    rng = np.random.default_rng(1)
+    level = rng.integers(0, 90, 1 << neardup.RARITY_BITS).astype(np.uint8)
+    for _ in range(300):
+        n = int(rng.integers(1, 300))
+        a = np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2))
+        drop = int(len(a) * 15 // 100)
+        b = np.sort(np.delete(a, rng.choice(len(a), drop, replace=False)))
+        assert 100 * len(b) >= 85 * len(a)
+        x, y = rare_prefix(a, level, 85, 100), rare_prefix(b, level, 85, 100)
+        assert len(x) <= 0.15 * len(a) + 1 and len(np.intersect1d(x, y))
+    assert (rare_prefix(a[:1], level, 85, 100) == a[:1]).all()
+
+
 def test_hot_sets_and_null_ids(spark, monkeypatch):
     """Rows of sets that very many rows share take another way to their component."""
     monkeypatch.setattr("spanframe.llm.neardup.HOT_ROWS", 5)
