@@ -653,11 +653,17 @@ def loss_mask(spark, sf):
     return cells.where(grid.in_loss(F.col("i"), F.col("j"), F.coalesce("label", F.lit(0)))).groupBy("id").agg(F.count(F.lit(1)).alias("n_cells"))
 
 
-@query("manifest_hash", None)
+@query(
+    "manifest_hash",
+    "SELECT doc_id // 100 AS grp, CAST(sum(strlen(t) + 1) AS BIGINT) AS length, sha256(string_agg(t || chr(10), '' ORDER BY doc_id, t)) AS sha256 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) GROUP BY 1",
+)
 def manifest_hash(spark, sf):
-    from .sources.readers import file_hashes
-
-    return file_hashes(spark, f"{sf}/documents.parquet").select("length", "sha256")
+    """Texts written as a file for each hundred ids, and the digests of these files; those over 64 KB by chunks of their splits."""
+    path = f"{shared_dir(spark)}/texts"
+    docs = A.table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 100).alias("grp"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    docs.repartition("grp").sortWithinPartitions("grp", "doc_id", "value").select("grp", "value").write.partitionBy("grp").text(path)
+    told = readers.file_hashes(spark, path, "*.txt", whole_bytes=1 << 16)
+    return told.select(F.expr("try_cast(regexp_extract(path, 'grp=([^/]*)/', 1) AS BIGINT)").alias("grp"), "length", "sha256")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import plain_path, strip
 from ..schemas import BIOC
+from .digests import file_hashes as file_hashes
 from .json_arrays import json_elements
 
 _STEM = r"([^/]*?)(?:\.[^/.]*)?$"
@@ -77,9 +78,3 @@ def json_object(spark: SparkSession, path: str) -> dict[str, Any]:
 def unmatched_stems(left: DataFrame, right: DataFrame) -> DataFrame:
     """Stems of the left that the right lacks."""
     return left.select("stem").distinct().join(right.select("stem").distinct(), "stem", "left_anti")
-
-
-def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, sha256) of each file, as executors read it."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))

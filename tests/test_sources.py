@@ -212,3 +212,25 @@ def test_cross_validation_and_weights_by_command(spark, tmp_path, capsys):
     assert cli.main(["train-data", *one, "--config", str(tmp_path / "base.json")], spark) == 0 and cli.main(["weights", *one], spark) == 0
     weights = json.loads((tmp_path / "o/class_weights.json").read_text())
     assert len(weights) == 8 and weights["3"] < weights["4"]
+
+
+def test_digests_of_files_in_chunks(spark, tmp_path, monkeypatch):
+    """Any bytes, with and without a last line's end or a byte order mark, in splits of any size."""
+    import hashlib
+
+    rng = random.Random(2)
+    cases = [b"", b"\n", b"a", b"a\n\n", b"\xef\xbb\xbfa\nb", b"\xef\xbb\xbfa\nb\n", b"\r\n\r", b"x" * 5000, b"ab\n" * 4000, b"\n" * 3000, rng.randbytes(20_000), rng.randbytes(20_000) + b"\n"]
+    for k, x in enumerate(cases):
+        (tmp_path / f"a b+{k}.bin").write_bytes(x)
+    want = sorted((len(x), hashlib.sha256(x).hexdigest()) for x in cases if x)
+    monkeypatch.setattr("spanframe.sources.digests.CHUNK_BYTES", 700)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("1000b", "7777b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            got = readers.file_hashes(spark, str(tmp_path), "*.bin", whole_bytes=0).collect()
+            assert sorted((r.length, r.sha256) for r in got) == want
+            assert all(r.path.startswith("file:/") and r.path.endswith(".bin") for r in got) and len({r.path for r in got}) == len(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.length, r.sha256) for r in readers.file_hashes(spark, str(tmp_path), "*.bin").collect()) == want
