@@ -295,9 +295,12 @@ def class_weights(spark, sf):
     return stats.class_weights(_counts(spark, sf), min_background=0.05)
 
 
-@query("distance_buckets", "SELECT CAST(d AS BIGINT) AS d, CASE WHEN d = 0 THEN 0 ELSE least(9, length(bin(d))) END AS bucket FROM range(1000) AS t(d)")
+@query("distance_buckets", "SELECT d, CASE WHEN d = 0 THEN 0 ELSE least(9, length(bin(d))) END AS bucket, count(*) AS n FROM (SELECT abs(CAST(l_partkey AS BIGINT) - CAST(l_suppkey AS BIGINT)) % 1000 AS d FROM lineitem) WHERE d IS NOT NULL GROUP BY ALL")
 def distance_buckets(spark, sf):
-    return spark.range(1000).select(F.col("id").alias("d"), distance_bucket(F.col("id")).cast("long").alias("bucket"))
+    """Buckets of the distances, below a thousand, of two keys of each row."""
+    far = F.abs(F.col("l_partkey").cast("long") - F.col("l_suppkey").cast("long")) % 1000
+    rows = A.table(spark, sf, "lineitem").select(far.alias("d")).where("d is not null").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("d", distance_bucket(F.col("d")).cast("long").alias("bucket"), "n")
 
 
 ITEMS = rf"b0 AS (SELECT item_id, regexp_extract_all(text, '{_WORD}|(?s:.)') AS x FROM benchmark), w AS (SELECT item_id, ord, word FROM (SELECT item_id, unnest(range(len(x))) AS ord, unnest(x) AS word FROM b0) WHERE regexp_matches(word, '^({_WORD})$'))"
@@ -444,10 +447,16 @@ def argmax_labels(spark, sf):
     return A.table(spark, sf, "embeddings").select("vec_id", grid.argmax(F.col("embedding")).alias("best"))
 
 
-@query("type_aliases", "SELECT raw, type, CASE WHEN type IS NULL THEN NULL ELSE type IN ('Chemical', 'Disease') END AS included FROM (VALUES ('Gene', 'Gene_Or_GeneProduct'), ('ChemicalEntity', 'Chemical'), ('Disease', 'Disease'), ('OrganismTaxon', 'Species'), ('Foo', NULL)) AS t(raw, type)")
+@query(
+    "type_aliases",
+    "WITH t AS (SELECT * FROM (VALUES (0, 'Gene', 'Gene_Or_GeneProduct'), (1, 'ChemicalEntity', 'Chemical'), (2, 'Disease', 'Disease'), (3, 'OrganismTaxon', 'Species'), (4, 'Foo', NULL)) AS t(k, raw, type)) "
+    "SELECT raw, type, CASE WHEN type IS NULL THEN NULL ELSE type IN ('Chemical', 'Disease') END AS included, count(*) AS n FROM documents JOIN t ON k = n_chars % 5 GROUP BY ALL",
+)
 def type_aliases(spark, sf):
-    raw = spark.createDataFrame([(x,) for x in ("Gene", "ChemicalEntity", "Disease", "OrganismTaxon", "Foo")], "raw string")
-    told = raw.withColumn("type", align.canonical_type(F.col("raw"), A.SPEC))
+    """Types of labels, given to documents by their lengths, in the spellings that sources use."""
+    raw = F.array(*[F.lit(x) for x in ("Gene", "ChemicalEntity", "Disease", "OrganismTaxon", "Foo")])
+    docs = A.table(spark, sf, "documents").where("n_chars is not null").select(F.get(raw, (F.col("n_chars") % 5).cast("int")).alias("raw"))
+    told = docs.groupBy("raw").agg(F.count(F.lit(1)).alias("n")).withColumn("type", align.canonical_type(F.col("raw"), A.SPEC))
     return told.withColumn("included", align.type_included(F.col("type"), A.SPEC, "_bc5cdr"))
 
 
