@@ -51,8 +51,8 @@ def _occurrences(docs: DataFrame, text_col: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((kind, a, b, n), (pa.string(), pa.string(), pa.string(), pa.int64()))], names=["kind", "a", "b", "n"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                toks = [(m[0], *m.span()) for m in find(t or "")]
+            for t in batch.column(0):
+                toks = [(m[0], *m.span()) for m in find(t.as_py() or "")]
                 dotted = {}
                 for k, before, after in contexts(toks):
                     if before:

@@ -77,6 +77,22 @@ def test_records_equal_token_rows(spark):
     assert all(sum(max(1, -(-len(w) // 4)) for w in r.sentence) + 2 <= 9 or len(r.sentence) == 1 for r in made)
 
 
+def test_token_passes_hand_on_bounded_batches():
+    """A batch of many documents leaves in parts of bounded words, in order, so that a worker's memory doesn't grow with its batch."""
+    import pyarrow as pa
+
+    texts = [None, "", *["a bc. " * 1500] * 60, "x " * (2 * tokenize.FLUSH_WORDS), ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["pmid", "fulltext"])
+    made = list(tokenize._array_batches([batch], "pmid"))
+    sizes = [sum(map(len, b.column("words").to_pylist())) for b in made]
+    assert len(made) > 5 and max(sizes[:-1]) <= 3 * tokenize.FLUSH_WORDS and sum(sizes) == 60 * 4500 + 2 * tokenize.FLUSH_WORDS
+    assert [k for b in made for k in b.column("pmid").to_pylist()] == list(range(len(texts)))
+    rows = list(tokenize._row_batches([batch], "pmid"))
+    assert max(b.num_rows for b in rows) <= tokenize.FLUSH_WORDS
+    flat = [(k, w, x["s"], x["e"]) for b in made for k, ws, xs in zip(*(c.to_pylist() for c in b.columns)) for w, x in zip(ws, xs)]
+    assert flat == [(r["pmid"], r["word"], r["s"], r["e"]) for b in rows for r in b.to_pylist()]
+
+
 SENTENCES = ["Dr. {n} saw the patient", "The dose of 3.5 mg was given by {n}", "Samples, e.g. blood or tissue, were kept by {n}", "See Fig. {k} for details", "{n} et al. found it in cells", "J. {n} wrote the report", "It was seen (in mice.)", 'She said "no."', "Was it {n}?", "In {k} it ended", "The approx. value was {k}", "Results by Prof. {n} were clear", "All details of the report on cells and the patient are clear to {n}", "What ended the report was a patient with clear cells"]
 NAMES = ["Smith", "Jones", "Lee", "Garcia", "Kim", "Brown"]
 
