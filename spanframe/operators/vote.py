@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import shift, slice_text, strip, surface
 from ..schemas import VERSION
 from .align import join_by_id, last_wins
+from .storage import stored
 
 
 def island_spans(indices: Column, words: Column) -> Column:
@@ -27,33 +28,39 @@ def majority(votes: DataFrame, keys: Sequence[str], value: str, order: Sequence[
     return counted.groupBy(*keys).agg(best.alias("majority"))
 
 
-def postprocess(tokens: DataFrame, predictions: DataFrame, texts: DataFrame, keys: Sequence[str] = ("pmid", "text_str")) -> DataFrame:
+def postprocess(tokens: DataFrame, predictions: DataFrame, texts: DataFrame | None = None, keys: Sequence[str] = ("pmid", "text_str")) -> DataFrame:
     """Postprocess records: spans relative to the chunk's sentence, and types by majority of (document, surface).
 
     tokens: token records with ord; predictions: (id, ord, entity); texts: (pmid, fulltext), last row
-    of a pmid first declared by ord if there is one. Records without words are left out; entities
-    without text are too. Surfaces are computed once and serve both the vote and the result.
+    of a pmid first declared by ord if there is one; token records with their sentence_str need no texts. Records
+    without words are left out; entities without text are too. Surfaces are computed once and serve both the vote
+    and the result: records are stored with them, and only the types that the vote changes are joined back.
     """
-    texts = last_wins(texts, "pmid", "ord").drop("ord") if "ord" in texts.columns else texts.dropDuplicates(["pmid"])
-    told = join_by_id(tokens.select("id", "pmid", "ord", "spans"), predictions.select("id", F.col("ord").alias("p_ord"), "entity"), "p_ord").where(F.size("spans") > 0)
-    told = told.join(texts.select("pmid", "fulltext"), "pmid", "left").withColumn("fulltext", F.coalesce("fulltext", F.lit("")))
-    told = told.withColumn("fulltext_offset", F.get("spans", F.lit(0)).s).withColumn("sentence_str", slice_text(F.col("fulltext"), F.col("fulltext_offset"), F.element_at("spans", -1).e))
-    each = told.select("id", "pmid", "ord", "sentence_str", "fulltext_offset", "spans", F.posexplode_outer("entity").alias("entity_ord", "x"))
-    each = each.withColumn("sentence_spans", shift(island_spans(F.col("x.indices"), F.col("spans")), -F.col("fulltext_offset")))
-    each = each.withColumn("text_str", surface(F.col("sentence_str"), F.col("sentence_spans"))).withColumn("type", F.col("x.type"))
-    real = F.col("x").isNotNull() & (F.size("sentence_spans") > 0) & (strip(F.col("text_str")) != "")
-    voted = majority(each.where(real), keys, "type", ("ord", "entity_ord"))
+    slim = F.transform("entity", lambda x: F.struct(x.indices.alias("indices"), x.type.alias("type"))).alias("entity")
+    cut = [c for c in ("sentence_str",) if c in tokens.columns]
+    told = join_by_id(tokens.select("id", "pmid", "ord", "spans", *cut), predictions.select("id", F.col("ord").alias("p_ord"), slim), "p_ord").where(F.size("spans") > 0)
+    told = told.withColumn("fulltext_offset", F.get("spans", F.lit(0)).s)
+    if not cut:
+        texts = last_wins(texts, "pmid", "ord").drop("ord") if "ord" in texts.columns else texts.dropDuplicates(["pmid"])
+        told = told.join(texts.select("pmid", "fulltext"), "pmid", "left").withColumn("sentence_str", slice_text(F.coalesce("fulltext", F.lit("")), F.col("fulltext_offset"), F.element_at("spans", -1).e))
+    spans = F.transform("entity", lambda x, k: F.struct(k.alias("entity_ord"), shift(island_spans(x.indices, F.col("spans")), -F.col("fulltext_offset")).alias("sentence_spans"), x.type.alias("type")))
+    named = F.transform(spans, lambda x: F.struct(x.entity_ord.alias("entity_ord"), surface(F.col("sentence_str"), x.sentence_spans).alias("text_str"), x.sentence_spans.alias("sentence_spans"), x.type.alias("type")))
+    real = F.filter(named, lambda x: (F.size(x.sentence_spans) > 0) & (strip(x.text_str) != ""))
+    told = stored(told.select(F.monotonically_increasing_id().alias("_row"), "id", "pmid", "ord", "sentence_str", "fulltext_offset", F.coalesce(real, F.array()).alias("_e")))
+
+    each = told.select("_row", "id", "pmid", "ord", "sentence_str", "fulltext_offset", F.explode("_e").alias("x")).select("*", "x.*").drop("x")
+    voted = majority(each, keys, "type", ("ord", "entity_ord"))
     cond = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     for k in keys:
         voted = voted.withColumnRenamed(k, f"_{k}")
-    joined = each.join(voted, cond, "left").drop(*[f"_{k}" for k in keys])
-    entity = F.struct("entity_ord", "text_str", "sentence_spans", F.coalesce("majority", "type").alias("type"))
-    return joined.groupBy("id", "pmid", "ord", "sentence_str", "fulltext_offset").agg(F.array_sort(F.collect_list(F.when(real, entity))).alias("_e")).select(
+    changed = each.join(voted, cond).where(F.col("majority").isNotNull() & ~F.col("majority").eqNullSafe(F.col("type")))
+    changed = changed.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("entity_ord", "majority"))).alias("_types"))
+    return told.join(changed, "_row", "left").select(
         F.lit(VERSION).alias("schema_version"),
         "id",
         "pmid",
         "sentence_str",
         "fulltext_offset",
-        F.transform("_e", lambda x: F.struct(x.text_str.alias("text_str"), x.sentence_spans.alias("sentence_spans"), x.type.alias("type"))).alias("entity"),
+        F.transform("_e", lambda x: F.struct(x.text_str.alias("text_str"), x.sentence_spans.alias("sentence_spans"), F.coalesce(F.try_element_at("_types", x.entity_ord), x.type).alias("type"))).alias("entity"),
         "ord",
     )

@@ -273,3 +273,14 @@ def test_model_config():
     values |= dict.fromkeys("emb_dropout conv_dropout out_dropout learning_rate bert_learning_rate weight_decay clip_grad_norm warm_factor".split(), 0.1)
     c = ModelConfig.of(values | {"use_bert_last_4_layers": True, "dilation": [1], "entity_types": ["A"], "save_path": "m", "odd": 1})
     assert c.load_path == "m" and c.min_bg_weight == 0.0
+
+
+def test_postprocess_needs_no_texts_beside_surfaces(spark):
+    """Records that carry their text give what the join with texts gives, among them a type that the vote changes."""
+    docs = spark.createDataFrame([("1", "Aspirin helps. 𝒳 and aspirin, (aspirin). Or aspirin"), ("2", "  "), ("3", None)], "pmid string, fulltext string")
+    tokens = tokenize.token_records(docs, 12, surface=True)
+    entity = F.transform(F.filter(F.sequence(F.lit(0), F.size("sentence") - 1), lambda k: F.lower(F.get("sentence", k)) == "aspirin"), lambda k: F.struct(F.array(F.lit("x")).alias("text"), F.array(k).alias("indices"), F.when(F.col("ord") == 1, "Disease").otherwise("Chemical").alias("type")))
+    told = tokens.select("id", "ord", entity.alias("entity"))
+    got, want = vote.postprocess(tokens, told), vote.postprocess(tokens.drop("sentence_str"), told, docs)
+    rows = sorted(map(str, got.collect()))
+    assert rows == sorted(map(str, want.collect())) and "Disease" in "".join(rows)
