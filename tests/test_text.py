@@ -77,6 +77,14 @@ def test_records_equal_token_rows(spark):
     assert all(sum(max(1, -(-len(w) // 4)) for w in r.sentence) + 2 <= 9 or len(r.sentence) == 1 for r in made)
 
 
+def test_gaps_are_no_rows_of_tokens(spark):
+    """Places count the characters between tokens, but only tokens are made into rows."""
+    df = spark.createDataFrame([("a", "  b\n\n c'd.\U0001d4b3 \U0001f600\x01e "), ("b", " \t"), ("c", None)], "pmid string, fulltext string")
+    made = tokenize.tokens(df)
+    assert [tuple(r) for r in made.orderBy("ord").collect()] == [("a", 2, "b", 2, 3), ("a", 6, "c'd", 6, 9), ("a", 7, ".", 9, 10), ("a", 8, "\U0001d4b3", 10, 11), ("a", 10, "\U0001f600", 12, 13), ("a", 12, "e", 14, 15)]
+    assert "Filter RLIKE" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_token_passes_hand_on_bounded_batches():
     """A batch of many documents leaves in parts of bounded words, in order, so that a worker's memory doesn't grow with its batch."""
     import pyarrow as pa
