@@ -101,6 +101,43 @@ def test_token_passes_hand_on_bounded_batches():
     assert flat == [(r["pmid"], r["word"], r["s"], r["e"]) for b in rows for r in b.to_pylist()]
 
 
+def test_tokens_cut_as_arrays():
+    """The array pass finds what the pattern finds, in texts of all kinds of characters, across the bounds of texts and parts."""
+    import pyarrow as pa
+    import regex
+
+    from spanframe.functions.text import TOKEN
+    from spanframe.operators.cut import FLUSH_BYTES, cut, parts
+
+    rng = random.Random(5)
+    some = "ab_'’.?!,-é\u0301ß 中\u200d\u2028\ue000𝒳🙂\x00\n\t½²٣\u00ad\u2060"
+    texts = [None, "", *["".join(rng.choice(some) for _ in range(rng.randrange(40))) for _ in range(400)], "x" * (2 * FLUSH_BYTES), ""]
+    plain = [[(m[0], *m.span()) for m in regex.finditer(TOKEN, t or "")] for t in texts]
+    t = cut(pa.array(["skipped", *texts]).slice(1))
+    toks = list(zip(t.words.to_pylist(), t.s.tolist(), t.e.tolist()))
+    assert [toks[a:b] for a, b in zip(t.bounds, t.bounds[1:])] == plain
+    assert [t.raw[a:b].decode() for a, b in zip(t.begins, t.ends)] == t.words.to_pylist()
+    split = list(parts(pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["k", "t"])))
+    assert [k for p, _ in split for k in p.column(0).to_pylist()] == list(range(len(texts))) and [w for _, x in split for w in x.words.to_pylist()] == [w for d in plain for w, _, _ in d]
+
+
+def test_chunks_of_many_sizes():
+    """Chunks by sums and searches are those of the plain fold."""
+    import numpy as np
+
+    rng = random.Random(6)
+    for limit in (1, 5, 12):
+        sizes = [rng.randrange(1, 9) for _ in range(300)]
+        ends = [rng.random() < 0.2 for _ in sizes[1:]] + [True]
+        plain, total = [], 0
+        for k, n in enumerate(sizes):
+            if not total or total + n + 2 > limit:
+                plain.append(k)
+                total = 0
+            total = 0 if ends[k] else total + n
+        assert tokenize.chunk_starts(np.array(sizes), np.array(ends), limit).tolist() == plain
+
+
 SENTENCES = ["Dr. {n} saw the patient", "The dose of 3.5 mg was given by {n}", "Samples, e.g. blood or tissue, were kept by {n}", "See Fig. {k} for details", "{n} et al. found it in cells", "J. {n} wrote the report", "It was seen (in mice.)", 'She said "no."', "Was it {n}?", "In {k} it ended", "The approx. value was {k}", "Results by Prof. {n} were clear", "All details of the report on cells and the patient are clear to {n}", "What ended the report was a patient with clear cells"]
 NAMES = ["Smith", "Jones", "Lee", "Garcia", "Kim", "Brown"]
 
