@@ -12,17 +12,23 @@ import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TOKEN
+from .cut import Cut, parts
 from .storage import materialise
 
+if TYPE_CHECKING:
+    import numpy as np
+
 #: Scores from which a word is an abbreviation, a pair a collocation, and a word one that begins sentences.
 ABBREVIATION, COLLOCATION, STARTER = 0.3, 7.88, 30.0
 #: Entries of the learned tables at most that tasks hold.
 MOST = 1_000_000
+#: Words that a task holds before it counts them.
+COUNTED_WORDS = 500_000
 _MARKS, _CLOSING = frozenset(".?!"), frozenset(")]}\"'»”’")
 
 
@@ -36,36 +42,57 @@ def contexts(toks: list[tuple[str, int, int]]) -> Iterator[tuple[int, str | None
                 yield k, before if before and before[0].isalnum() else None, after and after[0]
 
 
+def _dotted(t: Cut) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Of the tokens of many texts, as contexts() of each text has it: whether each is the word before a full stop, and the places (word, word after) of pairs."""
+    import numpy as np
+
+    touches, ended, starts = t.touches(), t.ended(), t.alnum()
+    dot = np.flatnonzero(t.marks(".") & ~touches)
+    dot = dot[dot > 0]
+    dot = dot[touches[dot - 1] & starts[dot - 1]]
+    dotted = np.zeros(len(t.s), bool)
+    dotted[dot - 1] = True
+    two = dot[~ended[dot]]
+    two = two[starts[two + 1]]
+    return dotted, (two - 1, two + 1)
+
+
 def _occurrences(docs: DataFrame, text_col: str) -> DataFrame:
     """(kind, a, b, n): words (a, with 'dot' if b), and pairs around full stops, counted in each task."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import regex
+        import pyarrow.compute as pc
 
-        find = regex.compile(TOKEN).finditer
         counts: Counter = Counter()
+        held: dict[str | None, list[pa.Array]] = {"dot": [], None: []}
 
         def flush():
             kind, a, b, n = zip(*((*k, v) for k, v in counts.items()))
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((kind, a, b, n), (pa.string(), pa.string(), pa.string(), pa.int64()))], names=["kind", "a", "b", "n"])
 
+        def count():
+            for dot, some in held.items():
+                if some:
+                    each = pc.value_counts(pa.concat_arrays(some))
+                    for word, n in zip(each.field("values").to_pylist(), each.field("counts").to_pylist()):
+                        counts["word", word.lower(), dot] += n
+                    some.clear()
+
         for batch in batches:
-            for t in batch.column(0):
-                toks = [(m[0], *m.span()) for m in find(t.as_py() or "")]
-                dotted = {}
-                for k, before, after in contexts(toks):
-                    if before:
-                        dotted[k - 1] = after
-                for k, (word, _, _) in enumerate(toks):
-                    if word[0].isalnum():
-                        counts["word", word.lower(), "dot" if k in dotted else None] += 1
-                for k, after in dotted.items():
-                    if after and after[0].isalnum():
-                        counts["pair", toks[k][0].lower(), after.lower()] += 1
+            for _, t in parts(batch, 0):
+                dotted, pairs = _dotted(t)
+                starts = t.alnum()
+                held["dot"].append(t.words.filter(pa.array(starts & dotted)))
+                held[None].append(t.words.filter(pa.array(starts & ~dotted)))
+                for a, b in zip(*(t.words.take(pa.array(x)).to_pylist() for x in pairs)):
+                    counts["pair", a.lower(), b.lower()] += 1
+                if sum(map(len, held[None])) > COUNTED_WORDS:
+                    count()
                 if len(counts) > 500_000:
                     yield flush()
                     counts.clear()
+        count()
         if counts:
             yield flush()
 
@@ -174,6 +201,27 @@ class Boundaries:
                 out.add(last)
         return out
 
+    def marked(self, t: Cut) -> np.ndarray:
+        """ends() of many texts at once: only marks are looked at."""
+        import numpy as np
+        import pyarrow as pa
+
+        touches, out = t.touches(), np.zeros(len(t.s), bool)
+        k = np.flatnonzero(t.marks("".join(_MARKS)))
+        if not len(k):
+            return out
+        goes_on = touches & np.concatenate([t.marks("".join(_CLOSING))[1:], [False]])
+        stops = np.flatnonzero(~goes_on)
+        last = stops[np.searchsorted(stops, k)]
+        k, last = k[~touches[last]], last[~touches[last]]
+        full = t.marks(".")[k]
+        out[last[~full]] = True
+        k, last = k[full], last[full]
+        word = lambda at, there: t.words.take(pa.array(np.where(there, at, 0), mask=~there)).to_pylist()
+        before, after = word(k - 1, (k > 0) & touches[k - 1]), word(last + 1, ~t.ended()[last])
+        out[last[np.fromiter(map(self._stops, before, after), bool, len(k))]] = True
+        return out
+
     def _stops(self, before: str | None, after: str | None) -> bool:
         if after is None:
             return True

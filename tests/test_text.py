@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from spanframe.functions import text
 from spanframe.operators import align, pieces, sentences, tokenize
 from spanframe.operators.pieces import Vocabulary
 
@@ -121,6 +122,36 @@ def test_tokens_cut_as_arrays():
     assert [k for p, _ in split for k in p.column(0).to_pylist()] == list(range(len(texts))) and [w for _, x in split for w in x.words.to_pylist()] == [w for d in plain for w, _, _ in d]
 
 
+def test_sentences_of_many_texts_at_once(spark):
+    """Ends and counts from arrays are those of one text after the other."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from spanframe.operators.cut import cut
+
+    rng = random.Random(7)
+    some = ["Dr", "p", "A", "12", "it", "It", "É", "_x", ".", ".", ".", "?", "!", ")", '"', " ", " ", " ", "…", "²"]
+    texts = [None, ".", *["".join(rng.choice(some) for _ in range(rng.randrange(30))) for _ in range(500)], ""]
+    t = cut(pa.array(texts))
+    toks = list(zip(t.words.to_pylist(), t.s.tolist(), t.e.tolist()))
+    each = [toks[a:b] for a, b in zip(t.bounds, t.bounds[1:])]
+    splitter = sentences.Boundaries(frozenset({"dr", "p"}), frozenset({"it"}), frozenset({("12", "a")}))
+    assert [{k for k in range(b - a) if m[k]} for a, b in zip(t.bounds, t.bounds[1:]) for m in [splitter.marked(t)[a:b]]] == [splitter.ends(x) for x in each]
+    want = Counter()
+    for x in each:
+        dotted = {k - 1: after for k, before, after in sentences.contexts(x) if before}
+        want.update(("word", w.lower(), "dot" if k in dotted else None) for k, (w, _, _) in enumerate(x) if w[0].isalnum())
+        want.update(("pair", x[k][0].lower(), after.lower()) for k, after in dotted.items() if after and after[0].isalnum())
+    df = spark.createDataFrame([(x,) for x in texts], "fulltext string")
+    assert {(r.kind, r.a, r.b): r.n for r in sentences._occurrences(df, "fulltext").collect()} == want
+
+
+def test_strip_takes_white_space_of_any_kind(spark):
+    df = spark.range(0x3100).selectExpr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') as c").select(F.concat("c", F.lit("a"), "c").alias("c"))
+    assert df.where(~text.strip(F.col("c")).eqNullSafe(F.regexp_replace("c", r"(?U)^\s+|\s+$", ""))).count() == 0
+
+
 def test_chunks_of_many_sizes():
     """Chunks by sums and searches are those of the plain fold."""
     import numpy as np
