@@ -152,6 +152,12 @@ def test_strip_takes_white_space_of_any_kind(spark):
     assert df.where(~text.strip(F.col("c")).eqNullSafe(F.regexp_replace("c", r"(?U)^\s+|\s+$", ""))).count() == 0
 
 
+def test_boundaries_are_plain_numbers(spark):
+    """What a chunk takes along to meet its labels is two arrays of numbers, without a sort."""
+    df = spark.createDataFrame([([(0, 2), (3, 5)],)], "w array<struct<s:int,e:int>>").select(align.boundary_index(F.col("w")).alias("x"))
+    assert df.select("x.*").dtypes == [("starts", "array<int>"), ("ends", "array<int>")] and "sort" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_chunks_of_many_sizes():
     """Chunks by sums and searches are those of the plain fold."""
     import numpy as np
