@@ -102,6 +102,48 @@ def test_token_passes_hand_on_bounded_batches():
     assert flat == [(r["pmid"], r["word"], r["s"], r["e"]) for b in rows for r in b.to_pylist()]
 
 
+class _Passed:
+    """A table that keeps the function which its Arrow batches would pass through."""
+
+    def __init__(self, schema):
+        self.schema, self.run = schema, None
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        self.run = run
+        return self
+
+
+@pytest.mark.parametrize("made", [tokenize.token_arrays, tokenize.token_rows, tokenize.token_records])
+def test_memory_of_a_token_pass_does_not_grow_with_its_batch(spark, made):
+    """Beside the batch itself, a worker holds no more for ten times the documents in it, or for more batches."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    docs = _Passed(spark.createDataFrame([], "pmid long, fulltext string").schema)
+    made(docs)
+
+    def peak(n, times):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(["Cells of a bc. " * 700] * n)], names=["pmid", "fulltext"])
+        before, arrow, rows = pa.total_allocated_bytes(), 0, 0
+        tracemalloc.start()
+        for b in docs.run(iter([batch] * times)):
+            arrow, rows = max(arrow, pa.total_allocated_bytes() - before), rows + b.num_rows
+            assert b.nbytes < 8_000_000
+            del b
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows >= n * times
+        return most + arrow
+
+    peak(1, 1)  # classes of characters and modules, once
+    few = peak(30, 1)
+    assert peak(300, 1) < 1.5 * few and peak(30, 5) < 1.5 * few
+
+
 def test_tokens_cut_as_arrays():
     """The array pass finds what the pattern finds, in texts of all kinds of characters, across the bounds of texts and parts."""
     import pyarrow as pa
