@@ -194,6 +194,13 @@ def test_strip_takes_white_space_of_any_kind(spark):
     assert df.where(~text.strip(F.col("c")).eqNullSafe(F.regexp_replace("c", r"(?U)^\s+|\s+$", ""))).count() == 0
 
 
+def test_label_ids_need_no_python_workers(spark):
+    """The table of labels is literals: no rows of Python, for which an executor would start a second set of workers."""
+    made = align.label_ids(spark, align.LabelSpec())
+    assert "ExistingRDD" not in made._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in made.collect()] == [(k, x) for x, k in align.LabelSpec().label2id.items()] and made.dtypes == [("label_id", "int"), ("type", "string")]
+
+
 def test_boundaries_are_plain_numbers(spark):
     """What a chunk takes along to meet its labels is two arrays of numbers, without a sort."""
     df = spark.createDataFrame([([(0, 2), (3, 5)],)], "w array<struct<s:int,e:int>>").select(align.boundary_index(F.col("w")).alias("x"))
