@@ -1,7 +1,11 @@
 """Word pieces, sentence ends, one-pass token records, and the searches that place labels, against plain code."""
 
 import json
+import os
+import platform
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +14,7 @@ from spanframe.functions import text
 from spanframe.operators import align, pieces, sentences, tokenize
 from spanframe.operators.pieces import Vocabulary
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 BEGINS, GOES_ON = frozenset({"un", "a", "able", "b", "u", "é"}), frozenset({"able", "n", "a", "b", "le", "ab", "ffable"})
 
 
@@ -144,6 +149,37 @@ def test_memory_of_a_token_pass_does_not_grow_with_its_batch(spark, made):
     assert peak(300, 1) < 1.5 * few and peak(30, 5) < 1.5 * few
 
 
+_HOLES = """
+import sys
+import pyarrow as pa
+from spanframe.operators import tokenize
+
+def resident():
+    return next(int(x.split()[1]) for x in open("/proc/self/smaps_rollup") if x.startswith("Rss")) // 1000
+
+one = pa.RecordBatch.from_arrays([pa.array(["a"] * 50), pa.array(["one two " * 500] * 50)], names=["pmid", "fulltext"])
+run = lambda: sum(b.num_rows for b in tokenize._array_batches(iter([one]), "pmid"))
+run()  # classes of characters and modules, once
+freed = b"x" * (31 << 20)
+del freed  # from now on blocks of this size lie in the heap
+blocks, small = [], []
+for _ in range(5):
+    blocks.append(b"x" * (20 << 20))
+    small.append(b"x" * (1 << 20))
+del blocks  # what lies after each keeps its place
+before = resident()
+assert run() == 50
+print(before, resident())
+"""
+
+
+@pytest.mark.skipif(platform.libc_ver()[0] != "glibc", reason="of glibc's heap")
+def test_a_token_pass_gives_back_the_place_of_former_batches():
+    out = subprocess.run([sys.executable, "-c", _HOLES], cwd=ROOT, env={**os.environ, "PYTHONPATH": ROOT}, capture_output=True, text=True, check=True).stdout
+    before, after = map(int, out.split())
+    assert after < before - 60, out
+
+
 def test_tokens_cut_as_arrays():
     """The array pass finds what the pattern finds, in texts of all kinds of characters, across the bounds of texts and parts."""
     import pyarrow as pa
