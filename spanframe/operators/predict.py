@@ -21,8 +21,8 @@ class Predictor(Protocol):
         """(id, pmid, sentence, entity) for each token record."""
 
 
-def rule_predictor(rules: dict[str, Callable[[Column], Column]], join_runs: bool = True) -> Predictor:
-    """Entities from conditions on words, by type: runs of matching words, or each by itself."""
+def rule_predictor(rules: dict[str, Callable[[Column], Column]], join_runs: bool = True, keep: tuple[str, ...] = ()) -> Predictor:
+    """Entities from conditions on words, by type: runs of matching words, or each by itself. Columns of the token records in `keep` go with them."""
 
     def of(name: str, rule: Callable[[Column], Column]) -> Column:
         hits = F.filter(F.transform("sentence", lambda w, k: F.when(rule(w), k)), lambda k: k.isNotNull())
@@ -33,7 +33,7 @@ def rule_predictor(rules: dict[str, Callable[[Column], Column]], join_runs: bool
     def predict(tokens: DataFrame) -> DataFrame:
         found = [of(name, rule) for name, rule in rules.items()]
         entity = F.when(F.size("sentence") > 0, F.concat(*found)).otherwise(F.array().cast(ENTITY))
-        return tokens.select("id", "pmid", "sentence", entity.alias("entity"), *[c for c in ("ord",) if c in tokens.columns])
+        return tokens.select("id", "pmid", "sentence", entity.alias("entity"), *[c for c in ("ord",) if c in tokens.columns and c not in keep], *keep)
 
     return predict
 
