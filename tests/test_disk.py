@@ -84,3 +84,8 @@ def test_flow_stores_no_texts(spark, data, kept):
     """Gold and prediction are made in one pass beside their records: no text, no words and no join in what is stored."""
     queries.predict_postprocess_evaluate(spark, data).collect()
     assert [c for c, _ in kept if {"sentence", "sentence_str", "spans"} & set(c)] == [] and not any("Join" in p for c, p in kept if "fulltext_offset" in c) and kept
+
+
+def test_surfaces_store_no_texts(spark, data, kept):
+    queries.entity_surfaces(spark, data).collect()
+    assert [c for c, _ in kept if {"sentence", "sentence_str", "spans"} & set(c)] == [] and not any("Join" in p for c, p in kept if "fulltext_offset" in c) and kept
