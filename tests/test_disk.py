@@ -89,3 +89,36 @@ def test_flow_stores_no_texts(spark, data, kept):
 def test_surfaces_store_no_texts(spark, data, kept):
     queries.entity_surfaces(spark, data).collect()
     assert [c for c, _ in kept if {"sentence", "sentence_str", "spans"} & set(c)] == [] and not any("Join" in p for c, p in kept if "fulltext_offset" in c) and kept
+
+
+def _chunks_and_labels(spark, n: int):
+    """A document of n chunks of three words, and five labels, one of them without spans, one nowhere, one off the words' ends."""
+    at = (F.col("id") * 40).cast("int")
+    spans = F.array(*[F.struct((at + k).alias("s"), (at + k + 4).alias("e")) for k in (0, 5, 10)])
+    chunks = spark.range(n).select(F.concat(F.lit("p_"), "id").alias("id"), F.lit("p").alias("pmid"), F.col("id").cast("int").alias("ord"), F.array(*map(F.lit, ("aaaa", "bbbb", "cccc"))).alias("sentence"), spans.alias("spans"))
+    labels = [([(400, 404), (405, 409)], "Disease"), ([(40 * n - 40, 40 * n - 36)], "Species"), ([], "Disease"), ([(40 * n + 9, 40 * n + 12)], "Disease"), ([(401, 404)], "Disease")]
+    return chunks, spark.createDataFrame([("p", 0, labels)], "pmid string, ord int, label array<struct<spans:array<struct<s:int,e:int>>,type:string>>")
+
+
+def test_labels_meet_few_chunks(spark):
+    """Of 20,000 chunks, those about the labels are shuffled."""
+    chunks, notes = _chunks_and_labels(spark, 20_000)
+    got = []
+    n = shuffled(spark, lambda: got.extend(align.assign_labels(notes, vote.stored(chunks), A.SPEC).collect()))
+    told = {r.label_ord: (r.status, r.id, r.indices, r.n_words) for r in got}
+    assert told == {0: ("assigned", "p_10", [0, 1], 3), 1: ("assigned", "p_19999", [0], 3), 2: ("dropped", "p_0", None, 3), 3: ("dropped", None, None, None), 4: ("dropped", "p_10", None, 3)}
+    assert n < 1000
+
+
+def test_class_weights_shuffle_few_chunks(spark):
+    """Records with labels: 20,000 chunks meet annotated documents once, and five labels are no reason to shuffle them again."""
+    chunks, notes = _chunks_and_labels(spark, 20_000)
+    chunks = vote.stored(chunks.select("id", "pmid", "ord", "spans"))
+    fates, got = align.assign_labels(notes, chunks, A.SPEC), []
+    sized = chunks.select("id", "pmid", F.size("spans").alias("n_words"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = shuffled(spark, lambda: got.extend(align.with_entities(notes, sized, fates).where("size(ner) > 0").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {(r.id, len(r.ner), r.n_words) for r in got} == {("p_10", 1, 3), ("p_19999", 1, 3)} and n < 30_000
