@@ -110,6 +110,19 @@ def test_labels_meet_few_chunks(spark):
     assert n < 1000
 
 
+def test_label_counts_shuffle_sizes_once(spark, data, kept):
+    """Chunks meet annotated documents as sizes, and only those with labels meet these."""
+    df = queries.label_cells(spark, data)
+    assert all("sentence" not in c and "document_id" not in c for c, _ in kept)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(spans" in plan.partition("LeftSemi")[2] and "LeftSemi" in plan
+    want = {k: n for k, _, n in df.collect()}
+    notes, cut, fates = A.labelled(spark, data)
+    per = {r.id: r.n for r in fates.where("status = 'assigned'").groupBy("id").agg(F.count("*").alias("n")).collect()}
+    rows = cut.join(notes.select("pmid").distinct(), "pmid").select("id", F.size("spans").alias("n")).collect()
+    assert want[1] == sum(per.values()) > 0 and want[0] == sum(max(0, r.n * (r.n + 1) // 2 - 2 * per.get(r.id, 0)) for r in rows)
+
+
 def test_class_weights_shuffle_few_chunks(spark):
     """Records with labels: 20,000 chunks meet annotated documents once, and five labels are no reason to shuffle them again."""
     chunks, notes = _chunks_and_labels(spark, 20_000)
