@@ -135,3 +135,15 @@ def test_class_weights_shuffle_few_chunks(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {(r.id, len(r.ner), r.n_words) for r in got} == {("p_10", 1, 3), ("p_19999", 1, 3)} and n < 30_000
+
+
+def test_decoded_paths_meet_few_sentences(spark):
+    chunks, _ = _chunks_and_labels(spark, 20_000)
+    decoded = spark.createDataFrame([("p_7", 0, 1, 2, [0, 1]), ("p_7", 0, 1, 2, [0, 1]), ("p_9", 2, 2, 3, [2]), ("q_0", 0, 0, 3, [0])], "id string, head int, tail int, label int, indices array<int>")
+    words, got = vote.stored(chunks.select("id", "sentence")), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = shuffled(spark, lambda: got.extend(grid.entities(decoded, words, A.SPEC).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.id: [(x.text, x.indices, x.type) for x in r.entity] for r in got} == {"p_7": [(["aaaa", "bbbb"], [0, 1], "Chemical")], "p_9": [(["cccc"], [2], "Disease")]} and n < 1000
