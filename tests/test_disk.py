@@ -91,6 +91,11 @@ def test_surfaces_store_no_texts(spark, data, kept):
     assert [c for c, _ in kept if {"sentence", "sentence_str", "spans"} & set(c)] == [] and not any("Join" in p for c, p in kept if "fulltext_offset" in c) and kept
 
 
+def test_empty_surfaces_store_no_texts(spark, data, kept):
+    queries.empty_surfaces(spark, data).collect()
+    assert [c for c, _ in kept if {"sentence", "sentence_str", "spans"} & set(c)] == [] and not any("Join" in p for c, p in kept if "fulltext_offset" in c) and kept
+
+
 def _chunks_and_labels(spark, n: int):
     """A document of n chunks of three words, and five labels, one of them without spans, one nowhere, one off the words' ends."""
     at = (F.col("id") * 40).cast("int")
